@@ -105,11 +105,13 @@ def validate(
     enable_json: bool = False,
     rules: Mapping[str, Sequence[Rule]] = RULES,
     on_unreadable: str = "null",
+    cast: bool = True,
 ) -> DataFrame:
-    """Type every field, null what does not fit, and append the changes to the meta column.
+    """Type every field, null what does not fit, and log the changes in the meta column.
 
-    Columns that are not fields pass through. ``on_unreadable="fail"`` raises for text
-    that is no value of its kind at all; out-of-range values are always nulled.
+    Columns that are not fields pass through; the meta column comes last. ``on_unreadable="fail"`` raises for text
+    that is no value of its kind at all; out-of-range values are always nulled. ``cast=False``
+    only nulls, so that an encoder still sees number text with the scale it came with.
     """
     names = names or MetaNames()
     kinds = {f.name: f.kind for f in fields}
@@ -122,7 +124,7 @@ def validate(
                 projected.append(value)
             continue
         kind = kinds[item.name]
-        typed = to_kind(value, item.dataType, kind, enable_json)
+        typed = to_kind(value, item.dataType, kind, enable_json) if cast else value
         if kind in rules or _is_text(item.dataType) and kind == "boolean":
             reason = violation(value, item.dataType, kind, rules)
             if on_unreadable == "fail":
@@ -131,8 +133,7 @@ def validate(
             reasons[item.name] = reason
             typed = F.when(reason.isNull(), typed)
         projected.append(typed.alias(item.name))
-    if reasons or names.meta in df.columns:
-        projected.append(_merged_meta(df, reasons, names.meta).alias(names.meta))
+    projected.append(_merged_meta(df, reasons, names.meta).alias(names.meta))
     return df.select(*projected)
 
 
