@@ -1,18 +1,19 @@
 """Range checks: a value its target column cannot hold becomes NULL, with a logged reason.
 
-A rule is a function ``(value, source_type) -> Column`` that is true for bad values,
-so callers can add their own per logical kind. All rules are built-in expressions.
+A rule is a function of columns that is true for bad values, so callers can add
+their own per logical kind. All rules are built-in expressions.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tablesync.functions.types import column, kind_of, to_kind
-from tablesync.spec import Field, MetaNames
+from tablesync.functions.types import SPARK_TYPES, column, kind_of, to_kind
+from tablesync.spec import EMPTY_META, Field, MetaNames, free_name
 
 # Reason and change codes written to the meta column.
 SIZE_LIMIT = "DESTINATION_FIELD_SIZE_LIMITATION"
@@ -34,44 +35,43 @@ CHANGE = T.StructType(
     ]
 )
 
-Rule = Callable[[Column, T.DataType], Column]
+# (value, value as its target type or NULL, source type) -> true if bad; None if it cannot be.
+Rule = Callable[[Column, Column, T.DataType], Column | None]
 
 
 def _is_text(source: T.DataType) -> bool:
     return isinstance(source, (T.StringType, T.CharType, T.VarcharType))
 
 
-def bad_integer(value: Column, source: T.DataType) -> Column:
+def bad_integer(value: Column, typed: Column, source: T.DataType) -> Column | None:
     """An integer outside signed 64 bits."""
     if isinstance(source, T.IntegralType):
-        return F.lit(False)
-    overflow = value.isNotNull() & value.try_cast("bigint").isNull()
+        return None
+    overflow = value.isNotNull() & typed.isNull()
     return overflow & value.rlike(INTEGER_TEXT) if _is_text(source) else overflow
 
 
-def bad_number(value: Column, source: T.DataType) -> Column:
+def bad_number(value: Column, typed: Column, source: T.DataType) -> Column | None:
     """A number that DECIMAL(38, 9) cannot hold, also if only rounding makes it too large."""
-    if isinstance(source, T.IntegralType):
-        return F.lit(False)
-    overflow = value.isNotNull() & value.try_cast("decimal(38,9)").isNull()
+    if isinstance(source, T.IntegralType) or source == T.DecimalType(38, 9):
+        return None
+    overflow = value.isNotNull() & typed.isNull()
     return overflow & value.rlike(NUMBER_TEXT) if _is_text(source) else overflow
 
 
-def bad_date(value: Column, source: T.DataType) -> Column:
+def bad_date(value: Column, typed: Column, source: T.DataType) -> Column:
     """A date outside years 0000 to 9999."""
-    day = F.unix_date(value.try_cast("date"))
-    return (day < FIRST_DAY) | (day > LAST_DAY)
+    return ~F.unix_date(typed).between(FIRST_DAY, LAST_DAY)
 
 
-def bad_timestamp_tz(value: Column, source: T.DataType) -> Column:
+def bad_timestamp_tz(value: Column, typed: Column, source: T.DataType) -> Column:
     """An instant outside years 0000 to 9999 in UTC, by whole seconds."""
-    second = F.unix_seconds(value.try_cast("timestamp"))
-    return (second < FIRST_SECOND) | (second > LAST_SECOND)
+    return ~F.unix_seconds(typed).between(FIRST_SECOND, LAST_SECOND)
 
 
-def bad_timestamp_ntz(value: Column, source: T.DataType) -> Column:
+def bad_timestamp_ntz(value: Column, typed: Column, source: T.DataType) -> Column:
     """A local timestamp outside years 0000 to 9999; its date decides, so no time zone matters."""
-    return bad_date(value.try_cast("timestamp_ntz"), source)
+    return bad_date(value, typed.cast("date"), source)
 
 
 RULES: dict[str, tuple[Rule, ...]] = {
@@ -84,17 +84,16 @@ RULES: dict[str, tuple[Rule, ...]] = {
 
 
 def violation(
-    value: Column, source: T.DataType, kind: str, rules: Mapping[str, Sequence[Rule]] = RULES
-) -> Column:
-    """Reason why ``value`` cannot be stored as ``kind``, or NULL if it can."""
-    reason = F.lit(None).cast("string")
-    if _is_text(source) and kind in ("integer", "number", "boolean", "date", "timestamp_tz", "timestamp_ntz"):
-        unreadable = value.isNotNull() & to_kind(value, source, kind).isNull()
-        reason = F.when(unreadable, TYPECAST)
-    checks = [rule(value, source) for rule in rules.get(kind, ())]
+    value: Column, typed: Column, source: T.DataType, kind: str, rules: Mapping[str, Sequence[Rule]] = RULES
+) -> Column | None:
+    """Reason why ``value`` cannot be stored as ``kind``, NULL if it can; None if it always can."""
+    reason = None
+    if _is_text(source) and kind in SPARK_TYPES:
+        reason = F.when(value.isNotNull() & typed.isNull(), TYPECAST)
+    checks = [check for rule in rules.get(kind, ()) if (check := rule(value, typed, source)) is not None]
     if checks:
-        too_large = reduce(lambda a, b: a | b, checks)
-        reason = F.when(too_large, SIZE_LIMIT).otherwise(reason)
+        bad = F.when(reduce(lambda a, b: a | b, checks), SIZE_LIMIT)
+        reason = bad if reason is None else F.coalesce(bad, reason)
     return reason
 
 
@@ -109,68 +108,84 @@ def validate(
 ) -> DataFrame:
     """Type every field, null what does not fit, and log the changes in the meta column.
 
-    Columns that are not fields pass through; the meta column comes last. ``on_unreadable="fail"`` raises for text
-    that is no value of its kind at all; out-of-range values are always nulled. ``cast=False``
-    only nulls, so that an encoder still sees number text with the scale it came with.
+    Columns that are not fields pass through; the meta column comes last.
+    ``on_unreadable="fail"`` raises for text that is no value of its kind at all;
+    out-of-range values are always nulled. ``cast=False`` only nulls, so that an
+    encoder still sees number text with the scale it came with.
     """
     names = names or MetaNames()
     kinds = {f.name: f.kind for f in fields}
-    reasons: dict[str, Column] = {}
-    projected: list[Column] = []
-    for item in df.schema:
-        value = column(item.name)
+    reserved = set(df.columns)
+    typed_names: dict[str, str] = {}
+    reason_names: dict[str, str] = {}
+    typed_columns: list[Column] = []
+    reason_columns: list[Column] = []
+    # One projection casts, the next one judges, the last one decides: Spark keeps them
+    # apart where a result is used more than once, so nothing is parsed twice.
+    for index, item in enumerate(df.schema):
         if item.name not in kinds:
-            if item.name != names.meta:
-                projected.append(value)
             continue
-        kind = kinds[item.name]
-        typed = to_kind(value, item.dataType, kind, enable_json) if cast else value
-        if kind in rules or _is_text(item.dataType) and kind == "boolean":
-            reason = violation(value, item.dataType, kind, rules)
+        kind, value = kinds[item.name], column(item.name)
+        typed_name = free_name(f"_typed{index}", reserved)
+        typed_columns.append(to_kind(value, item.dataType, kind, enable_json).alias(typed_name))
+        typed_names[item.name] = typed_name
+        reason = violation(value, F.col(typed_name), item.dataType, kind, rules)
+        if reason is not None:
             if on_unreadable == "fail":
                 message = F.concat(F.lit(f"column {item.name}: cannot read as {kind}: "), value.cast("string"))
                 reason = F.when(reason == TYPECAST, F.raise_error(message)).otherwise(reason)
-            reasons[item.name] = reason
-            typed = F.when(reason.isNull(), typed)
-        projected.append(typed.alias(item.name))
-    projected.append(_merged_meta(df, reasons, names.meta).alias(names.meta))
-    return df.select(*projected)
-
-
-def _merged_meta(df: DataFrame, reasons: Mapping[str, Column], meta: str) -> Column:
-    entries = [
-        F.when(
-            reason.isNotNull(),
-            F.struct(F.lit(name).alias("field"), F.lit(NULLED).alias("change"), reason.alias("reason")),
-        )
-        for name, reason in reasons.items()
-    ]
-    new = F.filter(F.array(*entries), lambda e: e.isNotNull()) if entries else F.array().cast(T.ArrayType(CHANGE))
-    if meta not in df.columns:
-        return F.to_json(F.struct(new.alias("changes")))
-    return append_changes(column(meta), new)
+            reason_names[item.name] = free_name(f"_reason{index}", reserved)
+            reason_columns.append(reason.alias(reason_names[item.name]))
+    judged = df.select("*", *typed_columns).select("*", *reason_columns)
+    projected = []
+    for item in df.schema:
+        if item.name == names.meta:
+            continue
+        value = column(item.name)
+        if item.name in kinds and cast:
+            value = F.col(typed_names[item.name])
+        if item.name in reason_names:
+            value = F.when(F.col(reason_names[item.name]).isNull(), value)
+        projected.append(value.alias(item.name))
+    entries = F.concat_ws(
+        ",", *(F.when(F.col(r).isNotNull(), _entry(name, F.col(r))) for name, r in reason_names.items())
+    )
+    meta = column(names.meta) if names.meta in df.columns else F.lit(EMPTY_META)
+    text = free_name("_entries", reserved)
+    return judged.select(*projected, meta.alias(names.meta), entries.alias(text)).withColumn(
+        names.meta, append_changes(column(names.meta), F.col(text))
+    ).drop(text)
+
 
+def _entry(name: str, reason: Column) -> Column:
+    head = f'{{"field":{json.dumps(name, ensure_ascii=False)},"change":"{NULLED}","reason":"'
+    return F.concat(F.lit(head), reason, F.lit('"}'))
 
-def append_changes(meta: Column, new: Column) -> Column:
-    """Add entries to the ``changes`` list of a meta JSON text; its other keys stay.
 
-    The text is parsed only where there is something to add. Meta that is no JSON
-    object is replaced by one that holds the new entries.
+def append_changes(meta: Column, entries: Column) -> Column:
+    """Add entries, as JSON text without brackets, to the ``changes`` list of a meta JSON text.
+
+    The meta text is parsed only where there is something to add; its other keys stay.
+    Meta that is no JSON object is replaced by one that holds the new entries.
     """
     others = F.map_filter(F.from_json(meta, "map<string,variant>"), lambda key, _: key != "changes")
-    other_text = F.to_json(others)
-    prefix = F.when(F.size(others) > 0, F.concat(_trim_ends(other_text), F.lit(","))).otherwise("")
+    prefix = F.when(F.size(others) > 0, F.concat(_trim_ends(F.to_json(others)), F.lit(",")))
     old_text = F.get_json_object(meta, "$.changes")
-    old_items = F.when(old_text.startswith("[") & (old_text != "[]"), F.concat(_trim_ends(old_text), F.lit(",")))
+    old_entries = F.when(old_text.startswith("[") & (old_text != "[]"), F.concat(_trim_ends(old_text), F.lit(",")))
     merged = F.concat(
         F.lit("{"),
         F.coalesce(prefix, F.lit("")),
         F.lit('"changes":['),
-        F.coalesce(old_items, F.lit("")),
-        _trim_ends(F.to_json(new)),
+        F.coalesce(old_entries, F.lit("")),
+        entries,
         F.lit("]}"),
     )
-    return F.when(F.size(new) > 0, merged).otherwise(F.coalesce(meta, F.lit('{"changes":[]}')))
+    only_new = F.concat(F.lit('{"changes":['), entries, F.lit("]}"))
+    return (
+        F.when(entries == "", F.coalesce(meta, F.lit(EMPTY_META)))
+        .when(meta.isNull() | (meta == EMPTY_META), only_new)
+        .otherwise(merged)
+    )
 
 
 def _trim_ends(text: Column) -> Column:

@@ -6,9 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tablesync.functions.types import column, spark_type
 from tablesync.functions.validate import validate
-from tablesync.spec import StreamSpec
-
-EMPTY_META = '{"changes":[]}'
+from tablesync.spec import EMPTY_META, StreamSpec
 
 
 def shape(

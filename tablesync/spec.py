@@ -27,6 +27,9 @@ KINDS = (
 UPSERT = 0
 DELETE = 1
 
+# Fixed value: meta text of a record without changes.
+EMPTY_META = '{"changes":[]}'
+
 # Fixed value: most records that form one load batch.
 MAX_RECORDS_PER_BATCH = 50_000
 

@@ -100,7 +100,7 @@ def test_unreadable_text_can_fail_and_rules_can_be_added(spark):
     df = spark.createDataFrame([("x",)], "v string")
     with pytest.raises(Exception, match="cannot read as integer"):
         validate(df, [Field("v", "integer")], on_unreadable="fail").collect()
-    rules = {"string": (lambda value, source: F.length(value) > 3,)}
+    rules = {"string": (lambda value, typed, source: F.length(value) > 3,)}
     kept = validate(spark.createDataFrame([("abc",), ("abcd",)], "v string"), [Field("v", "string")], rules=rules)
     assert [r["v"] for r in kept.collect()] == ["abc", None]
 
