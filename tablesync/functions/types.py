@@ -114,6 +114,36 @@ def column(name: str) -> Column:
     return F.col(quote_identifier(name))
 
 
+# Texts Spark reads as booleans.
+TRUE_TEXTS = ("t", "true", "y", "yes", "1")
+FALSE_TEXTS = ("f", "false", "n", "no", "0")
+
+INTEGER_TEXT = r"^\s*[+-]?[0-9]+\s*$"
+LONG_MIN, LONG_MAX = -(2**63), 2**63 - 1
+
+
+def safe_cast(value: Column, source: T.DataType, wanted: T.DataType) -> Column:
+    """``try_cast``, by cheaper means where a failing one throws inside Spark for every bad row.
+
+    A thrown and caught exception costs more than the rest of the row's work, so a
+    column full of bad values would be many times slower than one full of good ones.
+    """
+    if source == wanted:
+        return value
+    text = isinstance(source, T.StringType)
+    if text and isinstance(wanted, T.LongType):
+        number = F.when(value.rlike(INTEGER_TEXT), value.try_cast("decimal(38,0)"))
+        return F.when(number.between(F.lit(LONG_MIN).cast("decimal(38,0)"), F.lit(LONG_MAX).cast("decimal(38,0)")),
+                      number.cast("bigint"))
+    if text and isinstance(wanted, T.BooleanType):
+        word = F.lower(F.trim(value))
+        return F.when(word.isin(*TRUE_TEXTS), True).when(word.isin(*FALSE_TEXTS), False)
+    if isinstance(source, (T.DoubleType, T.FloatType)) and isinstance(wanted, T.DecimalType):
+        limit = float(10 ** (wanted.precision - wanted.scale))
+        return F.when(F.abs(value) < limit, value.try_cast(wanted))
+    return value.try_cast(wanted)
+
+
 def to_kind(value: Column, source: T.DataType, kind: str, enable_json: bool = False) -> Column:
     """Cast to the type of ``kind``; a value that does not fit becomes NULL.
 
@@ -129,5 +159,5 @@ def to_kind(value: Column, source: T.DataType, kind: str, enable_json: bool = Fa
         wanted = spark_type(kind, enable_json)
         if isinstance(wanted, T.VariantType):
             return F.try_parse_json(value.cast("string"))
-        return value if source == wanted else value.try_cast(wanted)
+        return safe_cast(value, source, wanted)
     return F.try_parse_json(text) if kind == "object" and enable_json else text

@@ -12,7 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tablesync.functions.types import SPARK_TYPES, column, kind_of, to_kind
+from tablesync.functions.types import INTEGER_TEXT, SPARK_TYPES, column, kind_of, to_kind
 from tablesync.spec import EMPTY_META, Field, MetaNames, free_name
 
 # Reason and change codes written to the meta column.
@@ -24,7 +24,6 @@ NULLED = "NULLED"
 FIRST_DAY, LAST_DAY = -719528, 2932896
 FIRST_SECOND, LAST_SECOND = -62167219200, 253402300799
 
-INTEGER_TEXT = r"^\s*[+-]?[0-9]+\s*$"
 NUMBER_TEXT = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 
 CHANGE = T.StructType(

@@ -8,7 +8,7 @@ from enum import Enum
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tablesync.functions.types import catalog_type, column, spark_type, target_type
+from tablesync.functions.types import catalog_type, column, safe_cast, spark_type, target_type
 from tablesync.spec import MetaNames, StreamSpec
 
 
@@ -165,10 +165,10 @@ def _cast(df: DataFrame, item: TableColumn, on_error: str):
         return F.try_parse_json(text) if on_error == "null" else F.parse_json(text)
     if isinstance(source, T.VariantType):
         return F.to_json(value).cast(item.data_type)
+    cast = safe_cast(value, source, item.data_type)
     if on_error == "null":
-        return value.try_cast(item.data_type)
-    # The plain cast must raise whether or not the session is in ANSI mode.
-    cast = value.try_cast(item.data_type)
+        return cast
+    # Raises whether or not the session is in ANSI mode.
     message = F.concat(F.lit(f"column {item.name}: cannot cast "), value.cast("string"))
     return F.when(value.isNotNull() & cast.isNull(), F.raise_error(message)).otherwise(cast)
 

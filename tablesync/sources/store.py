@@ -22,6 +22,7 @@ from dataclasses import dataclass, field, replace
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
+from tablesync.functions.encode import csv_line
 from tablesync.functions.types import column
 from tablesync.operators.batches import label_prefix
 from tablesync.operators.ledger import LABEL_EXISTS, SUCCESS, initial_status
@@ -529,15 +530,13 @@ def _order_safe(stored: DataFrame | None, resolved: DataFrame, keys, order_by, b
 def content_label(batch: DataFrame, table: str, prefix: str = "tablesync-") -> str:
     """Label of a batch of any size: same rows, same label, in whatever order they come.
 
-    Each row's SHA-256 is cut into four numbers that are summed over all rows, so the
-    work is one partial aggregation and no group holds the batch.
+    Each row's SHA-256 is spread into three numbers that are summed over all rows, so
+    the work is one partial aggregation and no group holds the batch.
     """
-    packed = F.struct(*(column(c) for c in sorted(batch.columns)))
-    digest = F.sha2(F.to_json(packed, {"ignoreNullFields": "false"}), 256)
-    pieces = [
-        F.sum(F.conv(F.substring("digest", 1 + 15 * i, 15), 16, 10).cast("decimal(20,0)")).cast("string").alias(f"s{i}")
-        for i in range(4)
-    ]
-    sums = batch.select(digest.alias("digest")).agg(F.count(F.lit(1)).cast("string").alias("n"), *pieces)
-    body = F.concat_ws(",", *(F.coalesce(F.col(c), F.lit("0")) for c in sums.columns))
+    ordered = batch.select(*(column(c) for c in sorted(batch.columns)))
+    digest = ordered.select(F.sha2(csv_line(ordered), 256).alias("digest"))
+    # The wide decimal leaves room for sums over any number of rows.
+    pieces = [F.sum(F.xxhash64("digest", F.lit(i)).cast("decimal(28,0)")).alias(f"s{i}") for i in range(3)]
+    sums = digest.agg(F.count(F.lit(1)).alias("n"), *pieces)
+    body = F.concat_ws(",", *(F.coalesce(F.col(c).cast("string"), F.lit("0")) for c in sums.columns))
     return sums.select(F.concat(F.lit(label_prefix(table, prefix)), F.sha2(body, 256))).first()[0]

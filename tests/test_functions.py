@@ -37,6 +37,12 @@ def check(spark, kind, expression):
         ("integer", f"'{'7' * 40}'", SIZE_LIMIT),
         ("integer", "9223372036854775808BD", SIZE_LIMIT),
         ("integer", "'seven'", TYPECAST),
+        ("integer", "'12.5'", TYPECAST),
+        ("integer", "' +7 '", None),
+        ("boolean", "'Yes'", None),
+        ("boolean", "'maybe'", TYPECAST),
+        ("number", "double('nan')", SIZE_LIMIT),
+        ("number", "-12.25D", None),
         ("number", "'123.456'", None),
         ("number", "'1e28'", None),
         ("number", "'-1e28'", None),
