@@ -14,34 +14,46 @@ from tablesync.spec import MAX_RECORDS_PER_BATCH, free_name
 ROW_BITS = 33
 
 
-def with_row_index(df: DataFrame, order_by: Sequence[str], name: str = "row_index") -> DataFrame:
-    """Number all rows from 0 in ``order_by`` order, without a single-task window.
+def range_sorted(df: DataFrame, order_by: Sequence[str], place: str) -> DataFrame:
+    """Rows range-partitioned and sorted by ``order_by``, with ``place`` = partition and row in it.
 
-    One range shuffle sorts the rows over all tasks, so ties on the leading column
-    or dense stretches still split. The sorted rows are checkpointed, which fixes
-    the partitions even if executors are lost later. Each partition's first index
-    is a running sum over one row per partition.
+    Ranges are taken over all order columns, so ties on the leading one, or one hot
+    value, still split over many tasks. The rows are checkpointed, which fixes the
+    partitions even if executors are lost later.
     """
     work_dir(df.sparkSession)
     order = [column(c) for c in order_by]
-    place = free_name("_place", df.columns)
-    part = free_name("_part", df.columns)
-    start = free_name("_start", df.columns)
-    placed = (
+    return (
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn(place, F.monotonically_increasing_id())
         .checkpoint()
-        .withColumn(part, F.shiftright(F.col(place), ROW_BITS))
     )
+
+
+def part_of(place: str) -> Column:
+    return F.shiftright(F.col(place), ROW_BITS)
+
+
+def row_in_part(place: str) -> Column:
+    return F.col(place).bitwiseAND(F.lit((1 << ROW_BITS) - 1))
+
+
+def with_row_index(df: DataFrame, order_by: Sequence[str], name: str = "row_index") -> DataFrame:
+    """Number all rows from 0 in ``order_by`` order, without a single-task window.
+
+    Rows are sorted over all tasks; each partition's first index is a running sum over
+    one row per partition.
+    """
+    place, part, start = (free_name(n, df.columns) for n in ("_place", "_part", "_start"))
+    placed = range_sorted(df, order_by, place).withColumn(part, part_of(place))
     sizes = placed.groupBy(part).agg(F.count(F.lit(1)).alias(start))
     before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
     # One row per shuffle partition: small whatever the data size, so broadcasting is safe.
     starts = sizes.select(part, F.coalesce(F.sum(start).over(before), F.lit(0)).alias(start))
-    row = F.col(place).bitwiseAND(F.lit((1 << ROW_BITS) - 1))
     return (
         placed.join(F.broadcast(starts), part)
-        .withColumn(name, F.col(start) + row)
+        .withColumn(name, F.col(start) + row_in_part(place))
         .drop(place, part, start)
     )
 
@@ -57,7 +69,7 @@ def assign_batches(
     if max_records < 1:
         raise ValueError("max_records must be at least 1")
     index = free_name("_index", df.columns)
-    numbered = with_row_index(df, order_by, index).withColumn(batch, F.floor(F.col(index) / max_records).cast("long"))
+    numbered = with_row_index(df, order_by, index).withColumn(batch, F.expr(f"{index} div {max_records}"))
     if position:
         numbered = numbered.withColumn(position, (F.col(index) % max_records).cast("int"))
     return numbered.drop(index)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tablesync.functions.types import column
-from tablesync.session import work_dir
+from tablesync.operators.batches import part_of, range_sorted, row_in_part
 from tablesync.spec import free_name
 
 
@@ -17,28 +17,28 @@ def change_history(
     """Every event kept; ``valid_to`` is ``valid_from`` of the key's next event, NULL for the last.
 
     A window over the key alone would put a hot key into one task. Here rows are
-    range-partitioned by key and order, so a hot key spreads over many slices. The
-    window runs inside a slice, and the last row of a slice takes its next event
-    from the following slice's first row: one row per slice, whatever the data size.
+    sorted over all tasks by key and order, so a hot key spreads over many slices,
+    and the window groups by slice and key. A key's last row in a slice takes its
+    next event from the following slice's first row, if that is the same key: one
+    row per slice, whatever the data size.
     """
-    work_dir(df.sparkSession)
-    taken = list(df.columns)
-    slice_id, head, inner = (free_name(n, taken) for n in ("_slice", "_head", "_next"))
-    sort = [column(c) for c in [*keys, *order_by]]
-    sliced = df.repartitionByRange(*sort).withColumn(slice_id, F.spark_partition_id()).checkpoint()
-
-    first = F.min(F.struct(*(column(c).alias(f"c{i}") for i, c in enumerate([*keys, *order_by, valid_from]))))
-    heads = sliced.groupBy(slice_id).agg(first.alias(head))
-    following = heads.select(slice_id, F.lead(head).over(Window.orderBy(slice_id)).alias(head))
-
-    window = Window.partitionBy(slice_id).orderBy(*sort)
-    next_key = F.lead(F.struct(*(column(k).alias(f"c{i}") for i, k in enumerate(keys)))).over(window)
-    nexts = F.struct(next_key.alias("key"), F.lead(column(valid_from)).over(window).alias("value"), F.lead(F.lit(1)).over(window).alias("seen"))
-    own = F.struct(*(column(k).alias(f"c{i}") for i, k in enumerate(keys)))
-    head_key = F.struct(*(F.col(head)[f"c{i}"].alias(f"c{i}") for i in range(len(keys))))
-    head_value = F.col(head)[f"c{len(keys) + len(order_by)}"]
-    joined = sliced.withColumn(inner, nexts).join(F.broadcast(following), slice_id)
-    until = F.when(
-        F.col(inner)["seen"].isNotNull(), F.when(F.col(inner)["key"].eqNullSafe(own), F.col(inner)["value"])
-    ).when(head_key.eqNullSafe(own), head_value)
-    return joined.select(*(column(c) for c in taken), until.alias(valid_to))
+    place, slice_id, head, following = (free_name(n, df.columns) for n in ("_place", "_slice", "_head", "_following"))
+    later, found = free_name("_later", df.columns), free_name("_found", df.columns)
+    sliced = range_sorted(df, [*keys, *order_by], place).withColumn(slice_id, part_of(place))
+
+    own_key = F.struct(*(column(k).alias(f"k{i}") for i, k in enumerate(keys)))
+    heads = sliced.filter(row_in_part(place) == 0).select(
+        slice_id, F.struct(own_key.alias("key"), column(valid_from).alias("value")).alias(head)
+    )
+    followers = heads.select(slice_id, F.lead(head).over(Window.orderBy(slice_id)).alias(following))
+
+    window = Window.partitionBy(slice_id, *(column(k) for k in keys)).orderBy(*(column(c) for c in order_by))
+    nexts = sliced.withColumn(later, F.lead(column(valid_from)).over(window)).withColumn(
+        found, F.lead(F.lit(True)).over(window)
+    )
+    until = F.when(F.col(found), F.col(later)).when(
+        F.col(following)["key"].eqNullSafe(own_key), F.col(following)["value"]
+    )
+    return nexts.join(F.broadcast(followers), slice_id).select(
+        *(column(c) for c in df.columns), until.alias(valid_to)
+    )

@@ -17,26 +17,32 @@ def append(target: DataFrame, batch: DataFrame) -> DataFrame:
     return target.unionByName(batch, allowMissingColumns=True)
 
 
-def delete_by_key(target: DataFrame, deletes: DataFrame, keys: Sequence[str], salt: int = 0) -> DataFrame:
+def delete_by_key(
+    target: DataFrame, deletes: DataFrame, keys: Sequence[str], salt: int = 0, unique: bool = False
+) -> DataFrame:
     """Rows of ``target`` whose key is not among ``deletes``. A NULL key matches nothing.
 
-    AQE splits a skewed target side of an anti-join. Where a target without a unique
-    key is known to have a hot one, ``salt`` spreads its rows over that many groups;
-    only the key list is repeated.
+    The keys are made distinct before the shuffle, unless they are known to be
+    ``unique``, so a key that is deleted very often weighs no more than others. AQE
+    splits a skewed target side of an anti-join. Where a target without a unique key
+    is known to have a hot one, ``salt`` spreads its rows over that many groups; only
+    the key list is repeated.
     """
     wanted = deletes.select(*(column(k) for k in keys))
+    if not unique:
+        wanted = wanted.distinct()
     if salt < 2:
         return target.join(wanted, list(keys), "left_anti")
     name = free_name("_salt", target.columns)
     # A hash of the row, not a random number, so that a retried task sends rows to the same place.
     spread = F.pmod(F.xxhash64(*(column(c) for c in target.columns)), F.lit(salt)).cast("int")
-    copies = wanted.distinct().withColumn(name, F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
+    copies = wanted.withColumn(name, F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
     return target.withColumn(name, spread).join(copies, [*keys, name], "left_anti").drop(name)
 
 
 def upsert(target: DataFrame, upserts: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Insert rows, replacing those of the same key. ``upserts`` has one row per key."""
-    return append(delete_by_key(target, upserts, keys), upserts)
+    return append(delete_by_key(target, upserts, keys, unique=True), upserts)
 
 
 def merge(target: DataFrame, resolved: DataFrame, keys: Sequence[str], op: str = "__op") -> DataFrame:
@@ -46,7 +52,7 @@ def merge(target: DataFrame, resolved: DataFrame, keys: Sequence[str], op: str =
     Fits a batch that is small against its target: AQE then broadcasts the keys.
     """
     upserts, _ = route(resolved, op)
-    return append(delete_by_key(target, resolved, keys), upserts)
+    return append(delete_by_key(target, resolved, keys, unique=True), upserts)
 
 
 def merge_events(target: DataFrame, events: DataFrame, spec: StreamSpec) -> DataFrame:

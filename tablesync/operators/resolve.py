@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
@@ -28,18 +29,17 @@ def last_event_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[st
     one row per map task. With the order columns first, the greatest struct is the
     latest row, and the other columns break ties the same way on every run.
     """
-    rest = [c for c in df.columns if c not in order_by]
+    rest = [c for c in df.columns if c not in order_by and c not in keys]
     order = [column(c) for c in order_by]
     packed = F.struct(*order, *(column(c) for c in rest))
-    if all(_orderable(f.dataType) for f in df.schema):
+    if all(_orderable(df.schema[c].dataType) for c in rest):
         latest = F.max(packed)
     else:
         latest = F.max_by(packed, F.struct(*order, *(column(c) for c in rest if _orderable(df.schema[c].dataType))))
     row = free_name("_row", df.columns)
-    picked = df.groupBy(*(column(k).alias(free_name(f"_k{i}", df.columns)) for i, k in enumerate(keys))).agg(
-        latest.alias(row)
-    )
-    return picked.select(*(F.col(row)[c].alias(c) for c in df.columns))
+    picked = df.groupBy(*(column(k) for k in keys)).agg(latest.alias(row))
+    # Keys come from the grouping, so a reader of the keys alone gets a plain DISTINCT.
+    return picked.select(*(column(c) if c in keys else F.col(row)[c].alias(c) for c in df.columns))
 
 
 def last_event_window(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
@@ -73,7 +73,7 @@ def route(resolved: DataFrame, op: str = "__op") -> tuple[DataFrame, DataFrame]:
 
 def null_key(keys: Sequence[str]) -> Column:
     """True where any key column is NULL."""
-    return F.array_contains(F.array(*(column(k).isNull() for k in keys)), True)
+    return reduce(lambda a, b: a | b, (column(k).isNull() for k in keys))
 
 
 def require_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

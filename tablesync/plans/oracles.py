@@ -214,9 +214,11 @@ ORACLES: dict[str, str] = {
     "batch_assign": f"SELECT event_id, batch_id, CAST(position AS INTEGER) AS position FROM ({BATCHED})",
     "batch_labels": LABELS,
     "batch_labels_by_row_digest": f"""
-        SELECT source AS batch_id, 'tablesync-documents-' || sha256(string_agg(digest, chr(10) ORDER BY digest) || chr(10)) AS label,
+        SELECT batch_id, 'tablesync-documents-' || sha256(string_agg(digest, chr(10) ORDER BY digest) || chr(10)) AS label,
                count(*) AS row_count
-        FROM (SELECT source, sha256({DOCUMENT_LINE}) AS digest FROM documents) GROUP BY source""",
+        FROM (SELECT (row_number() OVER (ORDER BY doc_id) - 1) // 1000 AS batch_id, sha256({DOCUMENT_LINE}) AS digest
+              FROM documents)
+        GROUP BY batch_id""",
     "ledger_dedup": f"""
         SELECT batch_id, label, row_count FROM ({LABELS}) WHERE batch_id NOT IN (
             SELECT batch_id FROM ({BATCHED}) GROUP BY batch_id HAVING max(ts) < TIMESTAMP '2024-01-16 00:00:00')""",

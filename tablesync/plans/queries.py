@@ -454,8 +454,7 @@ def batch_assign(spark, sf_dir):
     return event_batches(spark, sf_dir).select("event_id", "batch_id", "position")
 
 
-def labelled(spark, sf_dir) -> DataFrame:
-    cut = event_batches(spark, sf_dir)
+def labelled(cut: DataFrame) -> DataFrame:
     body = cut.select("event_id", "user_id", "event_type", "props")
     lines = cut.select("batch_id", "position", csv_line(body).alias("line"))
     return batches.batch_labels(lines, "activity", order_by=["position"])
@@ -463,24 +462,26 @@ def labelled(spark, sf_dir) -> DataFrame:
 
 @query
 def batch_labels(spark, sf_dir):
-    return labelled(spark, sf_dir)
+    return labelled(event_batches(spark, sf_dir))
 
 
 @query
 def batch_labels_by_row_digest(spark, sf_dir):
     """Labels for very long rows: whole documents, hashed row by row first."""
     documents = table(spark, sf_dir, "documents")
-    lines = documents.select(F.col("source").alias("batch_id"), csv_line(documents).alias("line"))
+    cut = batches.assign_batches(documents, ["doc_id"], BATCH_ROWS)
+    lines = cut.select("batch_id", csv_line(cut.select(*documents.columns)).alias("line"))
     return batches.batch_labels(lines, "documents", digest="rows")
 
 
 @query
 def ledger_dedup(spark, sf_dir):
     """All batches are sent again; those that end before the cut are in the ledger."""
-    labels = labelled(spark, sf_dir)
-    ends = event_batches(spark, sf_dir).groupBy("batch_id").agg(F.max("ts").alias("last_ts"))
-    loaded = before(ends.withColumnRenamed("last_ts", "ts")).select("batch_id")
-    return ledger.pending(labels, labels.join(loaded, "batch_id", "left_semi"))
+    cut = event_batches(spark, sf_dir)
+    # One row per batch, used twice.
+    labels = labelled(cut).checkpoint()
+    ends = cut.groupBy("batch_id").agg(F.max("ts").alias("ts"))
+    return ledger.pending(labels, labels.join(before(ends), "batch_id", "left_semi"))
 
 
 def accounted(spark, sf_dir) -> DataFrame:

@@ -26,6 +26,7 @@ from tablesync.functions.encode import csv_line
 from tablesync.functions.types import column
 from tablesync.operators.batches import label_prefix
 from tablesync.operators.ledger import LABEL_EXISTS, SUCCESS, initial_status
+from tablesync.operators.merge import order_safe_upsert
 from tablesync.operators.resolve import last_event_per_key, require_keys, with_op
 from tablesync.operators.schema import (
     Changeset,
@@ -328,10 +329,10 @@ class TableStore:
             touched = {r[bucket] for r in stats}
             old_parts = [part for part, number in snapshot.parts.items() if number in touched]
             stored = self._bucketed(self._rows(snapshot, old_parts), snapshot, bucket) if old_parts else None
+            small = sum(r[size] for r in stats) <= BROADCAST_BYTES
             if snapshot.tombstones:
-                rows = _order_safe(stored, resolved, keys, spec.order_by, bucket)
+                rows = _order_safe(stored, resolved, keys, spec.order_by, bucket, small)
             else:
-                small = sum(r[size] for r in stats) <= BROADCAST_BYTES
                 rows = _merged(stored, resolved, keys, op, bucket, small)
             new = replace(snapshot, version=snapshot.version + 1)
             written = self._write_bucketed(namespace, table, rows, bucket)
@@ -422,7 +423,9 @@ class TableStore:
         return snapshot
 
     def _load_snapshot(self, namespace: str, table: str, version: int) -> Snapshot:
-        raw = json.loads(self.files.read_text(f"{self._log(namespace, table)}/{version:012d}.json"))
+        log = self._log(namespace, table)
+        entry = json.loads(self.files.read_text(f"{log}/{version:012d}.json"))
+        raw = json.loads(self.files.read_text(f"{log}/{entry['state']}"))
         schema = T.StructType.fromJson(raw["schema"])
         layout = Layout(
             tuple(TableColumn(f.name, f.dataType, f.nullable) for f in schema),
@@ -430,12 +433,12 @@ class TableStore:
             KeyModel(raw["model"]),
         )
         return Snapshot(
-            raw["version"], layout, raw["buckets"], raw["tombstones"], raw["parts"], raw["progress"], tuple(raw["retired"])
+            version, layout, raw["buckets"], raw["tombstones"], raw["parts"], raw["progress"], tuple(raw["retired"])
         )
 
     def _publish(self, namespace: str, table: str, snapshot: Snapshot, entry: Mapping | None = None) -> None:
-        manifest = {
-            "version": snapshot.version,
+        """Write the new state, then make it current by one small file that only one writer can create."""
+        state = {
             "schema": snapshot.layout.schema.jsonValue(),
             "keys": list(snapshot.layout.keys),
             "model": snapshot.layout.model.value,
@@ -444,13 +447,16 @@ class TableStore:
             "parts": dict(snapshot.parts),
             "progress": dict(snapshot.progress),
             "retired": list(snapshot.retired),
-            **(entry or {}),
         }
         log = self._log(namespace, table)
         self.files.make_folder(log)
+        name = f"state-{uuid.uuid4().hex}"
+        self.files.create_text(f"{log}/{name}", json.dumps(state))
+        manifest = {"version": snapshot.version, "state": name, **(entry or {})}
         try:
             self.files.create_text(f"{log}/{snapshot.version:012d}.json", json.dumps(manifest))
         except FileExists:
+            self.files.delete(f"{log}/{name}")
             raise WriteConflict(f"{namespace}.{table} version {snapshot.version}") from None
 
     def _rows(self, snapshot: Snapshot, parts: Iterable[str]) -> DataFrame:
@@ -515,10 +521,16 @@ def _merged(stored: DataFrame | None, resolved: DataFrame, keys, op: str, bucket
     )
 
 
-def _order_safe(stored: DataFrame | None, resolved: DataFrame, keys, order_by, bucket: str) -> DataFrame:
+def _order_safe(stored: DataFrame | None, resolved: DataFrame, keys, order_by, bucket: str, small: bool) -> DataFrame:
     """Newest row per key by ``order_by``, deletes kept as tombstones."""
     if stored is None:
         return resolved.repartition(bucket)
+    if small:
+        # Only stored rows of the batch's keys are compared; the others stay where they are.
+        touched = F.broadcast(resolved.select(*(column(k) for k in keys)))
+        others = stored.join(touched, list(keys), "left_anti")
+        compared = order_safe_upsert(stored.join(touched, list(keys), "left_semi"), resolved, keys, order_by)
+        return others.unionByName(compared.repartition(bucket))
     rank, place = free_name("_rank", resolved.columns), free_name("_place", resolved.columns)
     both = stored.withColumn(rank, F.lit(0)).unionByName(resolved.withColumn(rank, F.lit(1)))
     newest = Window.partitionBy(bucket, *(column(k) for k in keys)).orderBy(

@@ -147,7 +147,9 @@ def test_second_writer_fails(spark, store):
     snapshot = store._snapshot("db", "people")
     with pytest.raises(WriteConflict):
         store._publish("db", "people", snapshot)
-    assert all(n.endswith(".json") for n in store.files.names(store._log("db", "people")))
+    left = store.files.names(store._log("db", "people"))
+    manifests = [n for n in left if n.endswith(".json")]
+    assert len(left) == 2 * len(manifests) and not any(n.endswith(".tmp") for n in left)
 
 
 def test_swap_and_drop(spark, store):
