@@ -22,8 +22,10 @@ def _orderable(data_type: T.DataType) -> bool:
     return not isinstance(data_type, UNORDERABLE)
 
 
-def last_event_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
-    """The latest row of every key by ``order_by``.
+def last_event_per_key(
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[str], count: str | None = None
+) -> DataFrame:
+    """The latest row of every key by ``order_by``; ``count`` adds how many rows the key had.
 
     The aggregation runs partially before the shuffle, so a hot key sends at most
     one row per map task. With the order columns first, the greatest struct is the
@@ -37,9 +39,11 @@ def last_event_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[st
     else:
         latest = F.max_by(packed, F.struct(*order, *(column(c) for c in rest if _orderable(df.schema[c].dataType))))
     row = free_name("_row", df.columns)
-    picked = df.groupBy(*(column(k) for k in keys)).agg(latest.alias(row))
+    counted = [F.count(F.lit(1)).alias(count)] if count else []
+    picked = df.groupBy(*(column(k) for k in keys)).agg(latest.alias(row), *counted)
     # Keys come from the grouping, so a reader of the keys alone gets a plain DISTINCT.
-    return picked.select(*(column(c) if c in keys else F.col(row)[c].alias(c) for c in df.columns))
+    columns = [column(c) if c in keys else F.col(row)[c].alias(c) for c in df.columns]
+    return picked.select(*columns, *([count] if count else []))
 
 
 def last_event_window(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:

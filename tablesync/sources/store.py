@@ -26,7 +26,7 @@ from tablesync.functions.encode import csv_line
 from tablesync.functions.types import column
 from tablesync.operators.batches import label_prefix
 from tablesync.operators.ledger import LABEL_EXISTS, SUCCESS, initial_status
-from tablesync.operators.merge import order_safe_upsert
+from tablesync.operators.merge import merge, order_safe_upsert
 from tablesync.operators.resolve import last_event_per_key, require_keys, with_op
 from tablesync.operators.schema import (
     Changeset,
@@ -86,10 +86,19 @@ class Snapshot:
     parts: Mapping[str, int | None] = field(default_factory=dict)
     progress: Mapping[str, int] = field(default_factory=dict)
     retired: tuple[str, ...] = ()
+    # Operations not merged yet: folder to the version that brought it.
+    deltas: Mapping[str, int] = field(default_factory=dict)
 
 
 class TableStore:
-    """Namespaces and tables under one root folder that all executors share."""
+    """Namespaces and tables under one root folder that all executors share.
+
+    ``buckets`` is the number of parts of a new keyed table; size it so that one part
+    holds a few hundred megabytes, and use ``rebucket`` when the table has outgrown it.
+    ``fold_after`` lets that many batches wait before they are merged: a load then
+    writes only its own rows, readers merge what waits, and a table whose batches touch
+    all parts is rewritten once for many batches instead of once for each.
+    """
 
     def __init__(
         self,
@@ -98,13 +107,14 @@ class TableStore:
         names: MetaNames | None = None,
         default_namespace: str | None = None,
         buckets: int | None = None,
+        fold_after: int = 0,
     ):
         self.spark = spark
         self.root = root.rstrip("/")
         self.names = names or MetaNames()
         self.default_namespace = default_namespace
-        # Size it so that one bucket of a keyed table holds a few hundred megabytes.
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.fold_after = fold_after
         self.files = SharedFiles(spark)
 
     # Namespaces and tables
@@ -147,7 +157,7 @@ class TableStore:
         if current is None:
             return
         self.files.delete(self._log(namespace, table))
-        for part in current.parts:
+        for part in [*current.parts, *current.deltas]:
             self.files.delete(f"{self.root}/{part}")
 
     def replace_by(self, source: tuple[str, str], target: tuple[str, str]) -> None:
@@ -172,9 +182,12 @@ class TableStore:
     # Reading
 
     def read(self, namespace: str, table: str) -> DataFrame:
-        """Current rows, without tombstones."""
+        """Current rows: waiting operations applied, tombstones left out."""
         snapshot = self._require(namespace, table)
         rows = self._rows(snapshot, snapshot.parts)
+        if snapshot.deltas:
+            op = self._op(snapshot)
+            rows = merge(rows, self._waiting(snapshot, op), snapshot.layout.keys, op)
         if snapshot.tombstones:
             rows = rows.filter(column(self.names.op) == UPSERT).drop(self.names.op)
         return rows
@@ -233,6 +246,7 @@ class TableStore:
         if change.is_noop:
             return
         namespace, table = self.target(spec)
+        self.fold(namespace, table)
         old = self._require(namespace, table)
         if old.tombstones:
             layout = _with_op_column(evolved_layout(_without(old.layout, self.names.op), spec, change), spec)
@@ -249,6 +263,16 @@ class TableStore:
             return
         self._publish(namespace, table, new)
 
+    def rebucket(self, namespace: str, table: str, buckets: int) -> None:
+        """Split a keyed table into another number of parts, in one shuffle."""
+        self.fold(namespace, table)
+        old = self._require(namespace, table)
+        if old.layout.model is not KeyModel.PRIMARY:
+            raise ValueError("only keyed tables have buckets")
+        new = replace(old, version=old.version + 1, buckets=buckets)
+        parts = self._write(namespace, table, self._rows(old, old.parts), new)
+        self._publish(namespace, table, replace(new, parts=parts))
+
     # Loading
 
     def load(
@@ -303,46 +327,90 @@ class TableStore:
         return self._finish(namespace, table, new, LoadResult(SUCCESS, loaded, loaded), label, progress)
 
     def _merge(self, namespace, table, snapshot, spec, batch, label, progress) -> LoadResult:
-        keys, op = snapshot.layout.keys, free_name(self.names.op, batch.columns)
-        bucket, size = free_name("bucket", batch.columns), "_key_bytes"
-        if snapshot.tombstones:
-            op = self.names.op
-        latest = with_op(last_event_per_key(require_keys(batch, keys), keys, spec.order_by), spec, op)
-        resolved = self._bucketed(
-            conform(latest, T.StructType([*(f for f in snapshot.layout.schema if f.name != op), T.StructField(op, T.IntegerType())])),
-            snapshot, bucket,
-        ).persist(StorageLevel.MEMORY_AND_DISK)
+        keys, op = snapshot.layout.keys, self._op(snapshot)
+        events = free_name("_events", [*batch.columns, op])
+        latest = last_event_per_key(require_keys(batch, keys), keys, spec.order_by, count=events)
+        operations = conform(with_op(latest, spec, op), _operations(snapshot, op).add(events, T.LongType()))
+        if self.fold_after and not snapshot.tombstones:
+            return self._defer(namespace, table, snapshot, operations, op, events, label, progress)
+        parts, done = self._rewrite(namespace, table, snapshot, operations, spec.order_by, op, events)
+        if done.buffered == 0:
+            return done
+        new = replace(snapshot, version=snapshot.version + 1, parts=parts)
+        return self._finish(namespace, table, new, done, label, progress)
+
+    def _defer(self, namespace, table, snapshot, operations, op, events, label, progress) -> LoadResult:
+        """Publish the batch's operations as they are; merge all waiting ones when there are enough."""
+        part = self._new_part(namespace, table)
+        operations.write.parquet(f"{self.root}/{part}")
+        schema = T.StructType([T.StructField(op, T.IntegerType()), T.StructField(events, T.LongType())])
+        written = self.spark.read.schema(schema).parquet(f"{self.root}/{part}")
+        counts = written.agg(*_counts(op, events)).first()
+        if not counts["buffered"]:
+            self.files.delete(f"{self.root}/{part}")
+            return LoadResult(SUCCESS)
+        done = LoadResult(SUCCESS, counts["buffered"], counts["upserts"], counts["deletes"])
+        version = snapshot.version + 1
+        new = replace(snapshot, version=version, deltas={**snapshot.deltas, part: version})
+        if len(new.deltas) > self.fold_after:
+            new = self._folded(namespace, table, new)
+        return self._finish(namespace, table, new, done, label, progress)
+
+    def fold(self, namespace: str, table: str) -> None:
+        """Merge all waiting operations into the table's folders."""
+        snapshot = self._require(namespace, table)
+        if snapshot.deltas:
+            new = self._folded(namespace, table, replace(snapshot, version=snapshot.version + 1))
+            self._publish(namespace, table, new)
+
+    def _folded(self, namespace, table, snapshot: Snapshot) -> Snapshot:
+        op = self._op(snapshot)
+        waiting = self._waiting(snapshot, op)
+        events = free_name("_events", waiting.columns)
+        operations = waiting.withColumn(events, F.lit(1).cast("long"))
+        parts, _ = self._rewrite(namespace, table, replace(snapshot, deltas={}), operations, (), op, events)
+        return replace(snapshot, parts=parts, deltas={})
+
+    def _waiting(self, snapshot: Snapshot, op: str) -> DataFrame:
+        """The latest waiting operation of every key; later batches win."""
+        schema = _operations(snapshot, op)
+        rank = free_name("_rank", schema.names)
+        waiting = None
+        for part, version in snapshot.deltas.items():
+            rows = self.spark.read.schema(schema).parquet(f"{self.root}/{part}").withColumn(rank, F.lit(version))
+            waiting = rows if waiting is None else waiting.unionByName(rows)
+        return last_event_per_key(waiting, snapshot.layout.keys, [rank]).drop(rank)
+
+    def _rewrite(self, namespace, table, snapshot, operations, order_by, op, events):
+        """Merge operations, one per key, into the buckets they touch: (new parts, what was done)."""
+        keys, bucket = snapshot.layout.keys, free_name("bucket", operations.columns)
+        resolved = self._bucketed(operations, snapshot, bucket).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             key_bytes = F.octet_length(F.concat_ws("", *(column(k).cast("string") for k in keys))) + 32
             stats = (
                 resolved.groupBy(bucket)
-                .agg(
-                    F.count_if(column(op) == UPSERT).alias("upserts"),
-                    F.count_if(column(op) == DELETE).alias("deletes"),
-                    F.sum(key_bytes).alias(size),
-                )
+                .agg(*_counts(op, events), F.sum(key_bytes).alias("key_bytes"))
                 .collect()  # one row per bucket
             )
-            upserts, deletes = sum(r["upserts"] for r in stats), sum(r["deletes"] for r in stats)
-            if not stats:
-                return LoadResult(SUCCESS)
             touched = {r[bucket] for r in stats}
             old_parts = [part for part, number in snapshot.parts.items() if number in touched]
             stored = self._bucketed(self._rows(snapshot, old_parts), snapshot, bucket) if old_parts else None
-            small = sum(r[size] for r in stats) <= BROADCAST_BYTES
-            if snapshot.tombstones:
-                rows = _order_safe(stored, resolved, keys, spec.order_by, bucket, small)
-            else:
-                rows = _merged(stored, resolved, keys, op, bucket, small)
-            new = replace(snapshot, version=snapshot.version + 1)
-            written = self._write_bucketed(namespace, table, rows, bucket)
+            small = sum(r["key_bytes"] for r in stats) <= BROADCAST_BYTES
+            plan = _order_safe if snapshot.tombstones else _merged
+            written = {}
+            if touched:
+                rows = plan(stored, resolved.drop(events), keys, order_by, op, bucket, small)
+                written = self._write_bucketed(namespace, table, rows, bucket)
             kept = {part: number for part, number in snapshot.parts.items() if number not in touched}
-            new = replace(new, parts={**kept, **written})
-            done = LoadResult(SUCCESS, upserts + deletes, upserts, deletes)
-            return self._finish(namespace, table, new, done, label, progress)
+            total = {name: sum(r[name] for r in stats) for name in ("buffered", "upserts", "deletes")}
+            return {**kept, **written}, LoadResult(SUCCESS, **total)
         finally:
             resolved.unpersist()
 
+    def _op(self, snapshot: Snapshot) -> str:
+        """Name of the operation column: a column of its own in a table with tombstones."""
+        return self.names.op if snapshot.tombstones else free_name(self.names.op, snapshot.layout.schema.names)
+
     def _finish(self, namespace, table, new, result, label, progress) -> LoadResult:
         if progress:
             new = replace(new, progress={**new.progress, progress[0]: progress[1]})
@@ -391,7 +459,8 @@ class TableStore:
         versions = sorted(int(n.removesuffix(".json")) for n in self.files.names(log) if n.endswith(".json"))
         kept, old = set(), set()
         for version in versions:
-            (kept if version >= first_kept else old).update(self._load_snapshot(namespace, table, version).parts)
+            snapshot = self._load_snapshot(namespace, table, version)
+            (kept if version >= first_kept else old).update([*snapshot.parts, *snapshot.deltas])
         unused = sorted(old - kept)
         for part in unused:
             self.files.delete(f"{self.root}/{part}")
@@ -433,7 +502,14 @@ class TableStore:
             KeyModel(raw["model"]),
         )
         return Snapshot(
-            version, layout, raw["buckets"], raw["tombstones"], raw["parts"], raw["progress"], tuple(raw["retired"])
+            version,
+            layout,
+            raw["buckets"],
+            raw["tombstones"],
+            raw["parts"],
+            raw["progress"],
+            tuple(raw["retired"]),
+            raw["deltas"],
         )
 
     def _publish(self, namespace: str, table: str, snapshot: Snapshot, entry: Mapping | None = None) -> None:
@@ -447,6 +523,7 @@ class TableStore:
             "parts": dict(snapshot.parts),
             "progress": dict(snapshot.progress),
             "retired": list(snapshot.retired),
+            "deltas": dict(snapshot.deltas),
         }
         log = self._log(namespace, table)
         self.files.make_folder(log)
@@ -499,7 +576,20 @@ def _without(layout: Layout, name: str) -> Layout:
     return replace(layout, columns=tuple(c for c in layout.columns if c.name != name))
 
 
-def _merged(stored: DataFrame | None, resolved: DataFrame, keys, op: str, bucket: str, small: bool) -> DataFrame:
+def _operations(snapshot: Snapshot, op: str) -> T.StructType:
+    """Columns of the table and the operation code."""
+    return T.StructType([*(f for f in snapshot.layout.schema if f.name != op), T.StructField(op, T.IntegerType())])
+
+
+def _counts(op: str, events: str) -> list:
+    return [
+        F.coalesce(F.sum(events), F.lit(0)).alias("buffered"),
+        F.count_if(column(op) == UPSERT).alias("upserts"),
+        F.count_if(column(op) == DELETE).alias("deletes"),
+    ]
+
+
+def _merged(stored: DataFrame | None, resolved: DataFrame, keys, _, op: str, bucket: str, small: bool) -> DataFrame:
     """Rows of the touched buckets after the batch, laid out by bucket for writing."""
     upserts = resolved.filter(column(op) == UPSERT).drop(op)
     if stored is None:
@@ -521,7 +611,7 @@ def _merged(stored: DataFrame | None, resolved: DataFrame, keys, op: str, bucket
     )
 
 
-def _order_safe(stored: DataFrame | None, resolved: DataFrame, keys, order_by, bucket: str, small: bool) -> DataFrame:
+def _order_safe(stored: DataFrame | None, resolved: DataFrame, keys, order_by, op: str, bucket: str, small: bool) -> DataFrame:
     """Newest row per key by ``order_by``, deletes kept as tombstones."""
     if stored is None:
         return resolved.repartition(bucket)

@@ -254,3 +254,56 @@ def test_odd_names(spark, store):
     sync(store, s, df)
     sync(store, s, df)
     assert [tuple(r) for r in store.read("db", "t/1 x").select("seq").collect()] == [(2,)]
+
+
+def test_deferred_merges_read_the_same_and_fold(spark, root):
+    at_once = TableStore(spark, root + "-a", buckets=4)
+    deferred = TableStore(spark, root + "-b", buckets=4, fold_after=2)
+    batches = [
+        [(i, "a", i, None) for i in range(20)],
+        [(1, "b", 30, None), (2, "b", 31, "t"), (50, "new", 32, None)],
+        [(1, "c", 40, "t"), (2, "c", 41, None), (3, "c", 42, None), (3, "d", 43, None)],
+        [(4, "e", 50, "t"), (1, "e", 51, None)],
+    ]
+    waiting = []
+    for batch in batches:
+        results = [sync(store, spec(), records(spark, batch)) for store in (at_once, deferred)]
+        assert [(r.buffered, r.upserts, r.deletes) for r in results[:1]] == [(r.buffered, r.upserts, r.deletes) for r in results[1:]]
+        assert state(deferred) == state(at_once)
+        assert deferred.count("db", "people") == at_once.count("db", "people")
+        waiting.append(len(deferred._snapshot("db", "people").deltas))
+    assert waiting == [1, 2, 0, 1]
+    assert sync(deferred, spec(), records(spark, [])).version is None
+    deferred.fold("db", "people")
+    assert not deferred._snapshot("db", "people").deltas and state(deferred) == state(at_once)
+
+
+def test_deferred_merges_survive_evolution_swap_and_vacuum(spark, root):
+    store = TableStore(spark, root, buckets=2, fold_after=5)
+    sync(store, spec(), records(spark, [(1, "1", 1, None), (2, "2", 2, None)]))
+    sync(store, spec(), records(spark, [(2, "2", 3, "t")]))
+    store.replace_by(("db", "people"), ("db", "moved"))
+    store.replace_by(("db", "moved"), ("db", "people"))
+    assert state(store) == [(1, "1")]
+    retyped = tuple(Field("name", "integer") if f.name == "name" else f for f in FIELDS)
+    store.ensure(spec(fields=retyped))
+    store.vacuum("db", "people", keep_versions=1)
+    assert state(store) == [(1, 1)]
+    sync(store, spec(fields=retyped), records(spark, [(9, "9", 9, None)]))
+    store.drop_table("db", "people")
+    assert not store.table_exists("db", "people")
+
+
+def test_rebucket_keeps_rows(spark, store):
+    sync(store, spec(), records(spark, [(i, "a", i, None) for i in range(30)]))
+    before = state(store)
+    store.rebucket("db", "people", 7)
+    assert store._snapshot("db", "people").buckets == 7 and state(store) == before
+    assert max(store._snapshot("db", "people").parts.values()) > 3
+    sync(store, spec(), records(spark, [(3, "b", 99, None)]))
+    assert len(state(store)) == 30 and (3, "b") in state(store)
+
+
+def test_counts_are_of_events_and_operations(spark, store):
+    done = sync(store, spec(), records(spark, [(1, "a", 1, None), (1, "b", 2, None), (2, "c", 3, "t")]))
+    assert (done.buffered, done.upserts, done.deletes) == (3, 1, 1)
