@@ -195,8 +195,8 @@ def _trim_ends(text: Column) -> Column:
 def changes(df: DataFrame, names: MetaNames | None = None, keep: Sequence[str] = ()) -> DataFrame:
     """One row per logged change: ``keep`` columns, then field, change, reason."""
     names = names or MetaNames()
-    entries = F.from_json(F.get_json_object(column(names.meta), "$.changes"), T.ArrayType(CHANGE))
-    return df.select(*keep, F.inline(entries))
+    parsed = F.from_json(column(names.meta), T.StructType([T.StructField("changes", T.ArrayType(CHANGE))]))
+    return df.select(*keep, F.inline(parsed["changes"]))
 
 
 def validation_report(df: DataFrame, names: MetaNames | None = None) -> DataFrame:

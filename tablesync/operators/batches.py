@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tablesync.functions.compress import compress
 from tablesync.functions.types import column
 from tablesync.session import work_dir
 from tablesync.spec import MAX_RECORDS_PER_BATCH, free_name
@@ -97,14 +98,50 @@ def batch_labels(
     every row first and then the sorted row hashes: 64 bytes per row.
     """
     if digest == "rows":
-        items: Column = F.struct(F.sha2(column(line), 256).alias("text"))
-    elif digest == "body":
-        items = F.struct(*(column(c).alias(f"o{i}") for i, c in enumerate(order_by)), column(line).alias("text"))
-    else:
+        lines, order_by = lines.select(column(batch), F.sha2(column(line), 256).alias(line)), ()
+    elif digest != "body":
         raise ValueError(f"unknown digest {digest!r}")
-    ordered = F.array_sort(F.collect_list(items))
-    body = F.concat(F.array_join(F.transform(ordered, lambda item: item["text"]), "\n"), F.lit("\n"))
+    body = F.concat(F.array_join(_in_order(line, order_by), "\n"), F.lit("\n"))
     return lines.groupBy(column(batch).alias(batch)).agg(
-        F.concat(F.lit(label_prefix(table, prefix)), F.sha2(body, 256)).alias("label"),
+        _label(table, prefix, body).alias("label"),
         F.count(F.lit(1)).alias("row_count"),
     )
+
+
+def batch_bodies(
+    lines: DataFrame,
+    table: str,
+    layout: str,
+    compression: str = "none",
+    batch: str = "batch_id",
+    line: str = "line",
+    order_by: Sequence[str] = (),
+    prefix: str = "tablesync-",
+) -> DataFrame:
+    """One row per batch: its id, label, row count and whole request body as bytes.
+
+    A CSV body is its lines, each ended by a newline; a JSON body is one array. The
+    label is taken before compression, so it does not depend on how a body is packed.
+    """
+    if layout not in ("csv", "json"):
+        raise ValueError(f"unknown layout {layout!r}")
+    if compression != "none" and layout != "json":
+        raise ValueError(f"compression {compression!r} is for JSON, not for {layout}")
+    ordered = _in_order(line, order_by)
+    if layout == "csv":
+        text = F.concat(F.array_join(ordered, "\n"), F.lit("\n"))
+    else:
+        text = F.concat(F.lit("["), F.array_join(ordered, ","), F.lit("]"))
+    bodies = lines.groupBy(column(batch).alias(batch)).agg(text.alias("body"), F.count(F.lit(1)).alias("row_count"))
+    packed = compress(F.col("body").cast("binary"), compression)
+    return bodies.select(batch, _label(table, prefix, F.col("body")).alias("label"), "row_count", packed.alias("body"))
+
+
+def _in_order(line: str, order_by: Sequence[str]) -> Column:
+    """Lines of a group as an array in order; a batch holds a bounded number of rows."""
+    items = F.struct(*(column(c).alias(f"o{i}") for i, c in enumerate(order_by)), column(line).alias("text"))
+    return F.transform(F.array_sort(F.collect_list(items)), lambda item: item["text"])
+
+
+def _label(table: str, prefix: str, body: Column) -> Column:
+    return F.concat(F.lit(label_prefix(table, prefix)), F.sha2(body, 256))

@@ -72,6 +72,15 @@ CSV_EVENT = " || ',' || ".join(
     ]
 )
 
+JSON_EVENT = f"""
+        CAST(json_object(
+            'raw_id', CAST(event_id AS VARCHAR), 'extracted_at', {SECONDS.format('ts')}, 'meta', '{{"changes":[]}}',
+            'generation_id', CAST(day(ts) AS VARCHAR), 'user_id', CAST(user_id AS VARCHAR), 'event_id', CAST(event_id AS VARCHAR),
+            'ts', {SECONDS.format('ts')}, 'event_type', event_type, 'value', {DECIMAL_TEXT.format('value')}, 'props', props,
+            'deleted_at', CASE WHEN event_type = 'error' THEN {SECONDS.format('ts')} END,
+            'op', CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) AS VARCHAR)
+"""
+
 BATCHED = """
     SELECT *, (row_number() OVER (ORDER BY event_id) - 1) // 1000 AS batch_id,
            (row_number() OVER (ORDER BY event_id) - 1) % 1000 AS position FROM events
@@ -196,14 +205,11 @@ ORACLES: dict[str, str] = {
         FROM events""",
     "csv_encode": f"SELECT {CSV_EVENT} AS line FROM events",
     "csv_encode_documents": f"SELECT doc_id, {DOCUMENT_LINE} AS line FROM documents",
-    "json_encode": f"""
-        SELECT CAST(json_object(
-            'raw_id', CAST(event_id AS VARCHAR), 'extracted_at', {SECONDS.format('ts')}, 'meta', '{{"changes":[]}}',
-            'generation_id', CAST(day(ts) AS VARCHAR), 'user_id', CAST(user_id AS VARCHAR), 'event_id', CAST(event_id AS VARCHAR),
-            'ts', {SECONDS.format('ts')}, 'event_type', event_type, 'value', {DECIMAL_TEXT.format('value')}, 'props', props,
-            'deleted_at', CASE WHEN event_type = 'error' THEN {SECONDS.format('ts')} END,
-            'op', CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) AS VARCHAR) AS line
-        FROM events""",
+    "json_encode": f"SELECT {JSON_EVENT} AS line FROM events",
+    "batch_bodies": f"""
+        SELECT batch_id, 'tablesync-activity-' || sha256(text) AS label, row_count, text, true AS is_smaller FROM (
+            SELECT batch_id, '[' || string_agg(line, ',' ORDER BY position) || ']' AS text, count(*) AS row_count
+            FROM (SELECT batch_id, position, {JSON_EVENT} AS line FROM ({BATCHED})) GROUP BY batch_id)""",
     "sql_bind_strings": f"""
         SELECT CAST(l_orderkey AS VARCHAR) AS l_orderkey, CAST(l_partkey AS VARCHAR) AS l_partkey,
                CAST(l_suppkey AS VARCHAR) AS l_suppkey, CAST(l_linenumber AS VARCHAR) AS l_linenumber,

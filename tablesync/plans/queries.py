@@ -12,7 +12,8 @@ from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tablesync.functions.encode import bind_strings, csv_line, encode, op_code
+from tablesync.functions.compress import decompress
+from tablesync.functions.encode import bind_strings, csv_line, encode, json_line, op_code
 from tablesync.functions.types import to_kind
 from tablesync.functions.validate import validate, validation_report
 from tablesync.operators import batches, ledger, merge, resolve, schema
@@ -474,6 +475,19 @@ def batch_labels_by_row_digest(spark, sf_dir):
     return batches.batch_labels(lines, "documents", digest="rows")
 
 
+@query
+def batch_bodies(spark, sf_dir):
+    """JSON array bodies packed with zstd, unpacked again for comparison."""
+    cut = batches.assign_batches(enveloped(spark, sf_dir), ["event_id"], BATCH_ROWS, position="position")
+    records = cut.select(*ACTIVITY.final_columns)
+    lines = cut.select("batch_id", "position", json_line(records, ACTIVITY.fields, op_code(ACTIVITY), NAMES.op).alias("line"))
+    bodies = batches.batch_bodies(lines, "activity", "json", "zstd", order_by=["position"])
+    text = decompress(F.col("body"), "zstd").cast("string")
+    return bodies.select(
+        "batch_id", "label", "row_count", text.alias("text"), (F.length("body") < F.octet_length(text)).alias("is_smaller")
+    )
+
+
 @query
 def ledger_dedup(spark, sf_dir):
     """All batches are sent again; those that end before the cut are in the ledger."""

@@ -17,6 +17,8 @@ def build_session(app_name: str = "tablesync", master: str | None = None, **conf
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # Call-site capture costs several JVM round trips for every column expression.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         **{key.replace("__", "."): value for key, value in conf.items()},
     }

@@ -30,7 +30,7 @@ def check_compression(layout: str, compression: str) -> str:
     if compression != "none" and layout not in ("json", "parquet"):
         raise ValueError(f"compression {compression!r} is for JSON, not for {layout}")
     if compression == "zstd" and layout == "json":
-        raise ValueError("Spark's text writer has no zstd codec; use gzip for JSON, or the parquet sink with zstd")
+        raise ValueError("Spark's text writer has no zstd codec; use gzip, batch_bodies() with zstd, or the parquet sink")
     return compression
 
 

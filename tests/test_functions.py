@@ -231,6 +231,21 @@ def test_sink_choice_and_compression(spark, tmp_path):
         write(df, spec, str(tmp_path / "q"), "xml")
 
 
+def test_jdbc_sink_binds_text(spark, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+
+    seen = {}
+
+    def fake(self, url, table, mode=None, properties=None):
+        seen.update(url=url, table=table, mode=mode, properties=properties)
+
+    monkeypatch.setattr(DataFrameWriter, "jdbc", fake)
+    spec = StreamSpec("t", (Field("i", "integer"),))
+    df = intake(spark.createDataFrame([("r", 1)], "_raw_id string, i long"), spec)
+    write(df, spec, "jdbc:x", "jdbc", table="db.t", user="u")
+    assert seen == {"url": "jdbc:x", "table": "db.t", "mode": "append", "properties": {"user": "u"}}
+
+
 def test_intake_fills_renames_and_orders(spark):
     spec = StreamSpec("t", (Field("id", "integer"), Field("late", "number"), Field("new", "string")), renames={"old": "new"}, generation_id=4)
     df = spark.createDataFrame([("r", "x", 1, "extra")], "_raw_id string, old string, id long, other string")

@@ -8,6 +8,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from tablesync import Field, StreamSpec, SyncMode
+from tablesync.functions.compress import decompress
 from tablesync.operators import batches, ledger, merge, resolve
 from tablesync.operators.history import change_history
 from tablesync.operators.intake import shape
@@ -188,6 +189,31 @@ def test_labels_follow_content(spark):
         labels(lines, digest="md5")
 
 
+@pytest.mark.parametrize("layout, packed", [("csv", "none"), ("json", "none"), ("json", "gzip"), ("json", "zstd")])
+def test_bodies_come_back_whole(spark, layout, packed):
+    import hashlib
+
+    lines = [(0, i, f'{{"n":"{"x" * 50}{i:03d}"}}') for i in range(100)]
+    df = spark.createDataFrame(lines, "batch_id long, n int, line string").repartition(4)
+    row = (
+        batches.batch_bodies(df, "t", layout, packed, order_by=["n"])
+        .select("label", "row_count", "body", decompress(F.col("body"), packed).alias("raw"))
+        .first()
+    )
+    texts = [text for _, _, text in lines]
+    body = ("".join(t + "\n" for t in texts) if layout == "csv" else "[" + ",".join(texts) + "]").encode()
+    assert bytes(row["raw"]) == body and row["row_count"] == 100
+    assert row["label"] == "tablesync-t-" + hashlib.sha256(body).hexdigest()
+    assert (len(row["body"]) < len(body)) == (packed != "none")
+
+
+def test_body_options_are_checked(spark):
+    df = spark.createDataFrame([(0, "a")], "batch_id long, line string")
+    for layout, packed in (("csv", "gzip"), ("json", "lzma"), ("xml", "none")):
+        with pytest.raises(ValueError):
+            batches.batch_bodies(df, "t", layout, packed)
+
+
 def test_load_outcomes(spark):
     loads = spark.createDataFrame(
         [("Success", "l1", None), ("Publish Timeout", "l2", None), ("Label Already Exists", "l3", None), ("Fail", "l4", "too many"), (None, "l5", None)],
