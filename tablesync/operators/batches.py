@@ -65,17 +65,55 @@ def assign_batches(
     max_records: int = MAX_RECORDS_PER_BATCH,
     batch: str = "batch_id",
     position: str | None = None,
+    max_bytes: int | None = None,
+    size: Column | None = None,
 ) -> DataFrame:
-    """Cut rows in ``order_by`` order into consecutive batches of at most ``max_records``."""
-    if max_records < 1:
-        raise ValueError("max_records must be at least 1")
+    """Cut rows in ``order_by`` order into consecutive batches of at most ``max_records``.
+
+    ``position`` adds each row's place: within its batch, or within all rows if bytes
+    count too. ``max_bytes`` also starts a new batch at every multiple of that many
+    bytes, counted by ``size`` per row, so a batch exceeds it by less than one row;
+    batch numbers then keep their order but may leave gaps.
+    """
+    if max_records < 1 or (max_bytes is not None and max_bytes < 1):
+        raise ValueError("max_records and max_bytes must be at least 1")
     index = free_name("_index", df.columns)
-    numbered = with_row_index(df, order_by, index).withColumn(batch, F.expr(f"{index} div {max_records}"))
+    if max_bytes is None:
+        numbered = with_row_index(df, order_by, index).withColumn(batch, F.expr(f"{index} div {max_records}"))
+        place = F.col(index) % max_records
+    else:
+        if size is None:
+            raise ValueError("max_bytes needs size")
+        offset, length = free_name("_offset", df.columns), free_name("_length", df.columns)
+        numbered = _with_offsets(df.withColumn(length, size.cast("long")), order_by, index, length, offset)
+        # Both quotients never fall along the order, so their sum changes where either does.
+        numbered = numbered.withColumn(
+            batch, F.expr(f"{index} div {max_records} + {offset} div {max_bytes}")
+        ).drop(offset, length)
+        place = F.col(index)
     if position:
-        numbered = numbered.withColumn(position, (F.col(index) % max_records).cast("int"))
+        numbered = numbered.withColumn(position, place.cast("int" if max_bytes is None else "long"))
     return numbered.drop(index)
 
 
+def _with_offsets(df: DataFrame, order_by: Sequence[str], index: str, length: str, offset: str) -> DataFrame:
+    """Row index, and bytes of all rows before, both in ``order_by`` order."""
+    place, part, rows, size = (free_name(n, df.columns) for n in ("_place", "_part", "_rows", "_size"))
+    placed = range_sorted(df, order_by, place).withColumn(part, part_of(place))
+    # A window group is one sorted partition.
+    within = Window.partitionBy(part).orderBy(place).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    totals = placed.groupBy(part).agg(F.count(F.lit(1)).alias(rows), F.sum(length).alias(size))
+    starts = totals.select(part, *(F.coalesce(F.sum(c).over(before), F.lit(0)).alias(c) for c in (rows, size)))
+    running = placed.withColumn(offset, F.coalesce(F.sum(length).over(within), F.lit(0)))
+    return (
+        running.join(F.broadcast(starts), part)
+        .withColumn(index, F.col(rows) + row_in_part(place))
+        .withColumn(offset, F.col(size) + F.col(offset))
+        .drop(place, part, rows, size)
+    )
+
+
 def label_prefix(table: str, prefix: str = "tablesync-") -> str:
     """Readable start of a label: the prefix and up to 48 characters of the table name."""
     return f"{prefix}{table[:48]}-"
@@ -93,9 +131,10 @@ def batch_labels(
     """One row per batch: its id, label and row count.
 
     ``digest="body"`` hashes the whole batch text, rows in ``order_by`` order (or
-    sorted by their text) and ended by newlines. A batch holds a bounded number of
-    rows, so a group does too. For rows of very large text ``digest="rows"`` hashes
-    every row first and then the sorted row hashes: 64 bytes per row.
+    sorted by their text) and ended by newlines. A group is one batch, which
+    ``assign_batches`` bounds by rows, and for wide rows by bytes. ``digest="rows"``
+    hashes every row first and then the sorted row hashes: 64 bytes per row however
+    long the rows are.
     """
     if digest == "rows":
         lines, order_by = lines.select(column(batch), F.sha2(column(line), 256).alias(line)), ()

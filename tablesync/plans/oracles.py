@@ -225,6 +225,11 @@ ORACLES: dict[str, str] = {
         FROM (SELECT (row_number() OVER (ORDER BY doc_id) - 1) // 1000 AS batch_id, sha256({DOCUMENT_LINE}) AS digest
               FROM documents)
         GROUP BY batch_id""",
+    "batch_assign_by_bytes": """
+        SELECT doc_id, bytes, position, position // 200 + CAST(coalesce(before, 0) AS BIGINT) // 100000 AS batch_id FROM (
+            SELECT doc_id, bytes, row_number() OVER (ORDER BY doc_id) - 1 AS position,
+                   sum(bytes) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before
+            FROM (SELECT doc_id, CAST(octet_length(encode(text)) AS INTEGER) AS bytes FROM documents))""",
     "ledger_dedup": f"""
         SELECT batch_id, label, row_count FROM ({LABELS}) WHERE batch_id NOT IN (
             SELECT batch_id FROM ({BATCHED}) GROUP BY batch_id HAVING max(ts) < TIMESTAMP '2024-01-16 00:00:00')""",

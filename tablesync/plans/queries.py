@@ -446,8 +446,10 @@ def sql_bind_strings(spark, sf_dir):
 # Batches and ledger
 
 
-def event_batches(spark, sf_dir) -> DataFrame:
-    return batches.assign_batches(change_log(spark, sf_dir), ["event_id"], BATCH_ROWS, position="position")
+def event_batches(spark, sf_dir, *columns: str) -> DataFrame:
+    """The needed columns of the change log, cut into batches."""
+    log = change_log(spark, sf_dir).select("event_id", *columns)
+    return batches.assign_batches(log, ["event_id"], BATCH_ROWS, position="position")
 
 
 @query
@@ -463,7 +465,7 @@ def labelled(cut: DataFrame) -> DataFrame:
 
 @query
 def batch_labels(spark, sf_dir):
-    return labelled(event_batches(spark, sf_dir))
+    return labelled(event_batches(spark, sf_dir, "user_id", "event_type", "props"))
 
 
 @query
@@ -475,6 +477,15 @@ def batch_labels_by_row_digest(spark, sf_dir):
     return batches.batch_labels(lines, "documents", digest="rows")
 
 
+@query
+def batch_assign_by_bytes(spark, sf_dir):
+    """Documents cut by number and by text bytes, as their sizes differ widely."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", F.octet_length("text").alias("bytes"))
+    return batches.assign_batches(
+        documents, ["doc_id"], 200, position="position", max_bytes=100_000, size=F.col("bytes")
+    )
+
+
 @query
 def batch_bodies(spark, sf_dir):
     """JSON array bodies packed with zstd, unpacked again for comparison."""
@@ -491,7 +502,7 @@ def batch_bodies(spark, sf_dir):
 @query
 def ledger_dedup(spark, sf_dir):
     """All batches are sent again; those that end before the cut are in the ledger."""
-    cut = event_batches(spark, sf_dir)
+    cut = event_batches(spark, sf_dir, "user_id", "event_type", "props", "ts")
     # One row per batch, used twice.
     labels = labelled(cut).checkpoint()
     ends = cut.groupBy("batch_id").agg(F.max("ts").alias("ts"))
@@ -499,7 +510,7 @@ def ledger_dedup(spark, sf_dir):
 
 
 def accounted(spark, sf_dir) -> DataFrame:
-    rows = resolve.with_op(event_batches(spark, sf_dir), ACTIVITY)
+    rows = resolve.with_op(event_batches(spark, sf_dir, "value", "deleted_at"), ACTIVITY)
     return ledger.load_accounting(rows, ["batch_id"], "op", rejected=F.col("value") < 1)
 
 

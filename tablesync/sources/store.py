@@ -88,6 +88,8 @@ class Snapshot:
     retired: tuple[str, ...] = ()
     # Operations not merged yet: folder to the version that brought it.
     deltas: Mapping[str, int] = field(default_factory=dict)
+    # With tombstones: the columns whose greatest value wins.
+    order_by: tuple[str, ...] = ()
 
 
 class TableStore:
@@ -149,7 +151,8 @@ class TableStore:
         layout = describe(spec)
         if tombstones:
             layout = _with_op_column(layout, spec)
-        self._publish(namespace, table, Snapshot(version, layout, self.buckets, tombstones))
+        order_by = spec.order_by if tombstones else ()
+        self._publish(namespace, table, Snapshot(version, layout, self.buckets, tombstones, order_by=order_by))
 
     def drop_table(self, namespace: str, table: str) -> None:
         """Remove a table and its live folders, if it exists."""
@@ -186,8 +189,12 @@ class TableStore:
         snapshot = self._require(namespace, table)
         rows = self._rows(snapshot, snapshot.parts)
         if snapshot.deltas:
-            op = self._op(snapshot)
-            rows = merge(rows, self._waiting(snapshot, op), snapshot.layout.keys, op)
+            op, keys, waiting = self._op(snapshot), snapshot.layout.keys, self._waiting(snapshot, self._op(snapshot))
+            rows = (
+                _newest(rows, waiting, keys, snapshot.order_by)
+                if snapshot.tombstones
+                else merge(rows, waiting, keys, op)
+            )
         if snapshot.tombstones:
             rows = rows.filter(column(self.names.op) == UPSERT).drop(self.names.op)
         return rows
@@ -331,9 +338,9 @@ class TableStore:
         events = free_name("_events", [*batch.columns, op])
         latest = last_event_per_key(require_keys(batch, keys), keys, spec.order_by, count=events)
         operations = conform(with_op(latest, spec, op), _operations(snapshot, op).add(events, T.LongType()))
-        if self.fold_after and not snapshot.tombstones:
+        if self.fold_after:
             return self._defer(namespace, table, snapshot, operations, op, events, label, progress)
-        parts, done = self._rewrite(namespace, table, snapshot, operations, spec.order_by, op, events)
+        parts, done = self._rewrite(namespace, table, snapshot, operations, op, events)
         if done.buffered == 0:
             return done
         new = replace(snapshot, version=snapshot.version + 1, parts=parts)
@@ -368,20 +375,20 @@ class TableStore:
         waiting = self._waiting(snapshot, op)
         events = free_name("_events", waiting.columns)
         operations = waiting.withColumn(events, F.lit(1).cast("long"))
-        parts, _ = self._rewrite(namespace, table, replace(snapshot, deltas={}), operations, (), op, events)
+        parts, _ = self._rewrite(namespace, table, snapshot, operations, op, events)
         return replace(snapshot, parts=parts, deltas={})
 
     def _waiting(self, snapshot: Snapshot, op: str) -> DataFrame:
-        """The latest waiting operation of every key; later batches win."""
+        """The latest waiting operation of every key; later batches win, or the greater order."""
         schema = _operations(snapshot, op)
         rank = free_name("_rank", schema.names)
         waiting = None
         for part, version in snapshot.deltas.items():
             rows = self.spark.read.schema(schema).parquet(f"{self.root}/{part}").withColumn(rank, F.lit(version))
             waiting = rows if waiting is None else waiting.unionByName(rows)
-        return last_event_per_key(waiting, snapshot.layout.keys, [rank]).drop(rank)
+        return last_event_per_key(waiting, snapshot.layout.keys, [*snapshot.order_by, rank]).drop(rank)
 
-    def _rewrite(self, namespace, table, snapshot, operations, order_by, op, events):
+    def _rewrite(self, namespace, table, snapshot, operations, op, events):
         """Merge operations, one per key, into the buckets they touch: (new parts, what was done)."""
         keys, bucket = snapshot.layout.keys, free_name("bucket", operations.columns)
         resolved = self._bucketed(operations, snapshot, bucket).persist(StorageLevel.MEMORY_AND_DISK)
@@ -399,7 +406,7 @@ class TableStore:
             plan = _order_safe if snapshot.tombstones else _merged
             written = {}
             if touched:
-                rows = plan(stored, resolved.drop(events), keys, order_by, op, bucket, small)
+                rows = plan(stored, resolved.drop(events), keys, snapshot.order_by, op, bucket, small)
                 written = self._write_bucketed(namespace, table, rows, bucket)
             kept = {part: number for part, number in snapshot.parts.items() if number not in touched}
             total = {name: sum(r[name] for r in stats) for name in ("buffered", "upserts", "deletes")}
@@ -510,6 +517,7 @@ class TableStore:
             raw["progress"],
             tuple(raw["retired"]),
             raw["deltas"],
+            tuple(raw["order_by"]),
         )
 
     def _publish(self, namespace: str, table: str, snapshot: Snapshot, entry: Mapping | None = None) -> None:
@@ -524,6 +532,7 @@ class TableStore:
             "progress": dict(snapshot.progress),
             "retired": list(snapshot.retired),
             "deltas": dict(snapshot.deltas),
+            "order_by": list(snapshot.order_by),
         }
         log = self._log(namespace, table)
         self.files.make_folder(log)
@@ -616,11 +625,7 @@ def _order_safe(stored: DataFrame | None, resolved: DataFrame, keys, order_by, o
     if stored is None:
         return resolved.repartition(bucket)
     if small:
-        # Only stored rows of the batch's keys are compared; the others stay where they are.
-        touched = F.broadcast(resolved.select(*(column(k) for k in keys)))
-        others = stored.join(touched, list(keys), "left_anti")
-        compared = order_safe_upsert(stored.join(touched, list(keys), "left_semi"), resolved, keys, order_by)
-        return others.unionByName(compared.repartition(bucket))
+        return _newest(stored, resolved, keys, order_by, bucket)
     rank, place = free_name("_rank", resolved.columns), free_name("_place", resolved.columns)
     both = stored.withColumn(rank, F.lit(0)).unionByName(resolved.withColumn(rank, F.lit(1)))
     newest = Window.partitionBy(bucket, *(column(k) for k in keys)).orderBy(
@@ -629,6 +634,19 @@ def _order_safe(stored: DataFrame | None, resolved: DataFrame, keys, order_by, o
     return both.repartition(bucket).withColumn(place, F.row_number().over(newest)).filter(F.col(place) == 1).drop(place, rank)
 
 
+def _newest(stored: DataFrame, resolved: DataFrame, keys, order_by, bucket: str | None = None) -> DataFrame:
+    """Only stored rows of the operations' keys are compared; the others stay where they are.
+
+    ``bucket`` is given if the keys are known to be few: then they are broadcast.
+    """
+    touched = resolved.select(*(column(k) for k in keys))
+    if bucket:
+        touched = F.broadcast(touched)
+    others = stored.join(touched, list(keys), "left_anti")
+    compared = order_safe_upsert(stored.join(touched, list(keys), "left_semi"), resolved, keys, order_by)
+    return others.unionByName(compared.repartition(bucket) if bucket else compared)
+
+
 def content_label(batch: DataFrame, table: str, prefix: str = "tablesync-") -> str:
     """Label of a batch of any size: same rows, same label, in whatever order they come.
 

@@ -170,6 +170,20 @@ def test_batches_hold_at_most_the_limit(spark):
         batches.assign_batches(cut, ["seq"], 0)
 
 
+def test_batches_are_bounded_by_bytes_too(spark):
+    rng = random.Random(5)
+    rows = [(i, "x" * rng.choice([1, 5, 300]), i, None) for i in range(200)]
+    cut = batches.assign_batches(log(spark, rows), ["seq"], 20, position="p", max_bytes=500, size=F.length("name"))
+    found = sorted((r["p"], r["batch_id"], len(r["name"])) for r in cut.collect())
+    assert [p for p, _, _ in found] == list(range(200)) and [b for _, b, _ in found] == sorted(b for _, b, _ in found)
+    for _, group in groupby(found, key=lambda r: r[1]):
+        sizes = [size for _, _, size in group]
+        assert len(sizes) <= 20 and sum(sizes) - sizes[-1] < 500
+    for bad in (dict(max_bytes=0, size=F.lit(1)), dict(max_bytes=5)):
+        with pytest.raises(ValueError):
+            batches.assign_batches(cut, ["seq"], 20, **bad)
+
+
 def test_labels_follow_content(spark):
     def labels(lines, **options):
         df = spark.createDataFrame(lines, "batch_id long, n int, line string").repartition(3)

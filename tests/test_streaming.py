@@ -35,9 +35,10 @@ def state(store):
     return sorted((r["id"], r["name"]) for r in store.read("db", "people").collect())
 
 
-@pytest.mark.parametrize("order_safe, order", [(False, (0, 1, 2)), (True, (0, 1, 2)), (True, (2, 0, 1)), (True, (1, 2, 0))])
-def test_stream_equals_batch(spark, tmp_path, order_safe, order):
-    store = TableStore(spark, str(tmp_path / "store"), buckets=3)
+@pytest.mark.parametrize("fold_after", [0, 1, 5])
+@pytest.mark.parametrize("order_safe, order", [(False, (0, 1, 2)), (True, (2, 0, 1)), (True, (1, 2, 0))])
+def test_stream_equals_batch(spark, tmp_path, order_safe, order, fold_after):
+    store = TableStore(spark, str(tmp_path / "store"), buckets=3, fold_after=fold_after)
     for number in order:
         put(tmp_path / "in", number, FILES[number])
         stream_sync(source(spark, tmp_path / "in"), store, SPEC, str(tmp_path / "check"), order_safe=order_safe).awaitTermination()
@@ -50,7 +51,7 @@ def test_large_order_safe_plan_agrees(spark, tmp_path, monkeypatch):
     import tablesync.sources.store as module
 
     monkeypatch.setattr(module, "BROADCAST_BYTES", 0)
-    test_stream_equals_batch(spark, tmp_path, True, (2, 0, 1))
+    test_stream_equals_batch(spark, tmp_path, True, (2, 0, 1), 0)
 
 
 def test_batch_published_before_a_crash_is_not_applied_twice(spark, tmp_path):
