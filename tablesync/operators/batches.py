@@ -18,15 +18,19 @@ ROW_BITS = 33
 def range_sorted(df: DataFrame, order_by: Sequence[str], place: str) -> DataFrame:
     """Rows range-partitioned and sorted by ``order_by``, with ``place`` = partition and row in it.
 
-    Ranges are taken over all order columns, so ties on the leading one, or one hot
-    value, still split over many tasks. The rows are checkpointed, which fixes the
-    partitions even if executors are lost later.
+    Ranges are taken over all order columns and last over the input position, so
+    neither a hot value nor any number of equal rows ends up in one task, and equal
+    rows keep their input order. The rows are checkpointed, which fixes the partitions
+    even if executors are lost later.
     """
     work_dir(df.sparkSession)
-    order = [column(c) for c in order_by]
+    tie = free_name("_tie", [*df.columns, place])
+    order = [*(column(c) for c in order_by), F.col(tie)]
     return (
-        df.repartitionByRange(*order)
+        df.withColumn(tie, F.monotonically_increasing_id())
+        .repartitionByRange(*order)
         .sortWithinPartitions(*order)
+        .drop(tie)
         .withColumn(place, F.monotonically_increasing_id())
         .checkpoint()
     )

@@ -32,7 +32,7 @@ def change_history(
     )
     followers = heads.select(slice_id, F.lead(head).over(Window.orderBy(slice_id)).alias(following))
 
-    window = Window.partitionBy(slice_id, *(column(k) for k in keys)).orderBy(*(column(c) for c in order_by))
+    window = Window.partitionBy(slice_id, *(column(k) for k in keys)).orderBy(place)
     nexts = sliced.withColumn(later, F.lead(column(valid_from)).over(window)).withColumn(
         found, F.lead(F.lit(True)).over(window)
     )

@@ -34,14 +34,16 @@ def work_dir(spark: SparkSession) -> str:
     without it is an error, because a machine-local folder would lose the data
     together with the machine.
     """
+    context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if context.getCheckpointDir() is not None:
+            return context.getCheckpointDir()
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="tablesync-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(configured)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(configured)
     return configured
 
 

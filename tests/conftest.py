@@ -15,6 +15,8 @@ def spark(tmp_path_factory):
         master="local[4]",
         spark__sql__shuffle__partitions="4",
         spark__ui__enabled="false",
+        # Small inputs must still be spread over several partitions.
+        spark__sql__adaptive__coalescePartitions__enabled="false",
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("checkpoints")),
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -161,6 +161,16 @@ def test_row_index_is_exact_with_ties_and_hot_values(spark):
     assert {r["name"]: r["row_index"] for r in numbered.collect()} == expected
 
 
+def test_equal_rows_spread_over_tasks(spark):
+    same = spark.range(0, 4000, 1, 4).select(F.lit(1).alias("k"), F.lit("v").alias("v"))
+    sizes = batches.range_sorted(same, ["k"], "p").groupBy(batches.part_of("p").alias("part")).count().collect()
+    assert sum(r["count"] for r in sizes) == 4000 and max(r["count"] for r in sizes) < 2000
+    index = batches.with_row_index(same, ["k"]).agg(F.countDistinct("row_index"), F.max("row_index")).first()
+    assert tuple(index) == (4000, 3999)
+    history = change_history(same.withColumn("t", F.lit(1)), ["k"], ["t"], "v")
+    assert history.filter("valid_to is null").count() == 1
+
+
 def test_batches_hold_at_most_the_limit(spark):
     cut = batches.assign_batches(log(spark, [(i, "n", i, None) for i in range(25)]), ["seq"], 10, position="p")
     sizes = {r["batch_id"]: r["count"] for r in cut.groupBy("batch_id").count().collect()}
