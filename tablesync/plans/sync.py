@@ -10,7 +10,7 @@ from tablesync.operators.merge import append, merge, merge_events
 from tablesync.operators.resolve import require_keys, resolve, route
 from tablesync.operators.schema import describe
 from tablesync.sources.store import LoadResult, TableStore, content_label
-from tablesync.spec import StreamSpec, SyncMode
+from tablesync.spec import StreamSpec, SyncMode, free_name
 
 
 def result_of(target: DataFrame | None, batch: DataFrame, spec: StreamSpec, large_batch: bool = False) -> DataFrame:
@@ -22,12 +22,13 @@ def result_of(target: DataFrame | None, batch: DataFrame, spec: StreamSpec, larg
     if not spec.is_dedup:
         return batch if target is None or refresh else append(target, batch)
     batch = require_keys(batch, spec.keys)
+    op = free_name(spec.names.op, batch.columns)
     if target is None or refresh:
-        upserts, _ = route(resolve(batch, spec), spec.names.op)
+        upserts, _ = route(resolve(batch, spec, op), op)
         return upserts
     if large_batch:
         return merge_events(target, batch, spec)
-    return merge(target, resolve(batch, spec), spec.keys, spec.names.op)
+    return merge(target, resolve(batch, spec, op), spec.keys, op)
 
 
 def truncates(spec: StreamSpec) -> bool:

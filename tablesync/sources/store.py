@@ -150,6 +150,8 @@ class TableStore:
         version = 0 if current is None else current.version + 1
         layout = describe(spec)
         if tombstones:
+            if not spec.is_dedup or spec.names.op in layout.schema.names:
+                raise ValueError(f"tombstones need a dedup stream without a column {spec.names.op!r}")
             layout = _with_op_column(layout, spec)
         order_by = spec.order_by if tombstones else ()
         self._publish(namespace, table, Snapshot(version, layout, self.buckets, tombstones, order_by=order_by))
@@ -315,7 +317,8 @@ class TableStore:
         rows = batch
         if layout.model is KeyModel.PRIMARY:
             rows = last_event_per_key(require_keys(batch, layout.keys), layout.keys, spec.order_by)
-            rows = with_op(rows, spec).filter(column(spec.names.op) == UPSERT).drop(spec.names.op)
+            op = free_name(spec.names.op, rows.columns)
+            rows = with_op(rows, spec, op).filter(column(op) == UPSERT).drop(op)
         parts = self._write(namespace, table, conform(rows, layout.schema), fresh)
         fresh = replace(fresh, parts=parts)
         loaded = self._rows(fresh, parts).count()
@@ -324,7 +327,8 @@ class TableStore:
 
     def _append(self, namespace, table, snapshot, batch, label, progress) -> LoadResult:
         part = self._new_part(namespace, table)
-        conform(batch, snapshot.layout.schema).write.parquet(f"{self.root}/{part}")
+        checked = require_keys(batch, snapshot.layout.keys)
+        conform(checked, snapshot.layout.schema).write.parquet(f"{self.root}/{part}")
         # Parquet footers give the count; no second pass over the batch.
         loaded = self._rows(snapshot, [part]).count()
         if loaded == 0:

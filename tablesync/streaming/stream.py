@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -28,7 +29,6 @@ def stream_sync(
     store: TableStore,
     spec: StreamSpec,
     checkpoint: str,
-    query: str | None = None,
     order_safe: bool = False,
     prepare: Callable[[DataFrame], DataFrame] | None = None,
     available_now: bool = True,
@@ -36,18 +36,19 @@ def stream_sync(
     """Apply each micro-batch to the stream's table; the table itself is the keyed state.
 
     A micro-batch that runs again after a failure is skipped, because its number is
-    published together with its data. Batches win in the order they run; with
+    published together with its data, under the id that the checkpoint folder holds: a
+    new checkpoint starts over. Batches win in the order they run; with
     ``order_safe`` the greatest ``order_by`` wins whatever the batch order, and deletes
     stay as tombstones. ``prepare`` turns raw records into shaped ones; by default
     they are taken in as they are.
     """
-    name = query or f"{spec.namespace or ''}.{spec.name}"
     if not store.table_exists(*store.target(spec)):
         store.create_table(spec, tombstones=order_safe)
     shaped = prepare or (lambda df: intake(df, spec))
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        store.load(spec, shaped(batch), progress=(name, batch_id))
+        query_id = json.loads(store.files.read_text(f"{checkpoint.rstrip('/')}/metadata"))["id"]
+        store.load(spec, shaped(batch), progress=(query_id, batch_id))
 
     writer = records.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     return _started(writer, available_now)

@@ -151,6 +151,13 @@ def test_csv_cells(spark):
     )
 
 
+def test_csv_times_are_bare_and_numbers_keep_their_scale(spark):
+    fields = [Field("t", "time_tz"), Field("n", "number"), Field("i", "integer"), Field("u", "union")]
+    df = spark.createDataFrame([("10:53:44+09:00", "1.500", "9" * 30, "x")], "t string, n string, i string, u string")
+    kept = validate(df, fields, cast=False).drop("_meta")
+    assert kept.select(csv_line(kept, fields)).first()[0] == '10:53:44+09:00,1.500,\\N,"x"'
+
+
 def test_timestamps_ignore_the_session_zone(spark):
     df = spark.sql("SELECT timestamp_seconds(1782265999) AS tz, timestamp_ntz'2024-03-10 02:30:00' AS ntz")
     zone = spark.conf.get("spark.sql.session.timeZone")

@@ -4,7 +4,7 @@ import pytest
 
 from tablesync import Field, StreamSpec, SyncMode, TableStore
 from tablesync.operators.schema import KeyModel
-from tablesync.plans.sync import sync
+from tablesync.plans.sync import result_of, sync
 from tablesync.sources.store import WriteConflict, content_label
 from pyspark.sql import functions as F
 
@@ -307,3 +307,23 @@ def test_rebucket_keeps_rows(spark, store):
 def test_counts_are_of_events_and_operations(spark, store):
     done = sync(store, spec(), records(spark, [(1, "a", 1, None), (1, "b", 2, None), (2, "c", 3, "t")]))
     assert (done.buffered, done.upserts, done.deletes) == (3, 1, 1)
+
+
+def test_a_column_named_like_the_operation_survives(spark, store):
+    fields = (*FIELDS, Field("__op", "string"))
+    rows = records(spark, [(1, "a", 1, None), (1, "b", 2, None), (2, "c", 3, "t")]).withColumn("__op", F.lit("mine"))
+    sync(store, spec(fields=fields), rows)
+    sync(store, spec(fields=fields), rows.filter("id = 1"))
+    assert state(store, "id", "__op") == [(1, "mine")]
+    sync(store, spec(fields=fields, generation_id=1, minimum_generation_id=1), rows)
+    assert state(store, "id", "__op") == [(1, "mine")]
+    assert result_of(None, rows, spec(fields=fields)).select("__op").first()[0] == "mine"
+    with pytest.raises(ValueError, match="tombstones"):
+        store.create_table(spec(fields=fields), replace_existing=True, tombstones=True)
+
+
+def test_records_without_raw_id_are_refused(spark, store):
+    s = spec(mode=SyncMode.APPEND, primary_key=(), order_by=())
+    with pytest.raises(Exception, match="NULL in key columns"):
+        sync(store, s, records(spark, [(1, "a", 1, None)]).withColumn("_raw_id", F.lit(None).cast("string")))
+    assert store.count("db", "people") == 0

@@ -91,3 +91,12 @@ def test_append_counts_add_up_over_restarts(spark, tmp_path):
         stream_append(source(spark, tmp_path / "in"), out, str(tmp_path / "check")).awaitTermination()
     rows = spark.read.parquet(out)
     assert rows.count() == sum(map(len, FILES)) and rows.select("seq").distinct().count() == 7
+
+
+def test_new_checkpoint_reads_everything_again(spark, tmp_path):
+    log_spec = StreamSpec("people", FIELDS, SyncMode.APPEND, "db")
+    store = TableStore(spark, str(tmp_path / "store"))
+    put(tmp_path / "in", 0, FILES[0])
+    for check in ("one", "one", "two"):
+        stream_sync(source(spark, tmp_path / "in"), store, log_spec, str(tmp_path / check)).awaitTermination()
+    assert store.count("db", "people") == 4
