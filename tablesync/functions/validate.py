@@ -179,10 +179,13 @@ def append_changes(meta: Column, entries: Column) -> Column:
         entries,
         F.lit("]}"),
     )
+    appended = F.concat(meta.substr(F.lit(1), F.length(meta) - 2), entries, F.lit("]}"))
     only_new = F.concat(F.lit('{"changes":['), entries, F.lit("]}"))
     return (
         F.when(entries == "", F.coalesce(meta, F.lit(EMPTY_META)))
         .when(meta.isNull() | (meta == EMPTY_META), only_new)
+        # The usual case with other keys: an empty list at the end, where no parsing is needed.
+        .when(meta.startswith("{") & meta.endswith(',"changes":[]}'), appended)
         .otherwise(merged)
     )
 

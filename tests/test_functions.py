@@ -87,6 +87,8 @@ def test_changes_join_existing_meta(spark):
             (None, "9" * 30, "1"),
             ('{"a":{"b":2}}', "1", "1"),
             ("[1]", "9" * 30, "1"),
+            ('{"b":{"changes":[]}}', "9" * 30, "1"),
+            ('{"c":"x","changes":[]}', "9" * 30, "1"),
         ],
         "_meta string, i string, n string",
     )
@@ -98,8 +100,10 @@ def test_changes_join_existing_meta(spark):
     assert [c["field"] for c in metas[1]["changes"]] == ["i"]
     assert metas[2] == {"a": {"b": 2}}
     assert [c["field"] for c in metas[3]["changes"]] == ["i"]
+    assert metas[4]["b"] == {"changes": []} and [c["field"] for c in metas[4]["changes"]] == ["i"]
+    assert metas[5]["c"] == "x" and [c["field"] for c in metas[5]["changes"]] == ["i"]
     report = {tuple(r) for r in validation_report(rows).collect()}
-    assert report == {("z", "R", 1), ("i", SIZE_LIMIT, 3), ("n", SIZE_LIMIT, 1)}
+    assert report == {("z", "R", 1), ("i", SIZE_LIMIT, 5), ("n", SIZE_LIMIT, 1)}
 
 
 def test_unreadable_text_can_fail_and_rules_can_be_added(spark):
