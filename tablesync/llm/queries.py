@@ -4,21 +4,51 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tablesync.llm import quality_rules
+from tablesync.llm import bpe_codec, quality_rules, token_counts
 from tablesync.llm.common import col, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
+#: Texts with more tokens than this are over the limit.
+TOKEN_LIMIT = 4096
+
 
 def query(function: Query) -> Query:
     QUERIES[function.__name__] = function
     return function
 
 
+@query
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document."""
+    pieces = token_counts.PieceTable.load(public_tokenizers.path("piece_bpe_32k.model"))
+    counted = table(spark, sf_dir, "documents").select(
+        "doc_id",
+        F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"),
+        token_counts.token_count(spark, F.col("text"), pieces).alias("n_tokens"),
+    )
+    return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
+@query
+def op4_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the ids of every document and of the text decoded from them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = bpe_codec.corpus_codec(docs, public_tokenizers.path("word_bpe_49k.json"))
+    coded_docs = docs.select("doc_id", coded.alias("coded"))
+    return coded_docs.select(
+        "doc_id",
+        (F.octet_length("coded.ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("coded.ids", 256).alias("ids_sha256"),
+        F.sha2(F.encode("coded.decoded", "UTF-8"), 256).alias("decoded_sha256"),
+    )
+
+
 @query
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics and verdict of every document."""
@@ -35,7 +65,7 @@ _STOP = quality_rules.STOP_WORDS + [w.capitalize() for w in quality_rules.STOP_W
 ORACLES["op7_quality_rules"] = rf"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS body, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
-         list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
   FROM documents
 ), win AS (
   SELECT doc_id, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS g
@@ -48,7 +78,7 @@ WITH d AS (
   SELECT d.doc_id, len(words)::BIGINT AS n_words, length(regexp_replace(body, '[\x20\x09-\x0D]+', '', 'g'))::BIGINT AS word_chars,
          length(regexp_replace(body, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols,
          (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(cov.n, 0)::BIGINT AS n_repeat_words,
-         len(list_filter(words, x -> x IN ({_quoted(_STOP)}))) AS n_stop, len(lines) AS n_lines,
+         len(list_filter(words, lambda x: x IN ({_quoted(_STOP)}))) AS n_stop, len(lines) AS n_lines,
          length(regexp_replace(body, '[^\p{{Lu}}]+', '', 'g')) AS n_caps
   FROM d LEFT JOIN cov USING (doc_id)
 )
