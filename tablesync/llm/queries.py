@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tablesync.llm import bpe_codec, quality_rules, token_counts
+from tablesync.llm import bpe_codec, mixing, quality_rules, token_counts
 from tablesync.llm.common import col, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,14 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+@query
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the mix takes of every document."""
+    sizes = mixing.sizes_of(table(spark, sf_dir, "documents"))
+    sources, cuts = mixing.cut_points(sizes)
+    return mixing.take(sizes, sources, cuts).select("doc_id", "size", "source_size", "target", "taken")
+
+
 @query
 def op4_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the ids of every document and of the text decoded from them."""
