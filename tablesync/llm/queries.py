@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tablesync.llm import bpe_codec, html_text, mixing, quality_rules, token_counts
+from tablesync.llm import bpe_codec, html_text, mixing, quality_rules, surrogates, token_counts
 from tablesync.llm.common import col, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,9 @@ ORACLES: dict[str, str] = {}
 #: Texts with more tokens than this are over the limit.
 TOKEN_LIMIT = 4096
 
+#: Key of the surrogates in these queries; a real run passes one of its own.
+PII_SECRET = "change me"
+
 
 def query(function: Query) -> Query:
     QUERIES[function.__name__] = function
@@ -64,6 +67,13 @@ def op4_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with surrogates in place of personal data and secrets."""
+    docs = table(spark, sf_dir, "documents")
+    return surrogates.pseudonymize(docs, PII_SECRET, count="n_entities")
+
+
 @query
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics and verdict of every document."""
