@@ -17,6 +17,7 @@ import heapq
 import json
 import mmap
 import os
+import struct
 import tempfile
 import unicodedata
 from collections import Counter
@@ -26,15 +27,18 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from tablesync.llm.common import col
+from tablesync.llm.common import col, materialize
 
 #: Words in the lexicon, at most; this bounds its file and what the driver gathers.
-LEXICON_WORDS = 20_000
+LEXICON_WORDS = 100_000
 
 #: Words that a worker remembers beside the lexicon; beyond it the memory starts anew.
-REMEMBERED = 200_000
+REMEMBERED = 400_000
+
+#: Texts whose new words walk the lexicon together.
+CHUNK = 64
 
 END = "</w>"
 
@@ -241,13 +245,17 @@ class Lexicon:
         return [self.ids[self.places[n] : self.places[n + 1]] if ok else None for n, ok in zip(number.tolist(), (final & ~lost).tolist(), strict=True)]
 
 
+def pack(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class Codec:
     """Ids and decoded tokens of words, for one worker."""
 
     def __init__(self, bpe: WordBpe, lexicon: Lexicon | None):
         self.bpe, self.lexicon, self.split = bpe, lexicon, Splitter(bpe)
         self.tokens = np.array(bpe.tokens(), object)
-        self.known: dict[str, bytes] = {t: np.array([i], "<u4").tobytes() for t, i in bpe.added.items()}
+        self.known: dict[str, bytes] = {t: pack([i]) for t, i in bpe.added.items()}
 
     def learn(self, words: set[str]) -> None:
         """Makes the ids of these words known."""
@@ -256,15 +264,15 @@ class Codec:
         new = [w for w in words if w not in self.known]
         found = self.lexicon.find([w.encode() for w in new]) if self.lexicon else [None] * len(new)
         for word, ids in zip(new, found, strict=True):
-            self.known[word] = np.asarray(self.bpe.merge(word) if ids is None else ids, "<u4").tobytes()
+            self.known[word] = pack(self.bpe.merge(word)) if ids is None else ids.astype("<u4").tobytes()
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         out = []
-        for text in texts:
-            words = self.split(text)
-            self.learn(set(words))
-            out.append(b"".join(map(self.known.__getitem__, words)))
+        for at in range(0, len(texts), CHUNK):
+            split = [self.split(text) for text in texts[at : at + CHUNK]]
+            self.learn(set().union(*split))
+            out += [b"".join(map(self.known.__getitem__, words)) for words in split]
         return out
 
     def decode(self, packed: list[bytes]) -> list[str]:
@@ -277,7 +285,7 @@ _CODECS: dict[int, Codec] = {}
 
 
 def frequent_words(df: DataFrame, bpe: WordBpe, text: str = "text", limit: int = LEXICON_WORDS) -> list[str]:
-    """The most frequent words of all texts, ties by code point. Words are counted in their batch before they are shuffled."""
+    """The most frequent words of all texts: as many whole counts as fit in ``limit``. Words are counted in their task before they are shuffled."""
     shared = df.sparkSession.sparkContext.broadcast(bpe)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -292,8 +300,12 @@ def frequent_words(df: DataFrame, bpe: WordBpe, text: str = "text", limit: int =
         yield pa.record_batch({"word": pa.array(counts.keys(), pa.string()), "n": pa.array(counts.values(), pa.int64())})
 
     words = df.select(col(text).cast("string")).mapInArrow(counted, "word string, n long")
-    top = words.groupBy("word").agg(F.sum("n").alias("n")).where("n > 1 and length(word) <= 64").orderBy(F.desc("n"), "word").limit(limit)
-    return [row.word for row in top.select("word").collect()]
+    words = materialize(words.groupBy("word").agg(F.sum("n").alias("n")).where("n > 1 and length(word) <= 64"), "words")
+    # How many words have each count is a short table; it tells the least count whose words all fit.
+    times = words.groupBy("n").agg(F.count(F.lit(1)).alias("words"))
+    fits = times.withColumn("upto", F.sum("words").over(Window.orderBy(F.desc("n")))).where(F.col("upto") <= limit)
+    least = fits.agg(F.min("n")).first()[0]
+    return [] if least is None else [row.word for row in words.where(F.col("n") >= least).select("word").collect()]
 
 
 def compile_lexicon(bpe: WordBpe, words: list[str]) -> bytes:
