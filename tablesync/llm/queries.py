@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tablesync.llm import bpe_codec, html_text, mixing, quality_rules, surrogates, token_counts
+from tablesync.llm import bpe_codec, html_text, inner_product, line_crf, mixing, quality_rules, surrogates, token_counts
 from tablesync.llm.common import col, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,9 @@ ORACLES: dict[str, str] = {}
 #: Texts with more tokens than this are over the limit.
 TOKEN_LIMIT = 4096
 
+#: Scores from here on are predicted good.
+GOOD = 0.7
+
 #: Key of the surrogates in these queries; a real run passes one of its own.
 PII_SECRET = "change me"
 
@@ -67,6 +70,25 @@ def op4_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op5_inner_product(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 best inner products of every fiftieth vector with all others."""
+    vectors = inner_product.whole_vectors(table(spark, sf_dir, "embeddings"))
+    return inner_product.top_k(vectors, vectors.where("vec_id % 50 = 0"), 5)
+
+
+ORACLES["op5_inner_product"] = """
+WITH v AS (
+  SELECT DISTINCT vec_id, [floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_sum([a[1] * a[2] FOR a IN list_zip(q.v, c.v)])::BIGINT AS score
+  FROM v AS q JOIN v AS c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5"""
+
+
 @query
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with surrogates in place of personal data and secrets."""
@@ -82,6 +104,16 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *(col(holder)[n].alias(n) for n in names))
 
 
+@query
+def op8_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document; one in four of the labels, by a checksum of the id, is never trained on."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+    model = line_crf.train_on(docs, table(spark, sf_dir, "labels").where(~held_out))
+    scored = docs.select("doc_id", held_out.alias("held_out"), line_crf.quality_score(docs, F.col("text"), model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= GOOD).cast("int"))
+
+
 def _quoted(words: list[str]) -> str:
     return ", ".join("'" + w.replace("'", "''") + "'" for w in words)
 
