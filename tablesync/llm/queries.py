@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tablesync.llm import bpe_codec, html_text, inner_product, line_crf, mixing, quality_rules, surrogates, token_counts
+from tablesync.llm import bpe_codec, html_text, inner_product, jaccard_join, line_crf, mixing, quality_rules, surrogates, token_counts
 from tablesync.llm.common import col, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -114,6 +114,12 @@ def op8_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= GOOD).cast("int"))
 
 
+@query
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents linked by their five-word shingles."""
+    return jaccard_join.classes(table(spark, sf_dir, "documents"))
+
+
 def _quoted(words: list[str]) -> str:
     return ", ".join("'" + w.replace("'", "''") + "'" for w in words)
 
