@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tablesync.llm import bpe_codec, html_text, inner_product, jaccard_join, line_crf, mixing, quality_rules, surrogates, token_counts
+from tablesync.llm import bpe_codec, html_text, inner_product, jaccard_join, line_crf, mixing, quality_rules, repeated_bytes, surrogates, token_counts
 from tablesync.llm.common import col, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -114,6 +114,14 @@ def op8_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= GOOD).cast("int"))
 
 
+@query
+def op9_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the strings that occur before."""
+    left = repeated_bytes.without_repeats(table(spark, sf_dir, "documents"))
+    removed = (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed")
+    return left.select("doc_id", "n_bytes", removed, "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents linked by their five-word shingles."""
