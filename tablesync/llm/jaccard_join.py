@@ -443,3 +443,19 @@ def classes(docs: DataFrame, similarity: Similarity = Similarity()) -> DataFrame
     named = sets.join(roots, "comp").select("set", "component_id")
     out = members.join(named, "set", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def representatives(docs: DataFrame, similarity: Similarity = Similarity()) -> DataFrame:
+    """The rows of ``docs`` that stand for their component: those of its smallest id, equal texts of one id once.
+
+    Rows without words stand for themselves; of rows without an id, those whose component has no id at all stay.
+    """
+    found = materialize(classes(docs.select("doc_id", "text"), similarity).where(F.col("doc_id").eqNullSafe(F.col("component_id"))), "classes")
+    ids = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
+    ids = materialize(ids, "representatives")
+    repeated = not ids.where("rows > 1").isEmpty()
+    ids = ids.select(F.col("doc_id").alias("_id"))
+    if ids.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    kept = docs.join(ids, docs["doc_id"].cast("long").eqNullSafe(F.col("_id")), "left_semi")
+    return kept.dropDuplicates(["doc_id", "text"]) if repeated else kept
