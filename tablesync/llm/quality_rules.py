@@ -75,49 +75,63 @@ STATISTICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_wor
 PLACE_BITS = 28
 
 
-def text_statistics(df: DataFrame, text: str = "text") -> tuple[DataFrame, str]:
-    """``df`` with one struct column of statistics, and that column's name.
+def _let(value: Column, body) -> Column:
+    """``body`` of ``value``, which is evaluated once. A column would be put in place of its name, even inside loops, where a filter is pushed down."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _repeat_words(w: Column) -> Column:
+    """Words in windows of three that occur again among the words ``w``.
 
-    Repeated words: a window is three words in a row. Each window becomes one long,
-    its hash above its place, and the longs are sorted inside the row. Only windows
-    that share a hash with a neighbour are compared as text; those found equal are
-    repeated, and the words they cover are counted once each.
+    Each window becomes one long, its hash above its place, and the longs are sorted.
+    Only windows that share a hash with a neighbour are compared as text; those found
+    equal are repeated, and the words they cover are counted once each.
     """
-    words, lines, packed, likely, spots = (fresh(df, n) for n in ("_words", "_lines", "_packed", "_likely", "_spots"))
-    body = F.coalesce(col(text), F.lit(""))
-    w, p, s = col(words), col(packed), col(spots)
-    trimmed = F.btrim(body, F.lit(SPACES))
-    out = df.withColumns({
-        words: F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, GAP)),
-        lines: F.filter(F.split(body, "\n", -1), lambda x: F.length(F.ltrim(x, F.lit(SPACES))) > 0),
-    })
     at = lambda i: (F.get(w, i), F.get(w, i + 1), F.get(w, i + 2))
-    place = F.lit((1 << PLACE_BITS) - 1).cast("long")
     pack = lambda i: F.shiftleft(F.xxhash64(*at(i)), PLACE_BITS).bitwiseOR(i.cast("long"))
-    starts = F.when(F.size(w) >= 3, F.sequence(F.lit(0), F.size(w) - 3)).otherwise(F.array().cast("array<int>"))
-    out = out.withColumn(packed, F.sort_array(F.transform(starts, pack)))
     hash_of = lambda x: F.shiftright(x, PLACE_BITS)
-    beside = lambda x, k: (hash_of(F.get(p, k - 1)) == hash_of(x)) | (hash_of(F.get(p, k + 1)) == hash_of(x))
-    out = out.withColumn(likely, F.transform(F.filter(p, beside), lambda x: x.bitwiseAND(place).cast("int")))
-    tagged = F.sort_array(F.transform(col(likely), lambda i: F.struct(F.concat_ws(" ", *at(i)).alias("g"), i.alias("i"))))
-    out = out.withColumn(likely, F.when(F.size(col(likely)) > 0, tagged))
-    t = col(likely)
-    equal = F.filter(t, lambda x, k: (F.get(t, k - 1)["g"] == x["g"]) | (F.get(t, k + 1)["g"] == x["g"]))
-    out = out.withColumn(spots, F.when(t.isNotNull(), F.sort_array(F.transform(equal, lambda x: x["i"]))))
-    covered = F.aggregate(F.transform(s, lambda i, k: F.least(F.lit(3), F.coalesce(F.get(s, k + 1) - i, F.lit(3)))), F.lit(0), lambda a, x: a + x)
-    counts = {
-        "n_words": F.size(w),
-        "word_chars": F.length(F.array_join(w, "")),
-        "n_symbols": F.regexp_count(body, F.lit("[" + SYMBOLS.replace("&", "\\&") + "]")),
-        "n_dup_lines": F.size(col(lines)) - F.size(F.array_distinct(col(lines))),
-        "n_repeat_words": F.coalesce(covered, F.lit(0)),
-        "n_stop_words": F.size(F.filter(w, lambda x: x.isin(STOP_WORDS + [x.capitalize() for x in STOP_WORDS]))),
-        "n_lines": F.size(col(lines)),
-        "n_capitals": F.length(F.regexp_replace(body, r"[^\p{Lu}]+", "")),
-    }
+    place = F.lit((1 << PLACE_BITS) - 1).cast("long")
+    none = F.array().cast("array<int>")
+
+    def likely(p: Column) -> Column:
+        beside = lambda x, k: (hash_of(F.get(p, k - 1)) == hash_of(x)) | (hash_of(F.get(p, k + 1)) == hash_of(x))
+        return F.transform(F.filter(p, beside), lambda x: x.bitwiseAND(place).cast("int"))
+
+    def equal(t: Column) -> Column:
+        kept = F.filter(t, lambda x, k: (F.get(t, k - 1)["g"] == x["g"]) | (F.get(t, k + 1)["g"] == x["g"]))
+        return F.sort_array(F.transform(kept, lambda x: x["i"]))
+
+    def covered(s: Column) -> Column:
+        return F.aggregate(F.transform(s, lambda i, k: F.least(F.lit(3), F.coalesce(F.get(s, k + 1) - i, F.lit(3)))), F.lit(0), lambda a, x: a + x)
+
+    starts = F.when(F.size(w) >= 3, F.sequence(F.lit(0), F.size(w) - 3)).otherwise(none)
+    tagged = lambda c: F.sort_array(F.transform(c, lambda i: F.struct(F.concat_ws(" ", *at(i)).alias("g"), i.alias("i"))))
+    count = lambda c: F.when(F.size(c) == 0, 0).otherwise(_let(_let(tagged(c), equal), covered))
+    return _let(_let(F.sort_array(F.transform(starts, pack)), likely), count)
+
+
+def text_statistics(df: DataFrame, text: str = "text") -> tuple[DataFrame, str]:
+    """``df`` with one struct column of statistics, and that column's name."""
+    body = F.coalesce(col(text), F.lit(""))
+    trimmed = F.btrim(body, F.lit(SPACES))
+    words = F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, GAP))
+    lines = F.filter(F.split(body, "\n", -1), lambda x: F.length(F.ltrim(x, F.lit(SPACES))) > 0)
+    long = lambda **counts: F.struct(*(c.cast("long").alias(n) for n, c in counts.items()))
+    of_words = lambda w: long(
+        n_words=F.size(w),
+        word_chars=F.length(F.array_join(w, "")),
+        n_repeat_words=_repeat_words(w),
+        n_stop_words=F.size(F.filter(w, lambda x: x.isin(STOP_WORDS + [x.capitalize() for x in STOP_WORDS]))),
+    )
+    of_lines = lambda x: long(n_dup_lines=F.size(x) - F.size(F.array_distinct(x)), n_lines=F.size(x))
+    of_text = long(
+        n_symbols=F.regexp_count(body, F.lit("[" + SYMBOLS.replace("&", "\\&") + "]")),
+        n_capitals=F.length(F.regexp_replace(body, r"[^\p{Lu}]+", "")),
+    )
     holder = fresh(df, "_stats")
-    out = out.withColumn(holder, F.struct(*(c.cast("long").alias(n) for n, c in counts.items()))).drop(words, lines, packed, likely, spots)
-    return out, holder
+    parts = F.struct(_let(words, of_words).alias("w"), _let(lines, of_lines).alias("l"), of_text.alias("t"))
+    where = {n: part for part, names in (("w", ("n_words", "word_chars", "n_repeat_words", "n_stop_words")), ("l", ("n_dup_lines", "n_lines")), ("t", ("n_symbols", "n_capitals"))) for n in names}
+    return df.withColumn(holder, _let(parts, lambda x: F.struct(*(x[where[n]][n].alias(n) for n in STATISTICS)))), holder
 
 
 def verdict(statistics: dict[str, Column], rules: tuple[Rule, ...]) -> Column:
@@ -130,10 +144,13 @@ def verdict(statistics: dict[str, Column], rules: tuple[Rule, ...]) -> Column:
 def judge(df: DataFrame, text: str = "text", base: tuple[Rule, ...] = BASE, rules: tuple[Rule, ...] = RULES) -> tuple[DataFrame, str]:
     """``df`` with one struct column: all statistics, ``base_failed`` and ``kept``; and that column's name."""
     out, holder = text_statistics(df, text)
-    parts = {n: col(holder)[n] for n in STATISTICS}
-    failed = ~verdict(parts, base)
-    fields = [c.alias(n) for n, c in parts.items()] + [failed.alias("base_failed"), (~failed & verdict(parts, rules)).alias("kept")]
-    return out.withColumn(holder, F.struct(*fields)), holder
+
+    def judged(x: Column) -> Column:
+        parts = {n: x[n] for n in STATISTICS}
+        failed = ~verdict(parts, base)
+        return F.struct(*(c.alias(n) for n, c in parts.items()), failed.alias("base_failed"), (~failed & verdict(parts, rules)).alias("kept"))
+
+    return out.withColumn(holder, _let(col(holder), judged)), holder
 
 
 def apply_rules(df: DataFrame, text: str = "text", base: tuple[Rule, ...] = BASE, rules: tuple[Rule, ...] = RULES) -> DataFrame:
