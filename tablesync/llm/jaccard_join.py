@@ -37,7 +37,7 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tablesync.llm.common import materialize
 
@@ -50,7 +50,8 @@ SLACK = 0.25
 #: A key of more sets than this is compared only for sets that cannot do without it.
 COMMON = 48
 
-#: Keys in a bucket, about.
+#: Documents for each bucket of keys, about, and keys that are sorted at once.
+BUCKET_DOCUMENTS = 4096
 BUCKET_KEYS = 2_000_000
 
 #: Set ids up to this number are broadcast (8 bytes each).
@@ -105,14 +106,33 @@ def shingles(text: str | None, words: int) -> np.ndarray:
     found = text.encode().lower().split() if text else []
     if not found:
         return np.zeros(0, np.uint64)
-    h = np.array(list(map(_WORDS.__getitem__, found)), np.uint64)
-    n = len(h) - words + 1
-    if n < 1:
-        return mixed(sum((mixed(h[i : i + 1], i + 1) for i in range(1, len(h))), mixed(h[:1], 1)), 100 + len(h))
-    total = mixed(h[:n], 1)
-    for i in range(1, words):
-        total = total + mixed(h[i : i + n], i + 1)
-    return np.unique(mixed(total, 100 + words))
+    h = np.fromiter(map(_WORDS.__getitem__, found), np.uint64, len(found))
+    n = max(1, len(h) - words + 1)
+    total = np.full(n, len(h) if len(h) < words else words, np.uint64)
+    for i in range(min(words, len(h))):
+        total += h[i : i + n] * _odd(i)
+    return np.unique(mixed(total, 100))
+
+
+@cache
+def _odd(i: int) -> np.uint64:
+    """A multiplier for the word at each place."""
+    return mixed(np.array([i + 1], np.uint64), 3)[0] | np.uint64(1)
+
+
+def sketch(hashes: np.ndarray) -> bytes:
+    """Bits that each shingle flips one of, at least two for each shingle. The bits in which two sketches differ are at most the shingles in which their sets differ."""
+    bits = max(64, 1 << (2 * len(hashes) - 1).bit_length())
+    return np.packbits(np.bincount((hashes & np.uint64(bits - 1)).astype(np.int64), minlength=bits).astype(np.uint8) & 1).tobytes()
+
+
+def differing(x: bytes, y: bytes) -> int:
+    """Bits in which two sketches differ; the longer one is folded."""
+    a, b = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    a, b = (a, b) if len(a) <= len(b) else (b, a)
+    while len(b) > len(a):
+        b = b[: len(b) // 2] ^ b[len(b) // 2 :]
+    return int(np.bitwise_count(a ^ b).sum())
 
 
 def set_id(hashes: np.ndarray) -> int:
@@ -180,15 +200,19 @@ def segment_keys(hashes: np.ndarray, band: int, similarity: Similarity, least: i
     plan = allocation(band, similarity)
     size = len(hashes)
     singles, doubles = _used(size, plan, similarity)
-    slot = ((mixed(hashes, 1000 + band) >> np.uint64(32)) * np.uint64(plan.width) >> np.uint64(32)).astype(np.int64)
-    segment = np.where(slot < plan.single, slot, plan.single + (slot - plan.single) // 3)
-    use = (segment < singles) | ((segment >= plan.single) & (segment < plan.single + doubles))
-    segment, tokens = segment[use], mixed(hashes[use], 2000 + band)
+    # Hashes are sorted and evenly spread: their upper half would give each segment one stretch of them, so the lower half deals.
+    segment = ((hashes & np.uint64(0xFFFFFFFF)) * np.uint64(plan.width) >> np.uint64(32)).astype(np.int64)
+    if plan.double:
+        segment = np.where(segment < plan.single, segment, plan.single + (segment - plan.single) // 3)
+    use = segment < singles
+    if doubles:
+        use |= (segment >= plan.single) & (segment < plan.single + doubles)
+    segment, tokens = segment[use], hashes[use]
     order = np.argsort(segment, kind="stable")
     segment, tokens = segment[order], tokens[order]
-    starts = np.flatnonzero(np.diff(segment, prepend=-1))
-    if not len(starts):
+    if not len(segment):
         return np.zeros(0, np.uint64), -1
+    starts = np.concatenate([[0], np.flatnonzero(segment[1:] != segment[:-1]) + 1])
     held, count = segment[starts], np.diff(starts, append=len(segment))
     sums = np.add.reduceat(tokens, starts)
     keys = [mixed(sums + held.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15), 3000 + band)]
@@ -202,7 +226,9 @@ def segment_keys(hashes: np.ndarray, band: int, similarity: Similarity, least: i
     sizes = np.arange(least, size + 1)
     s, d = _used(sizes, plan, similarity)
     upto = np.concatenate([[0], np.cumsum(units)])
-    have = upto[np.searchsorted(held, s)] + upto[np.searchsorted(held, plan.single + d)] - upto[np.searchsorted(held, plan.single)]
+    have = upto[np.searchsorted(held, s)]
+    if doubles:
+        have = have + upto[np.searchsorted(held, plan.single + d)] - upto[np.searchsorted(held, plan.single)]
     return np.concatenate(keys), int((have - _apart(sizes, similarity) - 1).min())
 
 
@@ -224,52 +250,59 @@ def all_keys(hashes: np.ndarray, similarity: Similarity) -> tuple[np.ndarray, in
         keys, spare = [k for k, _ in found], min(s for _, s in found)
     # Sets that a small one can be linked with meet it here.
     if spare < 0 or n <= similarity.larger(SMALL):
-        keys.append(np.sort(mixed(hashes, 5000))[: n - -(-n * similarity.part // 100) + 1])
+        keys.append(mixed(hashes[: n - -(-n * similarity.part // 100) + 1], 5000))
     return np.concatenate(keys), -1 if n <= similarity.larger(SMALL) else spare
 
 
-def _members(similarity: Similarity):
-    def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sizes, ids = [], []
-            for text in batch.column("text"):
-                found = shingles(text.as_py(), similarity.words)
-                sizes.append(len(found))
-                ids.append(set_id(found) if len(found) else None)
-            yield pa.record_batch({"doc_id": batch.column("doc_id"), "n": pa.array(sizes, pa.int64()), "set": pa.array(ids, pa.int64())})
+ROWS = "bucket int, set long, keys binary, doc_id long, n long, sketch binary, spare int"
+SHARED = "key long, set long, leader long, doc_id long, n long, sketch binary, spare int"
+
 
-    return members
+def _rows(schema: str, **columns) -> pa.RecordBatch:
+    """A batch of the schema; columns not given are null."""
+    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+    size = len(next(iter(columns.values())))
+    fields = [f.split() for f in schema.split(", ")]
+    arrays = [pa.array(columns[n], kinds[k]) if n in columns else pa.nulls(size, kinds[k]) for n, k in fields]
+    return pa.record_batch(arrays, names=[n for n, _ in fields])
 
 
-def _keys(similarity: Similarity, buckets: int):
-    """Rows of a bucket, a set and its keys in that bucket, packed as 32-bit numbers."""
+def _file(similarity: Similarity, buckets: int):
+    """A row for each document, and rows of a bucket, a set and its keys in that bucket, packed as 32-bit numbers."""
 
-    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def file(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bucket, sets, packed, done = [], [], [], set()
+            member: list[tuple] = []
+            bucket, sets, packed, done = [], [], [], {}
             for text in batch.column("text"):
                 found = shingles(text.as_py(), similarity.words)
-                if not len(found) or (own := set_id(found)) in done:
+                if not len(found):
+                    member.append((None, 0, None, None))
                     continue
-                done.add(own)
-                k = np.unique(all_keys(found, similarity)[0])
-                if not len(k):
+                own = set_id(found)
+                if own in done:
+                    member.append(done[own])
                     continue
-                home = ((k >> np.uint64(32)) % np.uint64(buckets)).astype(np.int32)
+                k, spare = all_keys(found, similarity)
+                done[own] = (own, len(found), sketch(found), spare)
+                member.append(done[own])
+                home = ((k >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
                 order = np.argsort(home, kind="stable")
                 home, low = home[order], (k[order] & np.uint64(0xFFFFFFFF)).astype("<u4")
-                cuts = np.flatnonzero(np.diff(home, prepend=-1))
-                for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(home)], strict=True):
+                cuts = [0, *(np.flatnonzero(home[1:] != home[:-1]) + 1).tolist(), len(home)] if len(home) else [0]
+                for a, b in zip(cuts, cuts[1:], strict=False):
                     bucket.append(int(home[a]))
                     sets.append(own)
                     packed.append(low[a:b].tobytes())
-            yield pa.record_batch({"bucket": pa.array(bucket, pa.int32()), "set": pa.array(sets, pa.int64()), "keys": pa.array(packed, pa.binary())})
+            own, n, bits, spare = zip(*member, strict=True) if member else ((),) * 4
+            yield _rows(ROWS, set=own, n=n, sketch=bits, spare=spare, doc_id=batch.column("doc_id"))
+            yield _rows(ROWS, bucket=bucket, set=sets, keys=packed)
 
-    return keys
+    return file
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of each key that several sets have: the key, a set, and the set that leads it.
+    """The rows of documents, and of each key that several sets have: the key, a set, and the set that leads it.
 
     Keys are sorted a chunk at a time. Of former chunks only the leader of each key is kept,
     so a key may have any number of sets; buckets bound the number of keys.
@@ -296,7 +329,7 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         new_keys, new_leaders = np.concatenate([old_keys, own[~old]]), np.concatenate([old_leaders, leaders[~old]])
         order = np.argsort(new_keys, kind="stable")
         known[bucket] = new_keys[order], new_leaders[order]
-        return pa.record_batch({"key": (np.int64(bucket) << 32) | out_keys.astype(np.int64), "set": out_sets, "leader": out_leaders})
+        return _rows(SHARED, key=(np.int64(bucket) << 32) | out_keys.astype(np.int64), set=out_sets, leader=out_leaders)
 
     held: dict[int, list[tuple[int, bytes]]] = {}
     size = 0
@@ -309,6 +342,9 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held.clear()
 
     for batch in batches:
+        document = batch.filter(batch.column("bucket").is_null())
+        yield _rows(SHARED, **{c: document.column(c) for c in ("set", "doc_id", "n", "sketch", "spare")})
+        batch = batch.filter(batch.column("bucket").is_valid())
         for bucket, own, keys in zip(*(batch.column(c).to_pylist() for c in ("bucket", "set", "keys")), strict=True):
             held.setdefault(bucket, []).append((own, keys))
             size += len(keys) // 4
@@ -321,17 +357,26 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _arrays(similarity: Similarity):
     def arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets, packed, spare = [], [], []
-            for text in batch.column("text"):
-                found = shingles(text.as_py(), similarity.words)
-                sets.append(set_id(found))
-                packed.append(found.astype("<u8").tobytes())
-                spare.append(all_keys(found, similarity)[1])
-            yield pa.record_batch({"set": pa.array(sets, pa.int64()), "hashes": pa.array(packed, pa.binary()), "spare": pa.array(spare, pa.int32())})
+            found = [shingles(text.as_py(), similarity.words) for text in batch.column("text")]
+            yield pa.record_batch({"set": pa.array([set_id(f) for f in found], pa.int64()), "hashes": pa.array([f.astype("<u8").tobytes() for f in found], pa.binary())})
 
     return arrays
 
 
+def _likely(similarity: Similarity):
+    """Keeps the pairs whose sizes and sketches allow a link."""
+
+    def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for n, m, x, y in zip(*(batch.column(c).to_pylist() for c in ("n", "m", "x", "y")), strict=True):
+                most = (n + m) * (100 - similarity.part) // (100 + similarity.part)
+                keep.append(max(n, m) <= similarity.larger(min(n, m)) and differing(x, y) <= most)
+            yield pa.record_batch({"a": batch.column("a"), "b": batch.column("b")}).filter(pa.array(keep, pa.bool_()))
+
+    return likely
+
+
 def _verify(similarity: Similarity):
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -363,31 +408,48 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def _checked(pairs: DataFrame, arrays: DataFrame, similarity: Similarity) -> DataFrame:
-    """Those of the pairs (``a``, ``b``) that are linked."""
-    x = arrays.select(F.col("set").alias("a"), F.col("hashes").alias("x"))
-    y = arrays.select(F.col("set").alias("b"), F.col("hashes").alias("y"))
-    return materialize(pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_verify(similarity), "a long, b long"), "links")
-
-
-def linked_sets(docs: DataFrame, members: DataFrame, similarity: Similarity) -> DataFrame:
+class Checker:
+    """Tells which pairs of sets are linked. Shingles are fetched once for each set that a likely pair has."""
+
+    def __init__(self, docs: DataFrame, sets: DataFrame, similarity: Similarity):
+        self.docs, self.sets, self.similarity = docs, sets, similarity
+        self.arrays: DataFrame | None = None
+
+    def fetch(self, likely: DataFrame) -> DataFrame:
+        asked = likely.select(F.col("a").alias("set")).unionByName(likely.select(F.col("b").alias("set"))).distinct()
+        if self.arrays is not None:
+            asked = asked.join(self.arrays.select("set"), "set", "left_anti")
+        wanted = materialize(asked.join(self.sets.select("set", F.col("doc_id").alias("_id")), "set"), "wanted")
+        count = wanted.count()
+        if count:
+            wanted = F.broadcast(wanted) if count <= BROADCAST_IDS else wanted
+            chosen = self.docs.join(wanted, self.docs["doc_id"].eqNullSafe(wanted["_id"]), "left_semi")
+            new = chosen.select("text").mapInArrow(_arrays(self.similarity), "set long, hashes binary")
+            new = materialize(new.dropDuplicates(["set"]), "arrays")
+            self.arrays = new if self.arrays is None else self.arrays.unionByName(new)
+        return self.arrays
+
+    def linked(self, pairs: DataFrame) -> DataFrame:
+        """Those of the pairs (``a``, ``b``) that are linked."""
+        x = self.sets.select(F.col("set").alias("a"), "n", F.col("sketch").alias("x"))
+        y = self.sets.select(F.col("set").alias("b"), F.col("n").alias("m"), F.col("sketch").alias("y"))
+        likely = pairs.join(x, "a").join(y, "b").select("a", "b", "n", "m", "x", "y").mapInArrow(_likely(self.similarity), "a long, b long")
+        likely = materialize(likely, "likely")
+        if likely.isEmpty():
+            return likely
+        arrays = self.fetch(likely)
+        x, y = arrays.select(F.col("set").alias("a"), F.col("hashes").alias("x")), arrays.select(F.col("set").alias("b"), F.col("hashes").alias("y"))
+        return materialize(likely.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_verify(self.similarity), "a long, b long"), "links")
+
+
+def linked_sets(docs: DataFrame, sets: DataFrame, shared: DataFrame, similarity: Similarity) -> DataFrame:
     """``set`` and ``comp`` for all sets that are linked with another."""
-    spark = docs.sparkSession
-    shingle_count = members.agg(F.sum("n")).first()[0] or 0
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), shingle_count // BUCKET_KEYS + 1)
-    keys = docs.select("text").mapInArrow(_keys(similarity, buckets), "bucket int, set long, keys binary")
-    shared = materialize(keys.repartitionById(buckets, F.col("bucket")).mapInArrow(_shared, "key long, set long, leader long"), "shared-keys")
+    checker = Checker(docs, sets, similarity)
     # Each set with the leader of most of its keys.
     pair = shared.where("set <> leader").groupBy("set", "leader").agg(F.count(F.lit(1)).alias("n"))
     best = pair.groupBy("set").agg(F.max(F.struct("n", (-F.col("leader")).alias("to"))).alias("m")).select(F.col("set").alias("b"), (-F.col("m.to")).alias("a"))
-    wanted = shared.select("set").distinct().join(members.groupBy("set").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id"))["doc_id"].alias("doc_id")), "set")
-    wanted = materialize(wanted.select("doc_id").distinct(), "wanted")
-    if wanted.count() <= BROADCAST_IDS:
-        wanted = F.broadcast(wanted)
-    chosen = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["doc_id"]), "left_semi")
-    arrays = materialize(chosen.select("text").mapInArrow(_arrays(similarity), "set long, hashes binary, spare int").dropDuplicates(["set"]), "arrays")
     tested = materialize(best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
-    links = _checked(tested, arrays, similarity)
+    links = checker.linked(tested)
     comps = components(links)
     rows, turn = shared.select("key", "set"), 0
     while True:
@@ -396,14 +458,14 @@ def linked_sets(docs: DataFrame, members: DataFrame, similarity: Similarity) ->
         groups = labelled.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
         open_rows = materialize(labelled.join(groups.select("key", "n"), "key"), "open-keys")
         last = turn >= STAR_ROUNDS
-        found = materialize(_new(_all_pairs(open_rows, arrays) if last else _star_pairs(open_rows), tested), "pairs")
+        found = materialize(_new(_all_pairs(open_rows, sets) if last else _star_pairs(open_rows), tested), "pairs")
         if found.isEmpty():
             if last:
                 return comps
             turn = STAR_ROUNDS
             continue
         tested = tested.unionByName(found)
-        fresh = _checked(found, arrays, similarity)
+        fresh = checker.linked(found)
         if not fresh.isEmpty():
             links = links.unionByName(fresh)
             comps = components(links)
@@ -423,11 +485,11 @@ def _star_pairs(rows: DataFrame) -> DataFrame:
     return each.join(first, "key").where("comp <> f.comp").select(F.col("set").alias("a"), F.col("f.set").alias("b"))
 
 
-def _all_pairs(rows: DataFrame, arrays: DataFrame) -> DataFrame:
+def _all_pairs(rows: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs across components at keys of few sets, and at common keys those of sets that cannot spare such keys."""
     common = rows.where(F.col("n") > COMMON)
     lost = common.groupBy("set").agg(F.count(F.lit(1)).alias("lost"))
-    short = lost.join(arrays.select("set", "spare"), "set").where("lost > spare").select("set")
+    short = lost.join(sets.select("set", "spare"), "set").where("lost > spare").select("set")
     rows = rows.where(F.col("n") <= COMMON).unionByName(common.join(short, "set", "left_semi").select(*rows.columns))
     left, right = rows.select("key", F.col("set").alias("a"), F.col("comp").alias("ca")), rows.select("key", F.col("set").alias("b"), F.col("comp").alias("cb"))
     return left.join(right, "key").where("ca < cb").select("a", "b")
@@ -436,9 +498,15 @@ def _all_pairs(rows: DataFrame, arrays: DataFrame) -> DataFrame:
 def classes(docs: DataFrame, similarity: Similarity = Similarity()) -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id`` of each row of ``docs`` (``doc_id``, ``text``)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    members = materialize(docs.mapInArrow(_members(similarity), "doc_id long, n long, set long"), "members")
-    comps = linked_sets(docs, members, similarity)
-    sets = members.where("set is not null").groupBy("set").agg(F.min("doc_id").alias("least")).join(comps, "set", "left").withColumn("comp", F.coalesce("comp", "set"))
+    buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), docs.count() // BUCKET_DOCUMENTS + 1)
+    filed = docs.mapInArrow(_file(similarity, buckets), ROWS)
+    home = F.coalesce("bucket", F.pmod(F.hash("set", "doc_id"), F.lit(buckets)))
+    filed = materialize(filed.repartitionById(buckets, home).mapInArrow(_shared, SHARED), "shared-keys")
+    members = filed.where("key is null")
+    firsts = members.where("set is not null").groupBy("set").agg(F.min("doc_id").alias("doc_id"), *(F.first(c).alias(c) for c in ("n", "sketch", "spare")))
+    firsts = materialize(firsts, "sets")
+    comps = linked_sets(docs, firsts, filed.where("key is not null").select("key", "set", "leader"), similarity)
+    sets = firsts.select("set", F.col("doc_id").alias("least")).join(comps, "set", "left").withColumn("comp", F.coalesce("comp", "set"))
     roots = sets.groupBy("comp").agg(F.min("least").alias("component_id"))
     named = sets.join(roots, "comp").select("set", "component_id")
     out = members.join(named, "set", "left")
