@@ -138,6 +138,9 @@ def safe_cast(value: Column, source: T.DataType, wanted: T.DataType) -> Column:
     if text and isinstance(wanted, T.BooleanType):
         word = F.lower(F.trim(value))
         return F.when(word.isin(*TRUE_TEXTS), True).when(word.isin(*FALSE_TEXTS), False)
+    if isinstance(source, (T.DoubleType, T.FloatType, T.DecimalType)) and isinstance(wanted, T.LongType):
+        # A fraction does not fit; it is not cut off unseen.
+        return F.when(value == F.floor(value), value.try_cast(wanted))
     if isinstance(source, (T.DoubleType, T.FloatType)) and isinstance(wanted, T.DecimalType):
         limit = float(10 ** (wanted.precision - wanted.scale))
         return F.when(F.abs(value) < limit, value.try_cast(wanted))

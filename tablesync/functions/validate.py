@@ -87,13 +87,14 @@ def violation(
 ) -> Column | None:
     """Reason why ``value`` cannot be stored as ``kind``, NULL if it can; None if it always can."""
     reason = None
-    if _is_text(source) and kind in SPARK_TYPES:
+    fraction = kind == "integer" and isinstance(source, (T.DoubleType, T.FloatType, T.DecimalType))
+    if (_is_text(source) and kind in SPARK_TYPES) or fraction:
         reason = F.when(value.isNotNull() & typed.isNull(), TYPECAST)
     checks = [check for rule in rules.get(kind, ()) if (check := rule(value, typed, source)) is not None]
     if checks:
         bad = F.when(reduce(lambda a, b: a | b, checks), SIZE_LIMIT)
         reason = bad if reason is None else F.coalesce(bad, reason)
-    return reason
+    return F.when(value != F.floor(value), TYPECAST).otherwise(reason) if fraction else reason
 
 
 def validate(
@@ -205,8 +206,3 @@ def changes(df: DataFrame, names: MetaNames | None = None, keep: Sequence[str] =
 def validation_report(df: DataFrame, names: MetaNames | None = None) -> DataFrame:
     """How many values were nulled, per column and reason."""
     return changes(df, names).groupBy("field", "reason").agg(F.count(F.lit(1)).alias("nullified"))
-
-
-def fields_of(schema: T.StructType) -> list[Field]:
-    """Fields for columns that declare none, from their Spark types."""
-    return [Field(f.name, kind_of(f.dataType), f.nullable) for f in schema]

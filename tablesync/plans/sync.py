@@ -62,7 +62,8 @@ def sync(
     """
     refresh = truncates(spec) or spec.mode is SyncMode.OVERWRITE
     batch = intake(records, spec, raw_id, extracted_at)
-    if refresh:
+    # A refresh may come in several batches: only its first one replaces what was there.
+    if refresh and not (truncates(spec) and store.refreshed(spec)):
         return store.overwrite(spec, batch)
     store.ensure(spec, on_error)
     if label == "content":

@@ -39,7 +39,7 @@ def work_dir(spark: SparkSession) -> str:
     if configured is None:
         if context.getCheckpointDir() is not None:
             return context.getCheckpointDir()
-        if not context.master.startswith("local"):
+        if not (context.master == "local" or context.master.startswith("local[")):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="tablesync-")
     if context.getCheckpointDir() is None:

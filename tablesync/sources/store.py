@@ -22,7 +22,6 @@ from dataclasses import dataclass, field, replace
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
-from tablesync.functions.encode import csv_line
 from tablesync.functions.types import column
 from tablesync.operators.batches import label_prefix
 from tablesync.operators.ledger import LABEL_EXISTS, SUCCESS, initial_status
@@ -90,6 +89,10 @@ class Snapshot:
     deltas: Mapping[str, int] = field(default_factory=dict)
     # With tombstones: the columns whose greatest value wins.
     order_by: tuple[str, ...] = ()
+    # Loads before this version belong to rows that are gone; their labels count no more.
+    since: int = 0
+    # The generation that the last refresh brought.
+    generation: int | None = None
 
 
 class TableStore:
@@ -154,7 +157,7 @@ class TableStore:
                 raise ValueError(f"tombstones need a dedup stream without a column {spec.names.op!r}")
             layout = _with_op_column(layout, spec)
         order_by = spec.order_by if tombstones else ()
-        self._publish(namespace, table, Snapshot(version, layout, self.buckets, tombstones, order_by=order_by))
+        self._publish(namespace, table, Snapshot(version, layout, self.buckets, tombstones, order_by=order_by, since=version))
 
     def drop_table(self, namespace: str, table: str) -> None:
         """Remove a table and its live folders, if it exists."""
@@ -300,8 +303,12 @@ class TableStore:
         snapshot = self._require(namespace, table)
         if progress and snapshot.progress.get(progress[0], -1) >= progress[1]:
             return LoadResult(LABEL_EXISTS)
-        if label and not self.ledger(namespace, table).filter(F.col("label") == label).isEmpty():
+        known = (F.col("label") == label) & (F.col("version") >= snapshot.since)
+        if label and not self.ledger(namespace, table).filter(known).isEmpty():
             return LoadResult(LABEL_EXISTS)
+        absent = sorted({f.name for f in spec.fields} - set(snapshot.layout.schema.names))
+        if absent:
+            raise ValueError(f"the table has no columns for {', '.join(absent)}; call ensure first")
         if snapshot.layout.model is KeyModel.PRIMARY:
             return self._merge(namespace, table, snapshot, spec, batch, label, progress)
         return self._append(namespace, table, snapshot, batch, label, progress)
@@ -313,17 +320,39 @@ class TableStore:
         self.create_namespace(namespace)
         layout = describe(spec)
         version = 0 if current is None else current.version + 1
-        fresh = Snapshot(version, layout, self.buckets, False)
+        generation = spec.generation_id
+        if current is None:
+            fresh = Snapshot(version, layout, self.buckets, False, since=version, generation=generation)
+        else:
+            # Settings of the table and the progress of its streams outlive its rows.
+            kept = current.tombstones and layout.model is KeyModel.PRIMARY
+            layout = _with_op_column(layout, spec) if kept else layout
+            fresh = replace(
+                current, version=version, layout=layout, tombstones=kept, parts={}, retired=(), deltas={},
+                order_by=spec.order_by if kept else (), since=version, generation=generation,
+            )
         rows = batch
         if layout.model is KeyModel.PRIMARY:
             rows = last_event_per_key(require_keys(batch, layout.keys), layout.keys, spec.order_by)
-            op = free_name(spec.names.op, rows.columns)
-            rows = with_op(rows, spec, op).filter(column(op) == UPSERT).drop(op)
+            op = self._op(fresh) if fresh.tombstones else free_name(spec.names.op, rows.columns)
+            rows = with_op(rows, spec, op)
+            rows = rows if fresh.tombstones else rows.filter(column(op) == UPSERT).drop(op)
         parts = self._write(namespace, table, conform(rows, layout.schema), fresh)
         fresh = replace(fresh, parts=parts)
-        loaded = self._rows(fresh, parts).count()
-        self._publish(namespace, table, fresh, {"status": SUCCESS, "buffered": loaded, "upserts": loaded, "deletes": 0})
-        return LoadResult(SUCCESS, loaded, loaded, 0, version)
+        written = self._rows(fresh, parts)
+        deletes = written.filter(column(op) != UPSERT).count() if fresh.tombstones else 0
+        loaded = written.count()
+        counts = {"buffered": loaded, "upserts": loaded - deletes, "deletes": deletes}
+        self._publish(namespace, table, fresh, {"status": SUCCESS, **counts})
+        return LoadResult(SUCCESS, loaded, loaded - deletes, deletes, version)
+
+    def refreshed(self, spec: StreamSpec) -> bool:
+        """Whether the table holds rows of the stream's current refresh already."""
+        snapshot = self._snapshot(*self.target(spec))
+        return snapshot is not None and snapshot.generation == spec.generation_id
+
+    def is_order_safe(self, spec: StreamSpec) -> bool:
+        return self._require(*self.target(spec)).tombstones
 
     def _append(self, namespace, table, snapshot, batch, label, progress) -> LoadResult:
         part = self._new_part(namespace, table)
@@ -410,7 +439,7 @@ class TableStore:
             plan = _order_safe if snapshot.tombstones else _merged
             written = {}
             if touched:
-                rows = plan(stored, resolved.drop(events), keys, snapshot.order_by, op, bucket, small)
+                rows = plan(stored, resolved.drop(events), keys, snapshot.order_by, op, bucket, small, snapshot.buckets)
                 written = self._write_bucketed(namespace, table, rows, bucket)
             kept = {part: number for part, number in snapshot.parts.items() if number not in touched}
             total = {name: sum(r[name] for r in stats) for name in ("buffered", "upserts", "deletes")}
@@ -522,6 +551,8 @@ class TableStore:
             tuple(raw["retired"]),
             raw["deltas"],
             tuple(raw["order_by"]),
+            raw.get("since", 0),
+            raw.get("generation"),
         )
 
     def _publish(self, namespace: str, table: str, snapshot: Snapshot, entry: Mapping | None = None) -> None:
@@ -537,6 +568,8 @@ class TableStore:
             "retired": list(snapshot.retired),
             "deltas": dict(snapshot.deltas),
             "order_by": list(snapshot.order_by),
+            "since": snapshot.since,
+            "generation": snapshot.generation,
         }
         log = self._log(namespace, table)
         self.files.make_folder(log)
@@ -563,7 +596,7 @@ class TableStore:
     def _write(self, namespace: str, table: str, rows: DataFrame, snapshot: Snapshot) -> dict[str, int | None]:
         if snapshot.layout.model is KeyModel.PRIMARY:
             bucket = free_name("bucket", rows.columns)
-            spread = self._bucketed(rows, snapshot, bucket).repartition(snapshot.buckets, bucket)
+            spread = self._bucketed(rows, snapshot, bucket).repartitionById(snapshot.buckets, F.col(bucket))
             return self._write_bucketed(namespace, table, spread, bucket)
         part = self._new_part(namespace, table)
         rows.write.parquet(f"{self.root}/{part}")
@@ -602,43 +635,48 @@ def _counts(op: str, events: str) -> list:
     ]
 
 
-def _merged(stored: DataFrame | None, resolved: DataFrame, keys, _, op: str, bucket: str, small: bool) -> DataFrame:
+def _spread(rows: DataFrame, buckets: int, bucket: str) -> DataFrame:
+    """One task for each bucket, whatever the session's number of shuffle partitions."""
+    return rows.repartitionById(buckets, F.col(bucket))
+
+
+def _merged(stored: DataFrame | None, resolved: DataFrame, keys, _, op: str, bucket: str, small: bool, buckets: int) -> DataFrame:
     """Rows of the touched buckets after the batch, laid out by bucket for writing."""
     upserts = resolved.filter(column(op) == UPSERT).drop(op)
     if stored is None:
-        return upserts.repartition(bucket)
+        return _spread(upserts, buckets, bucket)
     if small:
         # The stored rows stay where they are; only the batch moves.
         touched = F.broadcast(resolved.select(*(column(k) for k in keys)))
-        return stored.join(touched, list(keys), "left_anti").unionByName(upserts.repartition(bucket))
+        return stored.join(touched, list(keys), "left_anti").unionByName(_spread(upserts, buckets, bucket))
     # One shuffle by bucket serves the comparison by key and the write.
     rank = free_name("_rank", resolved.columns)
     both = stored.withColumn(op, F.lit(UPSERT)).withColumn(rank, F.lit(0)).unionByName(resolved.withColumn(rank, F.lit(1)))
     newest = Window.partitionBy(bucket, *(column(k) for k in keys)).orderBy(F.col(rank).desc())
     place = free_name("_place", both.columns)
     return (
-        both.repartition(bucket)
+        _spread(both, buckets, bucket)
         .withColumn(place, F.row_number().over(newest))
         .filter((F.col(place) == 1) & (column(op) == UPSERT))
         .drop(place, rank, op)
     )
 
 
-def _order_safe(stored: DataFrame | None, resolved: DataFrame, keys, order_by, op: str, bucket: str, small: bool) -> DataFrame:
+def _order_safe(stored: DataFrame | None, resolved: DataFrame, keys, order_by, op: str, bucket: str, small: bool, buckets: int) -> DataFrame:
     """Newest row per key by ``order_by``, deletes kept as tombstones."""
     if stored is None:
-        return resolved.repartition(bucket)
+        return _spread(resolved, buckets, bucket)
     if small:
-        return _newest(stored, resolved, keys, order_by, bucket)
+        return _newest(stored, resolved, keys, order_by, bucket, buckets)
     rank, place = free_name("_rank", resolved.columns), free_name("_place", resolved.columns)
     both = stored.withColumn(rank, F.lit(0)).unionByName(resolved.withColumn(rank, F.lit(1)))
     newest = Window.partitionBy(bucket, *(column(k) for k in keys)).orderBy(
         *(column(c).desc() for c in order_by), F.col(rank).desc()
     )
-    return both.repartition(bucket).withColumn(place, F.row_number().over(newest)).filter(F.col(place) == 1).drop(place, rank)
+    return _spread(both, buckets, bucket).withColumn(place, F.row_number().over(newest)).filter(F.col(place) == 1).drop(place, rank)
 
 
-def _newest(stored: DataFrame, resolved: DataFrame, keys, order_by, bucket: str | None = None) -> DataFrame:
+def _newest(stored: DataFrame, resolved: DataFrame, keys, order_by, bucket: str | None = None, buckets: int = 0) -> DataFrame:
     """Only stored rows of the operations' keys are compared; the others stay where they are.
 
     ``bucket`` is given if the keys are known to be few: then they are broadcast.
@@ -648,7 +686,7 @@ def _newest(stored: DataFrame, resolved: DataFrame, keys, order_by, bucket: str
         touched = F.broadcast(touched)
     others = stored.join(touched, list(keys), "left_anti")
     compared = order_safe_upsert(stored.join(touched, list(keys), "left_semi"), resolved, keys, order_by)
-    return others.unionByName(compared.repartition(bucket) if bucket else compared)
+    return others.unionByName(_spread(compared, buckets, bucket) if bucket else compared)
 
 
 def content_label(batch: DataFrame, table: str, prefix: str = "tablesync-") -> str:
@@ -657,8 +695,10 @@ def content_label(batch: DataFrame, table: str, prefix: str = "tablesync-") -> s
     Each row's SHA-256 is spread into three numbers that are summed over all rows, so
     the work is one partial aggregation and no group holds the batch.
     """
-    ordered = batch.select(*(column(c) for c in sorted(batch.columns)))
-    digest = ordered.select(F.sha2(csv_line(ordered), 256).alias("digest"))
+    # Typed values in full: text made for a load would cut timestamps to seconds.
+    ordered = F.struct(*(column(c) for c in sorted(batch.columns)))
+    precise = {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"}
+    digest = batch.select(F.sha2(F.to_json(ordered, precise), 256).alias("digest"))
     # The wide decimal leaves room for sums over any number of rows.
     pieces = [F.sum(F.xxhash64("digest", F.lit(i)).cast("decimal(28,0)")).alias(f"s{i}") for i in range(3)]
     sums = digest.agg(F.count(F.lit(1)).alias("n"), *pieces)

@@ -44,6 +44,9 @@ def stream_sync(
     """
     if not store.table_exists(*store.target(spec)):
         store.create_table(spec, tombstones=order_safe)
+    elif order_safe and not store.is_order_safe(spec):
+        raise ValueError("the table keeps no tombstones, so late batches could win; create it with tombstones=True")
+    store.ensure(spec)
     shaped = prepare or (lambda df: intake(df, spec))
 
     def apply(batch: DataFrame, batch_id: int) -> None:

@@ -327,3 +327,71 @@ def test_records_without_raw_id_are_refused(spark, store):
     with pytest.raises(Exception, match="NULL in key columns"):
         sync(store, s, records(spark, [(1, "a", 1, None)]).withColumn("_raw_id", F.lit(None).cast("string")))
     assert store.count("db", "people") == 0
+
+
+def _event_spec(**changes):
+    from tablesync.spec import Field, StreamSpec, SyncMode
+
+    base = {"name": "e", "namespace": "n", "mode": SyncMode.DEDUP, "fields": (Field("id", "integer"), Field("pos", "integer"), Field("ts", "timestamp_ntz")), "primary_key": ("id",), "order_by": ("pos",)}
+    return StreamSpec(**{**base, **changes})
+
+
+def _events(spark, *rows):
+    return spark.createDataFrame(list(rows), "id long, pos long, ts string").selectExpr("id", "pos", "cast(ts as timestamp_ntz) as ts")
+
+
+def test_content_label_sees_fractions_of_a_second(spark, root):
+    from tablesync.sources.store import content_label
+
+    one, other = _events(spark, (1, 1, "2024-01-01 10:00:00.100")), _events(spark, (1, 1, "2024-01-01 10:00:00.900"))
+    two = _events(spark, (1, 1, "2024-01-01 10:00:00.100"), (2, 1, None))
+    assert content_label(one, "t") != content_label(other, "t") == content_label(other, "t")
+    assert content_label(two, "t") == content_label(two.orderBy("id", ascending=False).repartition(2), "t")
+
+
+def test_labels_end_with_the_rows_they_brought(spark, root):
+    from tablesync.operators.intake import intake
+    from tablesync.sources.store import TableStore
+
+    store, spec = TableStore(spark, root), _event_spec()
+    store.create_table(spec)
+    batch = intake(_events(spark, (1, 1, None)), spec, F.lit('r'), F.lit('2024-01-01').cast('timestamp'))
+    assert store.load(spec, batch, label="L").upserts == 1 and store.load(spec, batch, label="L").upserts == 0
+    store.create_table(spec, replace_existing=True)
+    assert store.load(spec, batch, label="L").upserts == 1 and store.read("n", "e").count() == 1
+
+
+def test_refresh_in_several_batches_and_kept_settings(spark, root):
+    from tablesync.plans.sync import sync
+    from tablesync.sources.store import TableStore
+
+    store = TableStore(spark, root, buckets=3)
+    first, second = (_event_spec(generation_id=g, minimum_generation_id=g) for g in (2, 3))
+    sync(store, first, _events(spark, (1, 1, None)), F.lit('r'), F.lit('2024-01-01').cast('timestamp'))
+    store.rebucket("n", "e", 5)
+    sync(TableStore(spark, root), first, _events(spark, (2, 1, None)), F.lit('r'), F.lit('2024-01-01').cast('timestamp'))
+    assert sorted(r.id for r in store.read("n", "e").collect()) == [1, 2]
+    sync(store, second, _events(spark, (3, 1, None)), F.lit('r'), F.lit('2024-01-01').cast('timestamp'))
+    assert [r.id for r in store.read("n", "e").collect()] == [3]
+    assert store._snapshot("n", "e").buckets == 5
+
+
+def test_load_refuses_fields_the_table_lacks(spark, root):
+    from tablesync.operators.intake import intake
+    from tablesync.sources.store import TableStore
+    from tablesync.spec import Field
+
+    store, spec = TableStore(spark, root), _event_spec()
+    store.create_table(spec)
+    wider = _event_spec(fields=(*spec.fields, Field("extra", "string")))
+    with pytest.raises(ValueError, match="extra"):
+        store.load(wider, intake(_events(spark, (1, 1, None)), wider, F.lit('r'), F.lit('2024-01-01').cast('timestamp')))
+
+
+def test_fractions_are_logged_not_cut(spark):
+    from tablesync.functions.validate import validate
+    from tablesync.spec import Field
+
+    df = spark.sql("select * from values (1.75D), (2.0D), (null) as t(a)")
+    got = validate(df, [Field("a", "integer")]).collect()
+    assert [r.a for r in got] == [None, 2, None] and "TYPECAST" in str(got[0][-1])
