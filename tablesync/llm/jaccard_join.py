@@ -458,7 +458,7 @@ def linked_sets(docs: DataFrame, sets: DataFrame, shared: DataFrame, similarity:
         groups = labelled.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
         open_rows = materialize(labelled.join(groups.select("key", "n"), "key"), "open-keys")
         last = turn >= STAR_ROUNDS
-        found = materialize(_new(_all_pairs(open_rows, sets) if last else _star_pairs(open_rows), tested), "pairs")
+        found = materialize(_new(_all_pairs(open_rows, sets, similarity) if last else _star_pairs(open_rows), tested), "pairs")
         if found.isEmpty():
             if last:
                 return comps
@@ -485,14 +485,18 @@ def _star_pairs(rows: DataFrame) -> DataFrame:
     return each.join(first, "key").where("comp <> f.comp").select(F.col("set").alias("a"), F.col("f.set").alias("b"))
 
 
-def _all_pairs(rows: DataFrame, sets: DataFrame) -> DataFrame:
+def _all_pairs(rows: DataFrame, sets: DataFrame, similarity: Similarity) -> DataFrame:
     """The pairs across components at keys of few sets, and at common keys those of sets that cannot spare such keys."""
     common = rows.where(F.col("n") > COMMON)
     lost = common.groupBy("set").agg(F.count(F.lit(1)).alias("lost"))
     short = lost.join(sets.select("set", "spare"), "set").where("lost > spare").select("set")
     rows = rows.where(F.col("n") <= COMMON).unionByName(common.join(short, "set", "left_semi").select(*rows.columns))
-    left, right = rows.select("key", F.col("set").alias("a"), F.col("comp").alias("ca")), rows.select("key", F.col("set").alias("b"), F.col("comp").alias("cb"))
-    return left.join(right, "key").where("ca < cb").select("a", "b")
+    # Sizes too far apart rule a link out before a pair is made.
+    sized = rows.select("key", "set", "comp").join(sets.select("set", F.col("n").alias("size")), "set")
+    left = sized.select("key", F.col("set").alias("a"), F.col("comp").alias("ca"), F.col("size").alias("na"))
+    right = sized.select("key", F.col("set").alias("b"), F.col("comp").alias("cb"), F.col("size").alias("nb"))
+    fits = 100 * F.least("na", "nb") >= similarity.part * F.greatest("na", "nb")
+    return left.join(right, "key").where((F.col("ca") < F.col("cb")) & fits).select("a", "b")
 
 
 def classes(docs: DataFrame, similarity: Similarity = Similarity()) -> DataFrame:
