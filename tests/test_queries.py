@@ -4,8 +4,11 @@ import os
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+import __spark_entry__
+from __spark_entry__ import entry
 from compare import compare, connect
+from tablesync.plans.oracles import ORACLES
+from tablesync.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="needs the given tables")
@@ -16,12 +19,32 @@ def database():
     return connect(SF)
 
 
+def queries():
+    """The library's own queries; those of the training-data operators have their tests beside them."""
+    return QUERIES
+
+
+def oracle_sql():
+    return ORACLES
+
+
 def plan_of(df):
     return df._jdf.queryExecution().explainString(df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple"))
 
 
 def test_each_query_has_sql():
     assert set(queries()) == set(oracle_sql())
+    assert set(queries()) <= set(__spark_entry__.queries()) and set(oracle_sql()) <= set(__spark_entry__.oracle_sql())
+
+
+def test_own_queries_stand_without_the_training_data_operators(monkeypatch):
+    import sys
+
+    monkeypatch.setitem(sys.modules, "tablesync.llm", None)
+    monkeypatch.delitem(sys.modules, "corpus_pipeline", raising=False)
+    for name in [n for n in sys.modules if n.startswith("tablesync.llm.")]:
+        monkeypatch.delitem(sys.modules, name)
+    assert set(__spark_entry__.queries()) == set(queries())
 
 
 @pytest.mark.parametrize("name", sorted(queries()))
