@@ -6,11 +6,11 @@ import json
 
 from pyspark.sql import DataFrame
 
-from tablesync.functions.encode import bind_strings, column_manifest, encode
+from tablesync.functions.encode import bind_strings, column_manifest, encode, op_code
 from tablesync.functions.types import column
 from tablesync.operators.schema import conform, describe
 from tablesync.sources.files import SharedFiles
-from tablesync.spec import StreamSpec
+from tablesync.spec import DELETE, StreamSpec
 
 # Body compressions a caller may ask for.
 COMPRESSIONS = ("none", "gzip", "zstd")
@@ -57,7 +57,13 @@ def typed_from_strings(bound: DataFrame, spec: StreamSpec) -> DataFrame:
 
 
 def write_jdbc(df: DataFrame, spec: StreamSpec, url: str, table: str, batch_size: int = 10_000, **properties: str) -> None:
-    """Append records to an RDBMS table, every value bound as text or NULL."""
+    """Append records to an RDBMS table, every value bound as text or NULL.
+
+    An append can't delete, so a batch with rows to delete is refused; route such a
+    stream first and apply its deletes in the database.
+    """
+    if spec.cdc_delete and not spec.soft_delete and not df.filter(op_code(spec) == DELETE).isEmpty():
+        raise ValueError("the batch holds deletes, which a JDBC append would insert as rows")
     shaped = df.select(*(column(name) for name in spec.final_columns))
     bind_strings(shaped, spec.fields).write.option("batchsize", batch_size).jdbc(
         url, table, mode="append", properties=properties

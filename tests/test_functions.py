@@ -255,6 +255,11 @@ def test_jdbc_sink_binds_text(spark, monkeypatch):
     df = intake(spark.createDataFrame([("r", 1)], "_raw_id string, i long"), spec)
     write(df, spec, "jdbc:x", "jdbc", table="db.t", user="u")
     assert seen == {"url": "jdbc:x", "table": "db.t", "mode": "append", "properties": {"user": "u"}}
+    fields = (Field("i", "integer"), Field("_deleted_at", "timestamp_tz"))
+    gone = StreamSpec("t", fields, mode=SyncMode.DEDUP, primary_key=("i",), order_by=("i",), names=MetaNames(deleted_at="_deleted_at"))
+    rows = spark.sql("select 'r' as _raw_id, 1L as i, timestamp '2024-01-01 00:00:00' as _deleted_at")
+    with pytest.raises(ValueError, match="deletes"):
+        write(intake(rows, gone), gone, "jdbc:x", "jdbc", table="db.t")
 
 
 def test_intake_fills_renames_and_orders(spark):
