@@ -45,10 +45,10 @@ from tablesync.llm.common import materialize
 SMALL = 12
 
 #: Units beyond those that must agree, in parts of them.
-SLACK = 0.25
+SLACK = 0.55
 
 #: A key of more sets than this is compared only for sets that cannot do without it.
-COMMON = 48
+COMMON = 16
 
 #: Documents for each bucket of keys, about, and keys that are sorted at once.
 BUCKET_DOCUMENTS = 4096

@@ -291,7 +291,7 @@ def near_copies(seed, groups=12):
     return out
 
 
-@pytest.mark.parametrize("common", [48, 2])
+@pytest.mark.parametrize("common", [16, 2])
 def test_jaccard_join(spark, docs, none, common, monkeypatch):
     monkeypatch.setattr(jaccard_join, "COMMON", common)
     texts = odd_texts() + near_copies(3) + ["same short text", "Same SHORT text"]
@@ -300,7 +300,7 @@ def test_jaccard_join(spark, docs, none, common, monkeypatch):
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.classes(df).collect()}
     assert got == brute_components(rows)
     assert jaccard_join.classes(none).count() == 0
-    if common == 48:
+    if common == 16:
         kept = jaccard_join.representatives(docs.unionByName(docs.limit(6)))
         assert kept.columns == docs.columns
         assert sorted(r.doc_id for r in kept.collect()) == sorted({c for _, c in brute_components(list(enumerate(odd_texts()))).values()})
