@@ -8,17 +8,20 @@ one, in the next.
 
 A segment with a unit of two admits one missing shingle: it gives the key of its shingles
 and those of its one-deletion neighbourhood, and counts twice. Each band takes the
-allocation of units that costs the fewest keys. Empty segments give no key, and a set may
-do without a key that very many sets share, as long as its other units still exceed H;
-only sets for which they do not are compared there too. Sets that lack units through
-empty segments, and small ones, are also matched by their first shingles in a fixed
-order: as many as may be missing and one more.
+allocation of units that costs the fewest keys. Empty segments give no key. Two sets that
+lack units through empty segments, and small ones, are matched by single shingles instead.
+
+A set of more units than H shares several keys with any set it is linked with. So, with
+all keys in one order, it may do without the last ones, as many as it can spare, and still
+meets each of those sets at the first key they share. The order is by the number of sets
+that share a key: what passages make common goes first, and sets with nothing but a
+passage in common seldom meet.
 
 Candidates are verified by exact intersection. First each set is compared with the one
-that leads most of its keys; what these links join need not be compared again. Then pairs
-of sets that share a key and are still in different components are compared, until no
-such pair is left untested. So components are exact, and a group of copies costs as many
-comparisons as it has members.
+that leads most of its keys; what these links join need not be compared again, and keys
+within one component are left out of that order. Then pairs of sets that meet at a key and
+are still in different components are compared, until no such pair is left untested. So
+components are exact, and a group of copies costs as many comparisons as it has members.
 
 Defined results: null texts, and texts without words, have no shingles and are linked with
 nothing. Texts with fewer words than a shingle count as one. Documents of equal sets are
@@ -37,7 +40,7 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tablesync.llm.common import materialize
 
@@ -45,20 +48,22 @@ from tablesync.llm.common import materialize
 SMALL = 12
 
 #: Units beyond those that must agree, in parts of them.
-SLACK = 0.55
+SLACK = 1.0
 
-#: A key of more sets than this is compared only for sets that cannot do without it.
-COMMON = 16
+#: The last two bits of a key name its kind: segments of an even band, of an odd one, or a single shingle.
+KINDS = 3
+SHINGLE = 2
 
-#: Documents for each bucket of keys, about, and keys that are sorted at once.
+#: Documents for each bucket of keys, about, and keys that are filed or sorted at once.
 BUCKET_DOCUMENTS = 4096
+FILED_KEYS = 1_000_000
 BUCKET_KEYS = 2_000_000
 
 #: Set ids up to this number are broadcast (8 bytes each).
 BROADCAST_IDS = 1_000_000
 
 #: Rounds in which components are compared through one set of each, before all pairs that are left.
-STAR_ROUNDS = 3
+STAR_ROUNDS = 2
 
 REMEMBERED = 400_000
 
@@ -192,24 +197,22 @@ def _apart(size: int | np.ndarray, similarity: Similarity):
     return (size + 100 * size // similarity.part) * (100 - similarity.part) // (100 + similarity.part)
 
 
-def segment_keys(hashes: np.ndarray, band: int, similarity: Similarity, least: int) -> tuple[np.ndarray, int]:
+def segment_keys(dealt: np.ndarray, band: int, similarity: Similarity, least: int) -> tuple[np.ndarray, int]:
     """The keys of a set in a band, and the units it can spare there towards any linked set of size ``least`` up to its own.
 
-    Towards a smaller set only the segments count that the smaller one uses.
+    ``dealt`` are its shingles with their halves swapped, sorted. Towards a smaller set only the segments count that the smaller one uses.
     """
     plan = allocation(band, similarity)
-    size = len(hashes)
+    size = len(dealt)
     singles, doubles = _used(size, plan, similarity)
-    # Hashes are sorted and evenly spread: their upper half would give each segment one stretch of them, so the lower half deals.
-    segment = ((hashes & np.uint64(0xFFFFFFFF)) * np.uint64(plan.width) >> np.uint64(32)).astype(np.int64)
+    # The half that deals shingles to segments is the one they are sorted by, so segments come in order.
+    segment = ((dealt >> np.uint64(32)) * np.uint64(plan.width) >> np.uint64(32)).astype(np.int64)
     if plan.double:
         segment = np.where(segment < plan.single, segment, plan.single + (segment - plan.single) // 3)
     use = segment < singles
     if doubles:
         use |= (segment >= plan.single) & (segment < plan.single + doubles)
-    segment, tokens = segment[use], hashes[use]
-    order = np.argsort(segment, kind="stable")
-    segment, tokens = segment[order], tokens[order]
+    segment, tokens = segment[use], dealt[use]
     if not len(segment):
         return np.zeros(0, np.uint64), -1
     starts = np.concatenate([[0], np.flatnonzero(segment[1:] != segment[:-1]) + 1])
@@ -229,33 +232,39 @@ def segment_keys(hashes: np.ndarray, band: int, similarity: Similarity, least: i
     have = upto[np.searchsorted(held, s)]
     if doubles:
         have = have + upto[np.searchsorted(held, plan.single + d)] - upto[np.searchsorted(held, plan.single)]
-    return np.concatenate(keys), int((have - _apart(sizes, similarity) - 1).min())
-
+    return np.concatenate(keys), max(-1, int((have - _apart(sizes, similarity) - 1).min()))
 
-def all_keys(hashes: np.ndarray, similarity: Similarity) -> tuple[np.ndarray, int]:
-    """All keys of a set, and the units it can spare; below 0 where shingles are keys themselves.
 
-    Two such sets share one of their first shingles in a fixed order, as many as may be missing and one more.
-    """
+def all_keys(hashes: np.ndarray, similarity: Similarity) -> tuple[np.ndarray, list[int]]:
+    """All keys of a set, and for each kind how many it can do without; -1 where only sets that can spare keys surely meet it."""
     n = len(hashes)
+    keys, spare = [np.zeros(0, np.uint64)], [-1] * KINDS
     if similarity.apart(n) < 1 and similarity.larger(n) <= n:
-        return np.zeros(0, np.uint64), 0  # linked with none but equal sets
-    keys, spare = [], -1
+        return keys[0], spare  # linked with none but equal sets
+    smallest, short = -(-n * similarity.part // 100), n <= similarity.larger(SMALL)
     if n > SMALL:
         edges = band_edges(similarity.part)
         band = bisect_right(edges, n) - 1
-        bands = [band, band + 1] if similarity.larger(n) >= edges[band + 1] else [band]
-        smallest = -(-n * similarity.part // 100)
-        found = [segment_keys(hashes, b, similarity, smallest if b == band else n) for b in bands]
-        keys, spare = [k for k, _ in found], min(s for _, s in found)
-    # Sets that a small one can be linked with meet it here.
-    if spare < 0 or n <= similarity.larger(SMALL):
-        keys.append(mixed(hashes[: n - -(-n * similarity.part // 100) + 1], 5000))
-    return np.concatenate(keys), -1 if n <= similarity.larger(SMALL) else spare
+        dealt = np.sort((hashes << np.uint64(32)) | (hashes >> np.uint64(32)))
+        for b in [band, band + 1] if similarity.larger(n) >= edges[band + 1] else [band]:
+            found, spare[b % 2] = segment_keys(dealt, b, similarity, smallest if b == band else n)
+            keys.append(_of_kind(found, b % 2))
+            short |= spare[b % 2] < 0
+    if short:
+        # Sets that a small one, or one that lacks units, can be linked with meet it here.
+        keys.append(_of_kind(mixed(hashes, 5000), SHINGLE))
+        spare[SHINGLE] = smallest - 1
+    return np.concatenate(keys), spare
 
 
-ROWS = "bucket int, set long, keys binary, doc_id long, n long, sketch binary, spare int"
-SHARED = "key long, set long, leader long, doc_id long, n long, sketch binary, spare int"
+def _of_kind(keys: np.ndarray, kind: int) -> np.ndarray:
+    return (keys & ~np.uint64(3)) | np.uint64(kind)
+
+
+SPARE = [f"spare{kind}" for kind in range(KINDS)]
+_DOCUMENT = "doc_id long, n long, sketch binary, " + ", ".join(f"{c} int" for c in SPARE)
+ROWS = f"bucket int, set long, sets binary, counts binary, keys binary, {_DOCUMENT}"
+SHARED = f"key long, set long, leader long, {_DOCUMENT}"
 
 
 def _rows(schema: str, **columns) -> pa.RecordBatch:
@@ -268,35 +277,60 @@ def _rows(schema: str, **columns) -> pa.RecordBatch:
 
 
 def _file(similarity: Similarity, buckets: int):
-    """A row for each document, and rows of a bucket, a set and its keys in that bucket, packed as 32-bit numbers."""
+    """A row for each document, and rows of a bucket, some sets, and for each the number of its keys there and those keys, as 32-bit numbers."""
+
+    def dealt(sets: list[int], keys: list[np.ndarray]) -> pa.RecordBatch:
+        each = np.repeat(np.arange(len(sets)), [len(k) for k in keys])
+        packed = np.concatenate(keys)
+        home = (packed >> np.uint64(32)).astype(np.uint16 if buckets <= 1 << 16 else np.int64)
+        order = np.argsort(home, kind="stable")
+        home, each, low = home[order], each[order], packed[order].astype("<u4")
+        own = np.array(sets, "<i8")
+        runs = np.concatenate([[0], np.flatnonzero((home[1:] != home[:-1]) | (each[1:] != each[:-1])) + 1])
+        counts, holders = np.diff(runs, append=len(home)).astype("<u4"), own[each[runs]]
+        first = np.concatenate([[0], np.flatnonzero(np.diff(home[runs].astype(np.int64))) + 1, [len(runs)]])
+        spans = list(zip(first[:-1].tolist(), first[1:].tolist(), strict=True))
+        ends = np.append(runs, len(home))
+        return _rows(
+            ROWS,
+            bucket=[int(home[runs[a]]) for a, _ in spans],
+            sets=[holders[a:b].tobytes() for a, b in spans],
+            counts=[counts[a:b].tobytes() for a, b in spans],
+            keys=[low[ends[a] : ends[b]].tobytes() for a, b in spans],
+        )
 
     def file(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             member: list[tuple] = []
-            bucket, sets, packed, done = [], [], [], {}
+            sets, keys, size, done = [], [], 0, {}
             for text in batch.column("text"):
                 found = shingles(text.as_py(), similarity.words)
                 if not len(found):
-                    member.append((None, 0, None, None))
+                    member.append((None, 0, None, *[None] * KINDS))
                     continue
                 own = set_id(found)
                 if own in done:
                     member.append(done[own])
                     continue
                 k, spare = all_keys(found, similarity)
-                done[own] = (own, len(found), sketch(found), spare)
+                home = (k >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+                packed = np.unique((home << np.uint64(32)) | (k & np.uint64(0xFFFFFFFF)))
+                # Keys that fall together are one key less to share.
+                spare = [max(0, s - len(k) + len(packed)) if s > 0 else s for s in spare]
+                done[own] = (own, len(found), sketch(found), *spare)
                 member.append(done[own])
-                home = ((k >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-                order = np.argsort(home, kind="stable")
-                home, low = home[order], (k[order] & np.uint64(0xFFFFFFFF)).astype("<u4")
-                cuts = [0, *(np.flatnonzero(home[1:] != home[:-1]) + 1).tolist(), len(home)] if len(home) else [0]
-                for a, b in zip(cuts, cuts[1:], strict=False):
-                    bucket.append(int(home[a]))
+                if len(packed):
                     sets.append(own)
-                    packed.append(low[a:b].tobytes())
-            own, n, bits, spare = zip(*member, strict=True) if member else ((),) * 4
-            yield _rows(ROWS, set=own, n=n, sketch=bits, spare=spare, doc_id=batch.column("doc_id"))
-            yield _rows(ROWS, bucket=bucket, set=sets, keys=packed)
+                    keys.append(packed)
+                    size += len(packed)
+                if size > FILED_KEYS:
+                    yield dealt(sets, keys)
+                    sets, keys, size = [], [], 0
+            if member:
+                names = ["set", "n", "sketch", *SPARE]
+                yield _rows(ROWS, **dict(zip(names, zip(*member, strict=True), strict=True)), doc_id=batch.column("doc_id"))
+            if sets:
+                yield dealt(sets, keys)
 
     return file
 
@@ -309,44 +343,43 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """
     known = {}  # by bucket: sorted keys with their leaders
 
-    def settle(bucket: int, keys: np.ndarray, sets: np.ndarray) -> pa.RecordBatch:
-        order = np.lexsort((sets, keys))
-        keys, sets = keys[order], sets[order]
-        fresh = np.ones(len(keys), bool)
-        fresh[1:] = (keys[1:] != keys[:-1]) | (sets[1:] != sets[:-1])
-        keys, sets = keys[fresh], sets[fresh]
+    def settle(bucket: int, keys: np.ndarray, sets: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+        names, place = np.unique(sets, return_inverse=True)
+        both = np.unique((keys.astype(np.uint64) << np.uint64(32)) | np.repeat(place.astype(np.uint64), counts))
+        keys, sets = (both >> np.uint64(32)).astype(np.uint32), names[(both & np.uint64(0xFFFFFFFF)).astype(np.int64)]
         starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
         count = np.diff(starts, append=len(keys))
         own, leaders = keys[starts], sets[starts]
         old_keys, old_leaders = known.get(bucket, (np.zeros(0, np.uint32), np.zeros(0, np.int64)))
         at = np.minimum(np.searchsorted(old_keys, own), max(len(old_keys) - 1, 0))
         old = old_keys[at] == own if len(old_keys) else np.zeros(len(own), bool)
+        new = ~old
         leaders = np.where(old, old_leaders[at] if len(old_keys) else leaders, leaders)
+        # A copy of the leader alone makes no key shared.
+        old &= (count > 1) | (sets[starts] != leaders)
         several = np.repeat(old | (count > 1), count)
         out_keys, out_sets, out_leaders = keys[several], sets[several], np.repeat(leaders, count)[several]
-        again = old & (count > 0)
-        out_keys, out_sets, out_leaders = (np.concatenate(x) for x in ((out_keys, own[again]), (out_sets, leaders[again]), (out_leaders, leaders[again])))
-        new_keys, new_leaders = np.concatenate([old_keys, own[~old]]), np.concatenate([old_leaders, leaders[~old]])
+        out_keys, out_sets, out_leaders = (np.concatenate(x) for x in ((out_keys, own[old]), (out_sets, leaders[old]), (out_leaders, leaders[old])))
+        new_keys, new_leaders = np.concatenate([old_keys, own[new]]), np.concatenate([old_leaders, leaders[new]])
         order = np.argsort(new_keys, kind="stable")
         known[bucket] = new_keys[order], new_leaders[order]
         return _rows(SHARED, key=(np.int64(bucket) << 32) | out_keys.astype(np.int64), set=out_sets, leader=out_leaders)
 
-    held: dict[int, list[tuple[int, bytes]]] = {}
+    held: dict[int, list[tuple[bytes, bytes, bytes]]] = {}
     size = 0
 
     def flush() -> Iterator[pa.RecordBatch]:
         for bucket, rows in held.items():
-            counts = [len(k) // 4 for _, k in rows]
-            keys = np.frombuffer(b"".join(k for _, k in rows), "<u4")
-            yield settle(bucket, keys, np.repeat(np.array([s for s, _ in rows], np.int64), counts))
+            sets, counts, keys = (np.frombuffer(b"".join(part), kind) for part, kind in zip(zip(*rows, strict=True), ("<i8", "<u4", "<u4"), strict=True))
+            yield settle(bucket, keys, sets, counts)
         held.clear()
 
     for batch in batches:
         document = batch.filter(batch.column("bucket").is_null())
-        yield _rows(SHARED, **{c: document.column(c) for c in ("set", "doc_id", "n", "sketch", "spare")})
+        yield _rows(SHARED, **{c: document.column(c) for c in ("set", "doc_id", "n", "sketch", *SPARE)})
         batch = batch.filter(batch.column("bucket").is_valid())
-        for bucket, own, keys in zip(*(batch.column(c).to_pylist() for c in ("bucket", "set", "keys")), strict=True):
-            held.setdefault(bucket, []).append((own, keys))
+        for bucket, sets, counts, keys in zip(*(batch.column(c).to_pylist() for c in ("bucket", "sets", "counts", "keys")), strict=True):
+            held.setdefault(bucket, []).append((sets, counts, keys))
             size += len(keys) // 4
         if size > BUCKET_KEYS:
             yield from flush()
@@ -451,16 +484,11 @@ def linked_sets(docs: DataFrame, sets: DataFrame, shared: DataFrame, similarity:
     tested = materialize(best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
     links = checker.linked(tested)
     comps = components(links)
-    rows, turn = shared.select("key", "set"), 0
+    rows, turn = _needed(_open(shared.select("key", "set"), comps), sets), 0
     while True:
-        # Only keys whose sets are in several components still matter; joining components never adds one.
-        labelled = rows.join(comps, "set", "left").withColumn("comp", F.coalesce("comp", "set"))
-        groups = labelled.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
-        open_rows = materialize(labelled.join(groups.select("key", "n"), "key"), "open-keys")
-        last = turn >= STAR_ROUNDS
-        found = materialize(_new(_all_pairs(open_rows, sets, similarity) if last else _star_pairs(open_rows), tested), "pairs")
+        found = materialize(_new(_all_pairs(rows, similarity) if turn >= STAR_ROUNDS else _star_pairs(rows), tested), "pairs")
         if found.isEmpty():
-            if last:
+            if turn >= STAR_ROUNDS:
                 return comps
             turn = STAR_ROUNDS
             continue
@@ -469,9 +497,32 @@ def linked_sets(docs: DataFrame, sets: DataFrame, shared: DataFrame, similarity:
         if not fresh.isEmpty():
             links = links.unionByName(fresh)
             comps = components(links)
-        if last:
+        if turn >= STAR_ROUNDS:
             return comps
-        rows, turn = open_rows.select("key", "set"), turn + 1
+        rows, turn = materialize(_open(rows.drop("comp", "sharers"), comps), "open-keys"), turn + 1
+
+
+def _open(rows: DataFrame, comps: DataFrame) -> DataFrame:
+    """``rows`` with the component of each set and the number of rows of its key, at keys whose sets are in several components.
+
+    Other keys no longer matter, and joining components never adds one.
+    """
+    known = F.broadcast(comps) if comps.count() <= BROADCAST_IDS else comps
+    labelled = rows.join(known, "set", "left").withColumn("comp", F.coalesce("comp", "set"))
+    groups = labelled.groupBy("key").agg(F.count(F.lit(1)).alias("sharers"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
+    return labelled.join(groups.select("key", "sharers"), "key")
+
+
+def _needed(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """The keys at which a set must be compared: of each kind all but the most shared ones that it can spare."""
+    kind = F.col("key").bitwiseAND(F.lit(3))
+    spare = F.when(kind == 0, F.col("spare0")).when(kind == 1, F.col("spare1")).otherwise(F.col("spare2"))
+    rows = rows.join(sets.select("set", F.col("n").alias("size"), *SPARE), "set").withColumn("kind", kind)
+    # Equal keys of a set, from several chunks, rank alike.
+    rank = F.dense_rank().over(Window.partitionBy("set", "kind").orderBy(F.desc("sharers"), "key"))
+    ranked = rows.select("key", "set", "comp", "sharers", "size", spare.alias("spare"), rank.alias("rank"))
+    kept = ranked.where("rank > spare").select("key", "set", "comp", "size", (F.col("spare") < 0).alias("short"))
+    return materialize(kept, "needed-keys")
 
 
 def _new(pairs: DataFrame, tested: DataFrame) -> DataFrame:
@@ -485,18 +536,12 @@ def _star_pairs(rows: DataFrame) -> DataFrame:
     return each.join(first, "key").where("comp <> f.comp").select(F.col("set").alias("a"), F.col("f.set").alias("b"))
 
 
-def _all_pairs(rows: DataFrame, sets: DataFrame, similarity: Similarity) -> DataFrame:
-    """The pairs across components at keys of few sets, and at common keys those of sets that cannot spare such keys."""
-    common = rows.where(F.col("n") > COMMON)
-    lost = common.groupBy("set").agg(F.count(F.lit(1)).alias("lost"))
-    short = lost.join(sets.select("set", "spare"), "set").where("lost > spare").select("set")
-    rows = rows.where(F.col("n") <= COMMON).unionByName(common.join(short, "set", "left_semi").select(*rows.columns))
-    # Sizes too far apart rule a link out before a pair is made.
-    sized = rows.select("key", "set", "comp").join(sets.select("set", F.col("n").alias("size")), "set")
-    left = sized.select("key", F.col("set").alias("a"), F.col("comp").alias("ca"), F.col("size").alias("na"))
-    right = sized.select("key", F.col("set").alias("b"), F.col("comp").alias("cb"), F.col("size").alias("nb"))
+def _all_pairs(rows: DataFrame, similarity: Similarity) -> DataFrame:
+    """The pairs across components that share a key. Sizes too far apart rule a link out before a pair is made; two sets that both lack units meet at single shingles."""
+    left = rows.select("key", F.col("set").alias("a"), F.col("comp").alias("ca"), F.col("size").alias("na"), F.col("short").alias("sa"))
+    right = rows.select("key", F.col("set").alias("b"), F.col("comp").alias("cb"), F.col("size").alias("nb"), F.col("short").alias("sb"))
     fits = 100 * F.least("na", "nb") >= similarity.part * F.greatest("na", "nb")
-    return left.join(right, "key").where((F.col("ca") < F.col("cb")) & fits).select("a", "b")
+    return left.join(right, "key").where((F.col("ca") < F.col("cb")) & fits & ~(F.col("sa") & F.col("sb"))).select("a", "b")
 
 
 def classes(docs: DataFrame, similarity: Similarity = Similarity()) -> DataFrame:
@@ -507,7 +552,7 @@ def classes(docs: DataFrame, similarity: Similarity = Similarity()) -> DataFrame
     home = F.coalesce("bucket", F.pmod(F.hash("set", "doc_id"), F.lit(buckets)))
     filed = materialize(filed.repartitionById(buckets, home).mapInArrow(_shared, SHARED), "shared-keys")
     members = filed.where("key is null")
-    firsts = members.where("set is not null").groupBy("set").agg(F.min("doc_id").alias("doc_id"), *(F.first(c).alias(c) for c in ("n", "sketch", "spare")))
+    firsts = members.where("set is not null").groupBy("set").agg(F.min("doc_id").alias("doc_id"), *(F.first(c).alias(c) for c in ("n", "sketch", *SPARE)))
     firsts = materialize(firsts, "sets")
     comps = linked_sets(docs, firsts, filed.where("key is not null").select("key", "set", "leader"), similarity)
     sets = firsts.select("set", F.col("doc_id").alias("least")).join(comps, "set", "left").withColumn("comp", F.coalesce("comp", "set"))

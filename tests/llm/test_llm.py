@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
 from tablesync.llm import bpe_codec, html_text, inner_product, jaccard_join, line_crf, mixing, quality_rules, queries, repeated_bytes, surrogates, token_counts
@@ -291,16 +292,16 @@ def near_copies(seed, groups=12):
     return out
 
 
-@pytest.mark.parametrize("common", [16, 2])
-def test_jaccard_join(spark, docs, none, common, monkeypatch):
-    monkeypatch.setattr(jaccard_join, "COMMON", common)
+@pytest.mark.parametrize("rounds", [2, 0])
+def test_jaccard_join(spark, docs, none, rounds, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "STAR_ROUNDS", rounds)
     texts = odd_texts() + near_copies(3) + ["same short text", "Same SHORT text"]
     rows = list(enumerate(texts))
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.classes(df).collect()}
     assert got == brute_components(rows)
     assert jaccard_join.classes(none).count() == 0
-    if common == 16:
+    if rounds:
         kept = jaccard_join.representatives(docs.unionByName(docs.limit(6)))
         assert kept.columns == docs.columns
         assert sorted(r.doc_id for r in kept.collect()) == sorted({c for _, c in brute_components(list(enumerate(odd_texts()))).values()})
@@ -316,7 +317,30 @@ def test_no_linked_pair_lacks_a_key():
             b = np.sort(a[drop:])
             a = np.sort(a)
             if similarity.linked(len(b), len(a), len(b)):
-                assert set(jaccard_join.all_keys(a, similarity)[0].tolist()) & set(jaccard_join.all_keys(b, similarity)[0].tolist()) or len(a) == len(b)
+                (x, spare), (y, other) = jaccard_join.all_keys(a, similarity), jaccard_join.all_keys(b, similarity)
+                shared = collections.Counter(k & 3 for k in set(x.tolist()) & set(y.tolist()))
+                # Each can do without as many keys as it says, and one of both surely meets the other.
+                assert len(a) == len(b) or any(max(spare[k], other[k]) >= 0 and shared[k] > max(spare[k], other[k]) for k in range(3))
+
+
+def test_keys_of_one_bucket_in_chunks(monkeypatch):
+    similarity = jaccard_join.Similarity()
+    texts = [" ".join(WORDS[i : i + 60]) for i in (0, 3, 100, 6, 0, 200, 103)]
+    filed = list(jaccard_join._file(similarity, 1)(iter([pa.record_batch({"text": texts[i : i + 2], "doc_id": list(range(i, i + 2))[: len(texts[i : i + 2])]}) for i in range(0, len(texts), 2)])))
+
+    def shared():
+        rows = [r for b in jaccard_join._shared(iter(filed)) for r in b.to_pylist() if r["key"] is not None]
+        return {(r["key"], r["set"]) for r in rows}
+
+    sets = {jaccard_join.set_id(h): h for h in (jaccard_join.shingles(t, 5) for t in texts)}
+    holders = collections.defaultdict(set)
+    for own, h in sets.items():
+        for k in jaccard_join.all_keys(h, similarity)[0].tolist():
+            holders[k & 0xFFFFFFFF].add(own)
+    want = {(k, own) for k, group in holders.items() if len(group) > 1 for own in group}
+    assert want and shared() == want
+    monkeypatch.setattr(jaccard_join, "BUCKET_KEYS", 1)
+    assert shared() == want
 
 
 @needs_tables
