@@ -63,7 +63,7 @@ PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63})*\.[A-Za-z]{2,24}",
     "ip": rf"{_OCTET}(?:\.{_OCTET}){{3}}(?![\d])(?!\.\d)",
     "key": r"(?:AKIA|ASIA)[0-9A-Z]{16}(?![0-9A-Za-z])",
-    "secret": rf"(?i:{_SECRET_NAMES})[\"']?\s{{0,3}}[=:]\s{{0,3}}[\"']?[^\s\"',;]{{6,256}}",
+    "secret": rf"(?i:{_SECRET_NAMES})[\"']?\s{{0,3}}[=:]\s{{0,3}}[\"']?[^\s\"',;]{{6,}}+",
     "phone": r"(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\d)|\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?!\d)|\d{3}[ .-]\d{3}[ .-]\d{4}(?!\d)",
     "ssn": r"\d{3}-\d{2}-\d{4}(?![\d-])",
     "card": r"[3-6]\d{3}(?:([ -]?)\d{4}\1\d{4}\1\d{1,7}|[ -]?\d{6}[ -]?\d{5})(?!\d)",
@@ -144,9 +144,11 @@ def _spread(value: Column, kind: Column, digest: Column) -> Column:
         .when(kind == "key", 4).when(kind == "iban", 2).when(kind == "card", 1).otherwise(0)
     )
 
-    def one(i: Column) -> Column:
-        # Marks between digits don't count, so that mentions in other formats agree.
-        c, v = F.substring(value, i, F.lit(1)), _byte(digest, F.length(F.regexp_replace(F.substring(value, F.lit(1), i), r"[ .()-]", "")))
+    def one(c: Column, at: Column) -> Column:
+        i = at + 1
+        # Marks between digits don't count, so that mentions in other formats agree. Secrets, of any length, have one format.
+        place = F.when(kind.isin("secret", "hexkey"), i).otherwise(F.length(F.regexp_replace(F.substring(value, F.lit(1), i), r"[ .()-]", "")))
+        v = _byte(digest, place)
         start = (kind == "phone") & ~F.rlike(F.substring(value, i - 1, F.lit(1)), F.lit(r"\d"))
         return (
             F.when(i <= fixed, c)
@@ -159,7 +161,7 @@ def _spread(value: Column, kind: Column, digest: Column) -> Column:
             .otherwise(c)
         )
 
-    return F.array_join(F.transform(F.sequence(F.lit(1), F.greatest(F.length(value), F.lit(1))), one), "")
+    return F.array_join(F.transform(F.split(value, ""), one), "")
 
 
 def _luhn(number: Column, last: int | None = None) -> Column:
@@ -181,6 +183,11 @@ def surrogate(kind: Column, value: Column, draw: Column, secret: str) -> Column:
     """The replacement of one unit for the given number of its draw."""
     seed = F.concat_ws("\x1f", F.lit(secret), kind, _norm(kind, value), draw.cast("string"))
     digest = F.concat(F.sha2(seed, 256), F.sha2(F.concat(seed, F.lit("+")), 256))
+    # Bound by a loop variable, as the digest of a value is not to be made again for each of its characters.
+    return F.get(F.transform(F.array(digest), lambda d: _surrogate(kind, value, d)), F.lit(0))
+
+
+def _surrogate(kind: Column, value: Column, digest: Column) -> Column:
     byte = lambda i: _byte(digest, F.lit(i))
     local = _spread(F.substring_index(F.lower(value), "@", 1), kind, digest)
     mail = F.concat(local, F.lit("@"), _choose(["example.com", "example.net", "example.org"], byte(63)))

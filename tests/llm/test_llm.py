@@ -380,3 +380,16 @@ def test_pipeline_stages(spark):
     encoded = stages["bpe_codec"](spark, mixed, SF).collect()
     assert len(encoded) == mixed.count()
     assert all(hashlib.sha256(bytes(r.ids)).hexdigest() == r.ids_sha256 and len(r.ids) == 4 * r.n_tokens for r in encoded)
+
+
+def test_long_secrets_are_replaced_whole(spark):
+    from pyspark.sql import functions as F
+
+    long, other = "Ab1-x." * 250, "Ab1-x." * 250 + "Z9"
+    df = spark.createDataFrame([(1, f"token={long} end"), (2, f"secret: {other}, and"), (3, f"auth={long}"), (4, "pwd=" + "k7" * 5_000)], "doc_id long, text string")
+    got = {r.doc_id: r.text for r in surrogates.pseudonymize(df, "k").collect()}
+    first, second = got[1][6:-4], got[2][8:-5]
+    assert len(first) == len(long) and len(second) == len(other) and first != second[: len(long)] and got[3][5:] == first
+    assert got[1].endswith(" end") and got[2].endswith(", and") and "Ab1-x" not in got[1] + got[2] and re.fullmatch(r"(?:[A-Z][a-z]\d-[a-z]\.)+", first)
+    assert len(got[4]) == 10_004 and "k7k7k7k7" not in got[4]
+    assert surrogates.entity_values(df).where(F.col("kind") == "secret").count() == 3
