@@ -8,7 +8,9 @@ in one document and across documents, and the parts of a name agree one by one.
 
 Two values could draw the same surrogate, or one that is itself a real value. All
 distinct values of the corpus are checked for that, by shuffles of values alone; those
-that lose draw again until every value has a surrogate of its own. Only these few
+that lose draw again until every value has a surrogate of its own: later draws are longer
+with each round, so that the space grows until all fit, and a secret without letters or
+digits is drawn from both. Only these few
 carry a number of the draw: as a literal map while they are few, else by a join.
 
 Defined results: null texts stay null, empty ones empty, texts without entities are
@@ -18,12 +20,16 @@ gives an empty result. Extra columns pass through; working columns never clash.
 
 from __future__ import annotations
 
+import itertools
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tablesync.llm.common import col, fresh, materialize
 
-#: Draws that are tried before giving up.
-MOST_DRAWS = 12
+#: From this draw on surrogates grow with each draw: words and secrets soon, numbers only if their format has no room.
+GROWS = 2
+GROWS_NUMBER = 12
 
 #: Values that drew again are held as a literal map up to this number.
 LITERAL_DRAWS = 500
@@ -183,23 +189,45 @@ def surrogate(kind: Column, value: Column, draw: Column, secret: str) -> Column:
     """The replacement of one unit for the given number of its draw."""
     seed = F.concat_ws("\x1f", F.lit(secret), kind, _norm(kind, value), draw.cast("string"))
     digest = F.concat(F.sha2(seed, 256), F.sha2(F.concat(seed, F.lit("+")), 256))
+    bound = F.struct(digest.alias("digest"), draw.cast("int").alias("draw"))
     # Bound by a loop variable, as the digest of a value is not to be made again for each of its characters.
-    return F.get(F.transform(F.array(digest), lambda d: _surrogate(kind, value, d)), F.lit(0))
+    return F.get(F.transform(F.array(bound), lambda b: _surrogate(kind, value, b["digest"], b["draw"])), F.lit(0))
+
 
+def _grown(digest: Column, n: Column, one: Callable[[Column], Column]) -> Column:
+    """``n`` further pieces, each made from a byte of a digest of its own; none if ``n`` is not positive."""
+    piece = lambda i: one(F.conv(F.substring(F.sha2(F.concat(digest, i.cast("string")), 256), 1, 2), 16, 10).cast("int"))
+    return F.when(n > 0, F.array_join(F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), piece), "")).otherwise("")
 
-def _surrogate(kind: Column, value: Column, digest: Column) -> Column:
+
+def _surrogate(kind: Column, value: Column, digest: Column, draw: Column) -> Column:
+    words, numbers = draw - (GROWS - 1), draw - (GROWS_NUMBER - 1)
     byte = lambda i: _byte(digest, F.lit(i))
     local = _spread(F.substring_index(F.lower(value), "@", 1), kind, digest)
-    mail = F.concat(local, F.lit("@"), _choose(["example.com", "example.net", "example.org"], byte(63)))
-    address = F.concat_ws(".", (byte(0) % 223 + 1).cast("string"), *(byte(i).cast("string") for i in (1, 2, 3)))
+    label = F.when(words > 0, F.concat(_grown(digest, words, lambda v: _choose(SYLLABLES["latin"], v)), F.lit("."))).otherwise("")
+    mail = F.concat(local, F.lit("@"), label, _choose(["example.com", "example.net", "example.org"], byte(63)))
+    # Addresses of four numbers can't be longer; those of the longer kind for documentation have 6 bytes to draw.
+    hextet = lambda v: F.concat(F.lit(":"), F.lower(F.hex(v)))
+    four = F.concat_ws(".", (byte(0) % 223 + 1).cast("string"), *(byte(i).cast("string") for i in (1, 2, 3)))
+    address = F.when(numbers > 0, F.concat(F.lit("2001:db8"), _grown(digest, F.lit(6), hextet))).otherwise(four)
     cyrillic = F.rlike(value, F.lit(r"\p{IsCyrillic}"))
 
     def invented(script: str) -> Column:
         ends = F.when(kind == "given_m", _choose(ENDINGS[script]["given_m"], byte(4))).when(kind == "given_f", _choose(ENDINGS[script]["given_f"], byte(4)))
-        return F.initcap(F.concat(*(_choose(SYLLABLES[script], byte(i)) for i in (0, 1, 2)), ends.otherwise(_choose(ENDINGS[script]["family"], byte(4)))))
+        more = _grown(digest, words, lambda v: _choose(SYLLABLES[script], v))
+        return F.initcap(F.concat(*(_choose(SYLLABLES[script], byte(i)) for i in (0, 1, 2)), more, ends.otherwise(_choose(ENDINGS[script]["family"], byte(4)))))
 
     name = F.when(cyrillic, invented("cyrillic")).otherwise(invented("latin"))
-    spread = _spread(value, kind, digest)
+    letter = lambda v: _pick(LOWER + DIGITS, v)
+    blank = ~F.rlike(value, F.lit(r"[\d\p{L}]"))
+    longer = (
+        F.when(kind == "hexkey", _grown(digest, words, lambda v: _pick(HEX + DIGITS, v)))
+        .when(kind == "secret", _grown(digest, words, letter))
+        .when(kind == "key", _grown(digest, numbers, lambda v: _pick(UPPER + DIGITS, v)))
+        .otherwise(_grown(digest, numbers, lambda v: _pick(DIGITS, v)))
+    )
+    kept = F.when((kind == "secret") & blank, _grown(digest, F.length(value), letter)).otherwise(_spread(value, kind, digest))
+    spread = F.concat(kept, longer)
     return (
         F.when(kind.isNull(), value)
         .when(kind == "email", mail)
@@ -226,7 +254,7 @@ def redrawn(values: DataFrame, secret: str) -> DataFrame:
     spark = values.sparkSession
     real = values.select("kind", F.col("norm").alias("drawn"))
     pending, settled, late = values, None, None
-    for draw in range(MOST_DRAWS):
+    for draw in itertools.count():
         made = surrogate(F.col("kind"), F.col("value"), F.lit(draw), secret)
         tried = pending.withColumn("drawn", _norm(F.col("kind"), made))
         first = tried.groupBy("kind", "drawn").agg(F.min("norm").alias("norm")).join(real, ["kind", "drawn"], "left_anti")
@@ -241,7 +269,6 @@ def redrawn(values: DataFrame, secret: str) -> DataFrame:
         pending = materialize(pending.join(first.select("kind", "norm"), ["kind", "norm"], "left_anti"), "undecided")
         if pending.isEmpty():
             return late if late is not None else spark.createDataFrame([], "kind string, norm string, draw int")
-    raise ValueError("more values of one kind than surrogates of their format; lengthen the format or raise MOST_DRAWS")
 
 
 def _search(df: DataFrame, text: str) -> tuple[DataFrame, str, str]:
