@@ -5,7 +5,7 @@ footers, adverts, forms, scripts ...) leaves a run of empty lines, as does the e
 an article. Text lengths are summed over a sliding window of lines: where the sum rises
 from nothing a text surges, where it falls to nothing it dives, and what lies between
 is a candidate. Candidates inside an article win; without any, those that hold enough
-unlinked text.
+unlinked text, and mostly unlinked ones between or beside them, whatever their length.
 
 Defined results: null or empty pages, and pages without text, give an empty text. Page
 fragments, unclosed elements and unclosed comments are read to their end. Pages are
@@ -26,9 +26,8 @@ from pyspark.sql import Column, functions as F
 #: Lines in the sliding window, and in a gap.
 WINDOW = 3
 
-#: Outside articles: characters of unlinked text that a candidate needs, and its least part of the best one's.
+#: Outside articles: characters of unlinked text that a candidate needs if it stands apart from the others.
 LEAST_TEXT = 80
-LEAST_PART = 0.2
 
 _PIECES = re.compile(
     r"""(?is)<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|iframe|textarea|select|title)\b[^>]*>.*?(?:</\1\s*>|\Z)"""
@@ -141,6 +140,22 @@ def surges(lengths: list[int]) -> list[tuple[int, int]]:
     return out
 
 
+def _texts(found: list[list[tuple[str, int, bool]]]) -> list[list[tuple[str, int, bool]]]:
+    """Candidates with enough unlinked text, and all beside or between these that are mostly unlinked, however short."""
+    plain = [sum(len(text) - linked for text, linked, _ in block) for block in found]
+    mostly = [2 * n > sum(len(text) for text, _, _ in block) for n, block in zip(plain, found, strict=True)]
+    enough = min(LEAST_TEXT, max(plain))
+    sure = [i for i, n in enumerate(plain) if n >= enough > 0]
+    if not sure:
+        return []
+    keep = set(sure) | {i for i in range(sure[0], sure[-1]) if mostly[i]}
+    for step, at in ((-1, sure[0] - 1), (1, sure[-1] + 1)):
+        while 0 <= at < len(found) and mostly[at]:
+            keep.add(at)
+            at += step
+    return [found[i] for i in sorted(keep)]
+
+
 def main_text(page: str | None) -> str:
     if not page:
         return ""
@@ -148,9 +163,7 @@ def main_text(page: str | None) -> str:
     found = [lines[a:b] for a, b in surges([len(text) for text, _, _ in lines])]
     chosen = [block for block in found if any(inside for _, _, inside in block)]
     if not chosen and found:
-        plain = [sum(len(text) - linked for text, linked, _ in block) for block in found]
-        enough = max(LEAST_PART * max(plain), min(LEAST_TEXT, max(plain)))
-        chosen = [block for block, n in zip(found, plain, strict=True) if n >= enough > 0]
+        chosen = _texts(found)
     return " ".join(text for block in chosen for text, _, _ in block if text)
 
 

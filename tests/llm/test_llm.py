@@ -418,3 +418,9 @@ def test_numbers_grow_late(spark):
         assert kind == "ip" or (len(made[kind, 11]), len(made[kind, 14])) == (len(value), len(value) + 3)
     assert re.fullmatch(r"2001:db8(?::[0-9a-f]{1,2}){6}", made["ip", 14]) and re.fullmatch(r"\d+(?:\.\d+){3}", made["ip", 11])
     assert sum(sum(divmod(int(c) * (1 + i % 2), 10)) for i, c in enumerate(reversed(made["card", 14]))) % 10 == 0
+
+
+def test_text_around_an_advert_is_kept():
+    head, end, last = PROSE.strip() * 20, PROSE.strip() * 3, "Short end."
+    page = f"<div><p>{head}</p><div class=advert>Buy</div><p>{end}</p><form>f</form><p>{last}</p><nav>n</nav><ul><li><a href=x>One link</a></ul></div>"
+    assert html_text.main_text(page) == f"{head} {end} {last}"
