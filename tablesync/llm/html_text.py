@@ -4,7 +4,9 @@ Markup is stripped into lines, one for each block. What is never main text (menu
 footers, adverts, forms, scripts ...) leaves a run of empty lines, as does the edge of
 an article. Text lengths are summed over a sliding window of lines: where the sum rises
 from nothing a text surges, where it falls to nothing it dives, and what lies between
-is a candidate. Candidates inside an article win; without any, those that hold enough
+is a candidate. Lists of links outside articles count as empty lines. So where to cut is
+told by elements, their classes and links; lengths choose among candidates. Those inside an
+article win, unless they have less text than one outside; else those that hold enough
 unlinked text, and mostly unlinked ones between or beside them, whatever their length.
 
 Defined results: null or empty pages, and pages without text, give an empty text. Page
@@ -140,9 +142,26 @@ def surges(lengths: list[int]) -> list[tuple[int, int]]:
     return out
 
 
+def _lengths(lines: list[tuple[str, int, bool]]) -> list[int]:
+    """The length of each line; outside articles a list of links, of a window's lines or more, counts as nothing."""
+    out = [len(text) for text, _, _ in lines]
+    start = 0
+    for i in range(len(lines) + 1):
+        if i == len(lines) or lines[i][2] or 2 * lines[i][1] <= len(lines[i][0]):
+            if i - start >= WINDOW:
+                out[start:i] = [0] * (i - start)
+            start = i + 1
+    return out
+
+
+def _plain(block: list[tuple[str, int, bool]]) -> int:
+    """Characters of unlinked text."""
+    return sum(len(text) - linked for text, linked, _ in block)
+
+
 def _texts(found: list[list[tuple[str, int, bool]]]) -> list[list[tuple[str, int, bool]]]:
     """Candidates with enough unlinked text, and all beside or between these that are mostly unlinked, however short."""
-    plain = [sum(len(text) - linked for text, linked, _ in block) for block in found]
+    plain = [_plain(block) for block in found]
     mostly = [2 * n > sum(len(text) for text, _, _ in block) for n, block in zip(plain, found, strict=True)]
     enough = min(LEAST_TEXT, max(plain))
     sure = [i for i, n in enumerate(plain) if n >= enough > 0]
@@ -160,10 +179,13 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     lines = lines_of(page)
-    found = [lines[a:b] for a, b in surges([len(text) for text, _, _ in lines])]
-    chosen = [block for block in found if any(inside for _, _, inside in block)]
-    if not chosen and found:
-        chosen = _texts(found)
+    found = [lines[a:b] for a, b in surges(_lengths(lines))]
+    inside = [any(line[2] for line in block) for block in found]
+    chosen = [block for block, within in zip(found, inside, strict=True) if within]
+    outside = [block for block, within in zip(found, inside, strict=True) if not within]
+    # Articles with less text than one stretch beside them are teasers if they have links.
+    if outside and sum(map(_plain, chosen)) < max(map(_plain, outside)):
+        chosen = _texts([block for block, within in zip(found, inside, strict=True) if not (within and any(linked for _, linked, _ in block))])
     return " ".join(text for block in chosen for text, _, _ in block if text)
 
 

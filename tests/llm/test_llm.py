@@ -424,3 +424,14 @@ def test_text_around_an_advert_is_kept():
     head, end, last = PROSE.strip() * 20, PROSE.strip() * 3, "Short end."
     page = f"<div><p>{head}</p><div class=advert>Buy</div><p>{end}</p><form>f</form><p>{last}</p><nav>n</nav><ul><li><a href=x>One link</a></ul></div>"
     assert html_text.main_text(page) == f"{head} {end} {last}"
+
+
+def test_text_beside_teasers_and_link_lists():
+    body, links = PROSE.strip() * 9, "".join(f"<li><a href={i}>Entry {i} of the list</a></li>" for i in range(5))
+    teasers = "<article><h3><a href=a>See this</a></h3><p>A short word on it.</p></article>" * 2
+    assert html_text.main_text(f"<div><p>{body}</p><p>End</p></div><section>{teasers}</section>") == f"{body} End"
+    for page in (f"<ul>{links}</ul><div><p>{body}</p></div>", f"<div><p>{body}</p></div><table>{links}</table>"):
+        assert html_text.main_text(page) == body
+    # One linked line is part of the text, as is a list inside an article.
+    assert html_text.main_text(f"<h1><a href=x>Title</a></h1><p>{body}</p>") == f"Title {body}"
+    assert html_text.main_text(f"<article><p>{body}</p><ul>{links}</ul></article>").endswith("Entry 4 of the list")
