@@ -195,7 +195,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     held = held.select(F.col("vec_id").alias("id"), "v", F.lit(0).cast("long").alias("q"), "band", F.pmod(F.xxhash64("vec_id"), F.col("cells")).alias("c"))
     # That table, of a few dozen rows, becomes a constant.
     every = F.array(*(F.struct(F.lit(r.band).alias("band"), F.lit(r.top).alias("top"), F.lit(r.cells).alias("cells")) for r in bands.collect()))
-    reach = lambda b: F.sqrt(F.col("n2") * b["top"]) * (1 + 1e-9) >= F.col("least")
+    # Norms are multiplied as doubles: the product of two squared ones may pass 64 bits.
+    reach = lambda b: F.sqrt(F.col("n2").cast("double")) * F.sqrt(b["top"].cast("double")) * (1 + 1e-9) >= F.col("least")
     every = every.cast("array<struct<band: int, top: long, cells: int>>")
     visits = q.select("id", "v", "q", "least", F.explode(F.filter(every, reach)).alias("b"))
     visits = visits.select("id", "v", "q", "least", F.col("b.band").alias("band"), F.explode(F.sequence(F.lit(0), F.col("b.cells") - 1)).alias("c"))

@@ -435,3 +435,16 @@ def test_text_beside_teasers_and_link_lists():
     # One linked line is part of the text, as is a list inside an article.
     assert html_text.main_text(f"<h1><a href=x>Title</a></h1><p>{body}</p>") == f"Title {body}"
     assert html_text.main_text(f"<article><p>{body}</p><ul>{links}</ul></article>").endswith("Entry 4 of the list")
+
+
+def test_inner_products_of_long_vectors(spark):
+    """Squared norms whose product passes 64 bits."""
+    rng = np.random.default_rng(3)
+    m = rng.normal(size=(60, 4)) * 2000
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(m)], "vec_id long, embedding array<double>")
+    vectors = inner_product.whole_vectors(df)
+    got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in inner_product.top_k(vectors, vectors.where("vec_id < 9"), 3).collect()}
+    whole = np.floor(256 * m).astype(np.int64)
+    for q in range(9):
+        best = sorted((-int(whole[q] @ whole[c]), c) for c in range(60) if c != q)[:3]
+        assert [got[q, i + 1] for i in range(3)] == [(c, -s) for s, c in best]
