@@ -25,9 +25,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tablesync.llm.quality_rules import STOP_WORDS
 
-#: Labelled documents in the training sample, and lines of each that train: the bound of what the driver gathers.
+#: Labelled documents in the training sample, lines of each that train, and characters of each line: the bound of what the driver gathers.
 TRAIN_DOCUMENTS = 3000
 TRAIN_LINES = 64
+TRAIN_CHARACTERS = 4000
 
 #: Documents whose chains are walked together.
 CHUNK = 512
@@ -205,7 +206,7 @@ def train_on(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_DOCUMENTS) -
 def _head(text: str) -> Column:
     """As many lines as train, each of bounded length, so that the sample is bounded in bytes too."""
     lines = F.filter(F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1), lambda x: F.length(F.trim(x)) > 0)
-    return F.array_join(F.transform(F.slice(lines, 1, TRAIN_LINES), lambda x: F.substring(x, 1, 4000)), "\n")
+    return F.array_join(F.transform(F.slice(lines, 1, TRAIN_LINES), lambda x: F.substring(x, 1, TRAIN_CHARACTERS)), "\n")
 
 
 def quality_score(docs: DataFrame, text: Column, model: LineModel) -> Column:
