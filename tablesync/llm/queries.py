@@ -7,7 +7,21 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tablesync.llm import bpe_codec, html_text, inner_product, jaccard_join, line_crf, mixing, quality_rules, repeated_bytes, surrogates, token_counts
+from tablesync.llm import (
+    bpe_codec,
+    conversation_trie,
+    html_text,
+    inner_product,
+    jaccard_join,
+    language_kernel,
+    line_crf,
+    mixing,
+    quality_rules,
+    repeated_bytes,
+    spelling_variants,
+    surrogates,
+    token_counts,
+)
 from tablesync.llm.common import col, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -162,3 +176,94 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
          AND 100 * n_dup_lines <= 40 * n_lines
          AND 100 * n_caps <= 40 * word_chars AS kept
 FROM s"""
+
+
+@query
+def op11_language_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; one in three, by a checksum of the id, is never learned from."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    remainder = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3
+    model = language_kernel.train_on(docs.where(remainder != 1))
+    answered = docs.select("doc_id", F.coalesce(remainder == 1, F.lit(False)).alias("held_out"), language_kernel.language(spark, F.col("text"), model).alias("a"))
+    return answered.select("doc_id", "held_out", F.col("a.lang").alias("lang_pred"), F.col("a.score").alias("score"))
+
+
+@query
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of all rebuilt conversations."""
+    return conversation_trie.trie(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words of all documents with their neighbours and forms."""
+    counts = spelling_variants.word_counts(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return spelling_variants.variants(counts)
+
+
+def _crc32(text: str) -> str:
+    """CRC-32 of the UTF-8 bytes of a text of code points below 2048, bit by bit. Fixed value: the polynomial 0xEDB88320."""
+    codes = f"flatten([CASE WHEN ord(x) < 128 THEN [ord(x)::BIGINT] ELSE [192 + (ord(x) >> 6), 128 + (ord(x) & 63)] END FOR x IN string_split({text}, '')])"
+    eight = f"list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda y, z: xor(y >> 1, 3988292384 * (y & 1)))"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), lambda c, b: {eight}), 4294967295)"
+
+
+ORACLES["op12_conversation_trie"] = f"""
+WITH t AS (
+  SELECT conv_id::BIGINT AS conv_id, strlen(coalesce(text, '')) AS bytes, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS k,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''),
+                            sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+), c AS (
+  SELECT conv_id, conv_id - conv_id % 5 AS base, {_crc32("conv_id::VARCHAR")} % 9 AS h FROM (SELECT DISTINCT conv_id FROM t)
+), r AS (
+  SELECT c.conv_id, 0 AS part, pos, bytes, k FROM c JOIN t ON t.conv_id = c.base AND t.pos <= c.h
+  UNION ALL SELECT c.conv_id, 1, pos, bytes, k FROM c JOIN t ON t.conv_id = c.conv_id AND t.pos > c.h
+), p AS (
+  SELECT conv_id, row_number() OVER w AS d, bytes, string_agg(k, '') OVER w AS key FROM r WINDOW w AS (PARTITION BY conv_id ORDER BY part, pos)
+  UNION ALL SELECT conv_id, 0, 0, '' FROM c
+), g AS (
+  SELECT key, d, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(bytes) AS bytes FROM p GROUP BY key, d
+), kids AS (
+  SELECT left(key, 32 * (d - 1)) AS key, count(*) AS n FROM g WHERE d > 0 GROUP BY 1
+), sub AS (
+  SELECT left(g.key, 32 * i) AS key, sum((kids.n IS NULL)::BIGINT) AS leaves, sum((n_convs - 1) * bytes) AS saved
+  FROM (SELECT *, unnest(range(0, d + 1)) AS i FROM g) AS g LEFT JOIN kids ON kids.key = g.key GROUP BY 1
+), e AS (
+  SELECT key, sha256(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)) AS ends
+  FROM (SELECT conv_id, arg_max(key, d) AS key FROM p GROUP BY conv_id) GROUP BY key
+)
+SELECT g.conv_id, g.d::BIGINT AS depth, up.conv_id AS parent_conv_id, g.n_convs::BIGINT AS n_convs, coalesce(kids.n, 0)::BIGINT AS n_children,
+       sub.leaves::BIGINT AS n_leaves, sub.saved::BIGINT AS saved_tokens, coalesce(e.ends, sha256('')) AS ends_sha256
+FROM g JOIN sub ON sub.key = g.key LEFT JOIN kids ON kids.key = g.key LEFT JOIN e ON e.key = g.key
+LEFT JOIN g AS up ON up.key = left(g.key, 32 * (g.d - 1)) AND g.d > 0"""
+
+ORACLES["op13_spelling_variants"] = f"""
+WITH RECURSIVE runs AS (
+  SELECT coalesce(doc_id::VARCHAR, '') AS id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]{{7,}}')) AS run FROM documents
+), hashed AS (
+  SELECT run, k, {_crc32("id || ':' || run")} AS h
+  FROM (SELECT id, run, count(*) AS k FROM (SELECT id, translate(run, '{spelling_variants.UPPER}', '{spelling_variants.LOWER}') AS run FROM runs) GROUP BY id, run)
+), w AS (
+  SELECT word, sum(k)::BIGINT AS n
+  FROM (SELECT k, CASE WHEN h % 31 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM hashed)
+  WHERE length(word) >= 7 GROUP BY word HAVING sum(k) >= 2
+), cut AS (
+  SELECT word, i, left(word, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM w)
+), near AS (
+  SELECT a.word, b.word AS near FROM cut a JOIN cut b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT w.word, cut.word FROM w JOIN cut ON cut.rest = w.word
+  UNION SELECT cut.word, w.word FROM w JOIN cut ON cut.rest = w.word
+), best AS (
+  SELECT near.word, count(*) AS n_near, arg_min(struct_pack(form := near, form_n := v.n), struct_pack(a := -v.n, b := near)) AS best
+  FROM near JOIN w AS v ON v.word = near.near GROUP BY near.word
+), formed AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN best.form_n >= 10 * w.n THEN best.form END AS form,
+         CASE WHEN best.form_n >= 10 * w.n THEN best.form_n END AS form_n
+  FROM w LEFT JOIN best ON best.word = w.word
+), steps AS (
+  SELECT word, word AS root FROM formed
+  UNION ALL SELECT steps.word, formed.form FROM steps JOIN formed ON formed.word = steps.root WHERE formed.form IS NOT NULL
+)
+SELECT formed.word, formed.form, steps.root, formed.n, formed.n_near::BIGINT AS n_near, formed.form_n
+FROM formed JOIN steps ON steps.word = formed.word JOIN formed AS last ON last.word = steps.root AND last.form IS NULL"""
