@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tablesync.functions.compress import compress
-from tablesync.functions.types import column
+from tablesync.functions.types import column, quote_identifier
 from tablesync.session import work_dir
 from tablesync.spec import MAX_RECORDS_PER_BATCH, free_name
 
@@ -151,6 +151,29 @@ def batch_labels(
     )
 
 
+def tree_labels(
+    lines: DataFrame,
+    table: str,
+    position: str,
+    batch: str = "batch_id",
+    line: str = "line",
+    prefix: str = "tablesync-",
+    chunk_rows: int = 256,
+) -> DataFrame:
+    """One row per batch: its id, label and row count, by a tree of digests, so that no task holds a batch.
+
+    Each row is hashed, then each stretch of ``chunk_rows`` positions by its rows' digests
+    in order, then each batch by those of its stretches.
+    """
+    part, digest = "_chunk", "_digest"
+    leaves = lines.select(
+        column(batch).alias("_batch"), F.expr(f"{quote_identifier(position)} div {chunk_rows}").alias(part), column(position).alias("_at"), F.sha2(column(line), 256).alias(digest)
+    )
+    chunks = leaves.groupBy("_batch", part).agg(F.sha2(F.expr(f"listagg({digest}) WITHIN GROUP (ORDER BY _at)"), 256).alias(digest), F.count(F.lit(1)).alias("_rows"))
+    found = chunks.groupBy("_batch").agg(F.expr(f"listagg({digest}) WITHIN GROUP (ORDER BY {part})").alias("_body"), F.sum("_rows").alias("row_count"))
+    return found.select(F.col("_batch").alias(batch), _label(table, prefix, F.col("_body")).alias("label"), "row_count")
+
+
 def batch_bodies(
     lines: DataFrame,
     table: str,

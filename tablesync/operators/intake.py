@@ -53,8 +53,13 @@ def intake(
     raw_id: Column | None = None,
     extracted_at: Column | None = None,
     on_unreadable: str = "null",
+    cast: bool = True,
 ) -> DataFrame:
-    """``shape``, then type and range-check every field."""
+    """``shape``, then type and range-check every field.
+
+    ``cast=False`` leaves values as they came, so that an encoder writes numbers with all
+    the digits of their text; what doesn't fit is nulled all the same.
+    """
     shaped = shape(df, spec, raw_id, extracted_at)
-    checked = validate(shaped, spec.fields, spec.names, spec.enable_json, on_unreadable=on_unreadable)
+    checked = validate(shaped, spec.fields, spec.names, spec.enable_json, on_unreadable=on_unreadable, cast=cast)
     return checked.select(*(column(c) for c in spec.final_columns))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from tablesync.functions.encode import op_code
 from tablesync.functions.types import column
 from tablesync.operators.resolve import last_event_per_key, route
-from tablesync.spec import UPSERT, StreamSpec, free_name
+from tablesync.spec import DELETE, UPSERT, StreamSpec, free_name
 
 
 def append(target: DataFrame, batch: DataFrame) -> DataFrame:
@@ -85,6 +85,17 @@ def live(stored: DataFrame, op: str = "__op") -> DataFrame:
     return stored.filter(column(op) == UPSERT).drop(op)
 
 
+def replay(copy: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """A copy of a table after the changes (``_version``, ``_change`` and the row) that merges made to it since.
+
+    Of several changes of a key the last one counts, so any number of versions is one merge.
+    """
+    version, kind, op = "_version", "_change", free_name("_op", changes.columns)
+    final = changes.filter(F.col(kind) != "update_before").withColumn(op, F.when(F.col(kind) == "delete", DELETE).otherwise(UPSERT))
+    latest = last_event_per_key(final.drop(kind), keys, [version])
+    return merge(copy, latest.drop(version), keys, op)
+
+
 def soft_live(df: DataFrame, spec: StreamSpec) -> DataFrame:
     """Rows of a soft-delete table that are not marked as deleted."""
     return df.filter(column(spec.names.deleted_at).isNull())

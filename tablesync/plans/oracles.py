@@ -106,6 +106,16 @@ DOCUMENT_LINE = "doc_id || ',' || " + " || ',' || ".join(
     [f"coalesce({LINE_TEXT.format(c)}, '\\N')" for c in ("text", "lang", "source")] + ["n_chars"]
 )
 
+# A row of the flushed log: of generation 0, and of a stream that is no change stream, so without operation column.
+CSV_EVENT_ROW = CSV_EVENT.rsplit("|| ',' ||", 1)[0].replace("day(ts)", "'0'")
+
+# Batches of the second run: those that the first one loaded are known.
+FLUSHED = f"""
+    SELECT batch_id, CASE WHEN batch_id < (SELECT greatest(1, count(*) // 1000 // 2) FROM events) THEN 'Label Already Exists' ELSE 'Success' END AS status
+    FROM (SELECT DISTINCT batch_id FROM ({BATCHED}))
+"""
+OUTCOME = "CASE WHEN status = 'Success' THEN 'loaded' ELSE 'already_loaded' END"
+
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -234,12 +244,56 @@ ORACLES: dict[str, str] = {
         SELECT batch_id, label, row_count FROM ({LABELS}) WHERE batch_id NOT IN (
             SELECT batch_id FROM ({BATCHED}) GROUP BY batch_id HAVING max(ts) < TIMESTAMP '2024-01-16 00:00:00')""",
     "load_accounting": ACCOUNTS,
-    "load_outcomes": f"""
-        SELECT batch_id, status, CASE WHEN status IN ('Success', 'Publish Timeout') THEN 'loaded'
-                                      WHEN status = 'Label Already Exists' THEN 'already_loaded' ELSE 'failed' END AS outcome
-        FROM (SELECT batch_id, CASE WHEN filtered * 40 > buffered THEN 'Fail' WHEN deletes * 5 > buffered THEN 'Publish Timeout'
-                                    WHEN upserts * 5 > buffered * 4 THEN 'Label Already Exists' ELSE 'Success' END AS status
-              FROM ({ACCOUNTS}))""",
+    "load_outcomes": f"SELECT batch_id, status, {OUTCOME} AS outcome FROM ({FLUSHED})",
+    "batch_flush": f"""
+        SELECT batch_id, 'tablesync-activity-' || sha256(string_agg(digest, '' ORDER BY chunk)) AS label, sum(n)::BIGINT AS buffered,
+               sum(n)::BIGINT AS upserts, 0 AS deletes, any_value(status) AS status, any_value({OUTCOME}) AS outcome,
+               sum(n)::BIGINT AS stored, min(first_event) AS first_event
+        FROM (
+            SELECT batch_id, position // 256 AS chunk, sha256(string_agg(sha256(line), '' ORDER BY position)) AS digest, count(*) AS n, min(event_id) AS first_event
+            FROM (SELECT batch_id, position, event_id, {CSV_EVENT_ROW} AS line FROM ({BATCHED})) GROUP BY batch_id, chunk)
+        JOIN ({FLUSHED}) USING (batch_id) GROUP BY batch_id""",
+    "batch_tree_labels": f"""
+        SELECT batch_id, 'tablesync-documents-' || sha256(string_agg(digest, '' ORDER BY chunk)) AS label, sum(n)::BIGINT AS row_count
+        FROM (
+            SELECT place // 1000 AS batch_id, place % 1000 // 64 AS chunk, sha256(string_agg(sha256(line), '' ORDER BY place)) AS digest, count(*) AS n
+            FROM (SELECT row_number() OVER (ORDER BY doc_id) - 1 AS place, {DOCUMENT_LINE} AS line FROM documents) GROUP BY ALL)
+        GROUP BY batch_id""",
+    "staged_refresh": """
+        SELECT 'during' AS seen, 1::BIGINT AS generation_id, event_id::VARCHAR AS raw_id, user_id, event_type, props FROM events
+        UNION ALL SELECT 'after', 2, event_id::VARCHAR, user_id, upper(event_type), props FROM events""",
+    "history_stored": f"""
+        SELECT event_id, user_id, ts, event_type, {DECIMAL_TEXT.format('value')} AS value, props,
+               lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS valid_to FROM events""",
+    "merge_changelog": f"""
+        WITH old AS (SELECT * FROM ({latest(f"(SELECT * FROM events WHERE {FIRST_HALF})")}) WHERE rn = 1 AND event_type <> 'error'),
+             new AS (SELECT * FROM ({latest(f"(SELECT * FROM events WHERE {SECOND_HALF})")}) WHERE rn = 1),
+             pair AS (SELECT old.user_id IS NOT NULL AS had, new.event_type = 'error' AS gone, new.user_id AS k FROM new LEFT JOIN old USING (user_id))
+        SELECT 'insert' AS change, user_id, event_id, ts, event_type, props FROM new JOIN pair ON k = user_id WHERE NOT had AND NOT gone
+        UNION ALL SELECT 'update_after', user_id, event_id, ts, event_type, props FROM new JOIN pair ON k = user_id WHERE had AND NOT gone
+        UNION ALL SELECT CASE WHEN gone THEN 'delete' ELSE 'update_before' END, user_id, event_id, ts, event_type, props
+                  FROM old JOIN pair ON k = user_id
+        UNION ALL SELECT 'copy', user_id, event_id, ts, event_type, props FROM ({MERGED})""",
+    "quarantine": """
+        SELECT conv_id || '-' || turn AS raw_id, CASE WHEN reason = 'loaded' THEN conv_id END AS conv_id, CASE WHEN reason = 'loaded' THEN turn END AS turn,
+               CASE WHEN reason = 'loaded' THEN role END AS role,
+               CASE reason WHEN 'loaded' THEN text
+                           WHEN 'not JSON' THEN left(whole, length(whole) - 1)
+                           WHEN 'not an object' THEN json_array(role, text)::VARCHAR
+                           ELSE json_object('conv_id', conv_id, 'role', role, 'text', text)::VARCHAR END AS text, reason
+        FROM (SELECT *, json_object('conv_id', conv_id, 'turn', turn, 'role', role, 'text', text)::VARCHAR AS whole,
+                     CASE WHEN conv_id % 11 = 3 THEN 'not JSON' WHEN conv_id % 11 = 5 THEN 'not an object'
+                          WHEN conv_id % 11 = 7 AND turn = 0 THEN 'no key' ELSE 'loaded' END AS reason FROM conversations)""",
+    "json_encode_number_text": """
+        SELECT json_object('raw_id', l_orderkey || '-' || l_linenumber, 'extracted_at', '2024-01-01 00:00:00', 'meta', '{"changes":[]}',
+                           'generation_id', '0', 'l_orderkey', l_orderkey::VARCHAR,
+                           'price', round(l_extendedprice * 100)::BIGINT || '.' || lpad(l_partkey::VARCHAR, 15, '0'))::VARCHAR AS line
+        FROM lineitem""",
+    "stream_growing_schema": f"""
+        SELECT user_id, event_id, ts, event_type, {DECIMAL_TEXT.format('value')} AS value, props, event_id::VARCHAR AS raw_id,
+               CASE WHEN event_id % 8 >= 4 THEN json_object('n', event_id % 8, 'name', event_type)::VARCHAR END AS channel
+        FROM ({latest('(SELECT * FROM events WHERE event_id % 97 <> 0)')}) WHERE rn = 1 AND event_type <> 'error'
+        UNION ALL SELECT NULL, count(*), NULL, 'not JSON', NULL, NULL, NULL, NULL FROM events WHERE event_id % 97 = 0""",
     "count_rows": " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in TABLES),
     "max_generation": "SELECT max(day(ts)) AS generation_id FROM events",
     "initial_status": """

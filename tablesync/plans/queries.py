@@ -19,12 +19,14 @@ from tablesync.functions.validate import validate, validation_report
 from tablesync.operators import batches, ledger, merge, resolve, schema
 from tablesync.operators.history import change_history as history
 from tablesync.operators.intake import intake
+from tablesync.plans.flush import flush
 from tablesync.plans.sync import result_of, sync
 from tablesync.session import new_work_path
 from tablesync.sources.readers import stream_records
+from tablesync.sources.records import field_text, load_texts
 from tablesync.sources.store import TableStore
 from tablesync.spec import Field, MetaNames, StreamSpec, SyncMode
-from tablesync.streaming.stream import stream_append as start_append, stream_sync
+from tablesync.streaming.stream import stream_append as start_append, stream_sync, stream_texts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -521,13 +523,8 @@ def load_accounting(spark, sf_dir):
 
 @query
 def load_outcomes(spark, sf_dir):
-    status = (
-        F.when(F.col("filtered") * 40 > F.col("buffered"), "Fail")
-        .when(F.col("deletes") * 5 > F.col("buffered"), ledger.PUBLISH_TIMEOUT)
-        .when(F.col("upserts") * 5 > F.col("buffered") * 4, ledger.LABEL_EXISTS)
-        .otherwise(ledger.SUCCESS)
-    )
-    return ledger.load_outcomes(accounted(spark, sf_dir).withColumn("status", status)).select("batch_id", "status", "outcome")
+    """What a run found of each batch, half of which the run before had loaded."""
+    return flushed(spark, sf_dir)[1].select("batch_id", "status", "outcome")
 
 
 # Table state
@@ -638,3 +635,149 @@ def stream_upsert(spark, sf_dir):
         event_stream(spark, sf_dir), store, ACTIVITY, f"{store.root}/checkpoint", order_safe=True, prepare=prepare
     ).awaitTermination()
     return store.read("demo", "activity").select("user_id", "event_id", "ts", "event_type", "props")
+
+
+@query
+def stream_growing_schema(spark, sf_dir):
+    """Events as JSON text in eight files, one for each micro-batch; a field appears in the later ones only."""
+    path = new_work_path(spark, "stream-texts")
+    events = table(spark, sf_dir, "events").withColumn("_file", F.pmod("event_id", F.lit(8)))
+    late = F.when(F.col("_file") >= 4, F.concat(F.lit(',"channel":'), F.to_json(F.struct(F.col("event_type").alias("name"), F.col("_file").alias("n")))))
+    known = F.to_json(F.struct("user_id", "event_id", "ts", "event_type", "value", "props", F.when(F.col("event_type") == "error", F.col("ts")).alias("deleted_at")), {"timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"})
+    text = F.concat(known.substr(F.lit(1), F.length(known) - 1), F.coalesce(late, F.lit("")), F.lit("}"))
+    # Broken ones among them are set aside.
+    texts = events.select(F.when(F.col("event_id") % 97 == 0, F.lit("{broken")).otherwise(text).alias("value"), "_file")
+    for number in range(8):
+        texts.filter(F.col("_file") == number).select("value").coalesce(1).write.mode("append").text(f"{path}/texts")
+    store = new_store(spark, "stream-texts-table")
+
+    def envelope(records: DataFrame) -> DataFrame:
+        number = field_text(F.col("record"), "event_id")
+        return records.select("*", F.coalesce(number, F.sha2("value", 256)).alias("raw_id"), F.lit("2024-01-01 00:00:00").cast("timestamp").alias("extracted_at"))
+
+    stream = stream_records(spark, f"{path}/texts", "value string", "text", maxFilesPerTrigger="1")
+    stream_texts(stream, "value", store, ACTIVITY, f"{path}/checkpoint", envelope, order_safe=True).awaitTermination()
+    rows = store.read("demo", "activity")
+    named = rows.select("user_id", "event_id", "ts", "event_type", F.col("value").cast("string").alias("value"), "props", "raw_id", "channel")
+    aside = store.read("demo", "activity.rejected").groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+    return named.unionByName(aside.select(F.col("reason").alias("event_type"), F.col("n").alias("event_id")), allowMissingColumns=True)
+
+
+# Refreshing, flushing, keeping history and changes
+
+
+@query
+def staged_refresh(spark, sf_dir):
+    """A refresh in three batches, one of them sent twice, by a job that starts anew: readers see the old rows until its end."""
+    store = new_store(spark, "staged")
+    log, raw_id, stamp = change_log(spark, sf_dir), F.col("event_id").cast("string"), utc(F.col("ts"))
+    sync(store, replace(ACTIVITY_LOG, generation_id=1), log, raw_id, stamp)
+    spec = replace(ACTIVITY_LOG, generation_id=2, minimum_generation_id=2)
+    shouted = log.withColumn("event_type", F.upper("event_type"))
+    parts = [shouted.filter(F.col("event_id") % 3 == number) for number in range(3)]
+    sync(store, spec, parts[0], raw_id, stamp, label="content", complete=False)
+    again = TableStore(spark, store.root, NAMES, "demo")
+    for part in (parts[0], parts[1]):
+        sync(again, spec, part, raw_id, stamp, label="content", complete=False)
+    during = again.read("demo", "activity")
+    sync(again, spec, parts[2], raw_id, stamp, label="content")
+    sync(again, spec, parts[1], raw_id, stamp, label="content")
+    columns = ["generation_id", "raw_id", "user_id", "event_type", "props"]
+    after = again.read("demo", "activity").select(F.lit("after").alias("seen"), *columns)
+    return during.select(F.lit("during").alias("seen"), *columns).unionByName(after)
+
+
+def flushed(spark, sf_dir) -> tuple[TableStore, DataFrame]:
+    """Events flushed by a run that ends half-way and by one that goes on."""
+    store = new_store(spark, "flush")
+    log, raw_id, stamp = change_log(spark, sf_dir), F.col("event_id").cast("string"), utc(F.col("ts"))
+    half = max(1, log.count() // BATCH_ROWS // 2)
+    settings = {"raw_id": raw_id, "extracted_at": stamp, "max_records": BATCH_ROWS, "commit_batches": half}
+    flush(store, ACTIVITY_LOG, log, ["event_id"], **settings, most_commits=1)
+    return store, flush(store, ACTIVITY_LOG, log, ["event_id"], **settings)
+
+
+@query
+def batch_flush(spark, sf_dir):
+    """Outcome of every batch in the second run, beside the rows that the table has of it."""
+    store, outcomes = flushed(spark, sf_dir)
+    rows = store.read("demo", "activity").select(F.col("event_id"))
+    stored = batches.assign_batches(rows, ["event_id"], BATCH_ROWS).groupBy("batch_id").agg(F.count(F.lit(1)).alias("stored"), F.min("event_id").alias("first_event"))
+    return outcomes.join(stored, "batch_id", "full")
+
+
+@query
+def batch_tree_labels(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents")
+    cut = batches.assign_batches(documents, ["doc_id"], BATCH_ROWS, position="position")
+    lines = cut.select("batch_id", "position", csv_line(cut.select(*documents.columns)).alias("line"))
+    return batches.tree_labels(lines, "documents", "position", chunk_rows=64)
+
+
+@query
+def history_stored(spark, sf_dir):
+    """The change history kept by a stored table, to which events come in four ordered batches."""
+    store = new_store(spark, "history")
+    spec = replace(ACTIVITY, fields=tuple(f for f in ACTIVITY.fields if f.name != "deleted_at"))
+    store.create_history(spec, "ts")
+    events = table(spark, sf_dir, "events")
+    week = F.least(F.expr("dayofmonth(ts) div 8"), F.lit(3))
+    for number in range(4):
+        sync(store, spec, events.filter(week == number), F.col("event_id").cast("string"), utc(F.col("ts")), label=f"week-{number}")
+    rows = store.read("demo", "activity")
+    return rows.select("event_id", "user_id", "ts", "event_type", F.col("value").cast("string").alias("value"), "props", "valid_to")
+
+
+@query
+def merge_changelog(spark, sf_dir):
+    """What the second of two merges changed, and a copy made of the changes of both."""
+    store = new_store(spark, "changelog")
+    store.create_table(ACTIVITY, changelog=True)
+    log, raw_id, stamp = change_log(spark, sf_dir), F.col("event_id").cast("string"), utc(F.col("ts"))
+    first = sync(store, ACTIVITY, before(log), raw_id, stamp)
+    sync(store, ACTIVITY, after(log), raw_id, stamp)
+    changes = store.changes("demo", "activity")
+    copy = merge.replay(store.read("demo", "activity").limit(0), changes, ACTIVITY.keys)
+    columns = ["user_id", "event_id", "ts", "event_type", "props"]
+    second = changes.filter(F.col("_version") > first.version).select(F.col("_change").alias("change"), *columns)
+    return second.unionByName(copy.select(F.lit("copy").alias("change"), *columns))
+
+
+TALK = StreamSpec(
+    name="talk",
+    fields=(Field("conv_id", "integer"), Field("turn", "integer"), Field("role", "string"), Field("text", "string")),
+    mode=SyncMode.DEDUP,
+    primary_key=("conv_id", "turn"),
+    order_by=("conv_id", "turn"),
+    namespace="demo",
+    names=NAMES,
+)
+
+
+@query
+def quarantine(spark, sf_dir):
+    """Conversations as JSON text, some of it broken, no object or without a key: what is loaded and what is set aside."""
+    rows = table(spark, sf_dir, "conversations")
+    whole = F.to_json(F.struct("conv_id", "turn", "role", "text"))
+    text = (
+        F.when(F.col("conv_id") % 11 == 3, whole.substr(F.lit(1), F.length(whole) - 1))
+        .when(F.col("conv_id") % 11 == 5, F.to_json(F.array("role", "text")))
+        .when((F.col("conv_id") % 11 == 7) & (F.col("turn") == 0), F.to_json(F.struct("conv_id", "role", "text")))
+        .otherwise(whole)
+    )
+    texts = rows.select(F.concat_ws("-", "conv_id", "turn").alias("id"), F.lit("2024-01-01 00:00:00").cast("timestamp").alias("at"), text.alias("body"))
+    store = new_store(spark, "quarantine")
+    load_texts(store, TALK, texts, "body", "id", "at", label="talk-1", most_rejected=0.5)
+    load_texts(store, TALK, texts, "body", "id", "at", label="talk-1", most_rejected=0.5)
+    good = store.read("demo", "talk").select("raw_id", "conv_id", "turn", "role", "text", F.lit("loaded").alias("reason"))
+    return good.unionByName(store.read("demo", "talk.rejected").select("raw_id", "text", "reason"), allowMissingColumns=True)
+
+
+@query
+def json_encode_number_text(spark, sf_dir):
+    """Numbers that come as text keep all their digits up to the encoder."""
+    lines = table(spark, sf_dir, "lineitem")
+    spec = StreamSpec("lines", (Field("l_orderkey", "integer"), Field("price", "number")), names=NAMES)
+    price = F.concat(F.round(F.col("l_extendedprice") * 100).cast("long").cast("string"), F.lit("."), F.lpad(F.col("l_partkey").cast("string"), 15, "0"))
+    taken = intake(lines.withColumn("price", price), spec, F.concat_ws("-", "l_orderkey", "l_linenumber"), F.lit("2024-01-01 00:00:00").cast("timestamp"), cast=False)
+    return encode(taken, spec, "json")

@@ -46,6 +46,16 @@ def truncates(spec: StreamSpec) -> bool:
     )
 
 
+def replaces(store: TableStore, spec: StreamSpec) -> bool:
+    """Whether the next batch belongs to a refresh whose rows aren't in the table yet.
+
+    Generation 0 stands for a source that doesn't number its refreshes: each of them replaces.
+    """
+    if truncates(spec):
+        return not store.refreshed(spec)
+    return spec.mode is SyncMode.OVERWRITE and (spec.generation_id == 0 or not store.refreshed(spec))
+
+
 def sync(
     store: TableStore,
     spec: StreamSpec,
@@ -54,22 +64,29 @@ def sync(
     extracted_at: Column | None = None,
     label: str | None = None,
     on_error: str = "fail",
+    complete: bool = True,
 ) -> LoadResult:
     """Take in records and bring the stream's table up to date.
 
     Creates the table or evolves its columns first. ``label="content"`` names the
     batch by its rows, so that the same batch is applied once however often it is sent.
+
+    A refresh is staged beside the table, which readers see unchanged until its last
+    batch. Batches that are not the last have ``complete=False``; a batch sent again is
+    skipped by its label before and after the refresh is put in place. Batches of the
+    same generation that come later still are loaded like any other.
     """
-    refresh = truncates(spec) or spec.mode is SyncMode.OVERWRITE
     batch = intake(records, spec, raw_id, extracted_at)
-    # A refresh may come in several batches: only its first one replaces what was there.
-    if refresh and not (truncates(spec) and store.refreshed(spec)):
-        return store.overwrite(spec, batch)
-    store.ensure(spec, on_error)
     if label == "content":
         if raw_id is None and spec.names.extracted_at not in records.columns and extracted_at is None:
             raise ValueError("a content label needs extracted_at in the records: a clock value differs on each retry")
         label = content_label(batch, store.target(spec)[1])
+    if replaces(store, spec):
+        result = store.load(store.stage(spec, on_error), batch, label=label)
+        if complete:
+            store.promote(spec)
+        return result
+    store.ensure(spec, on_error)
     return store.load(spec, batch, label=label)
 
 

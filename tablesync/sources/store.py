@@ -20,10 +20,11 @@ from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from tablesync.functions.types import column
 from tablesync.operators.batches import label_prefix
+from tablesync.operators.history import change_history
 from tablesync.operators.ledger import LABEL_EXISTS, SUCCESS, initial_status
 from tablesync.operators.merge import merge, order_safe_upsert
 from tablesync.operators.resolve import last_event_per_key, require_keys, with_op
@@ -58,6 +59,12 @@ LEDGER = T.StructType(
     ]
 )
 
+# Changes of a merge: rows that came in, rows before and after an update, rows that went.
+INSERT, BEFORE, AFTER, REMOVED = "insert", "update_before", "update_after", "delete"
+
+# Bucket of rows that no later merge reads: changes, and closed rows of a history.
+ASIDE = -1
+
 
 class WriteConflict(Exception):
     """Another writer published a version of the table first."""
@@ -93,6 +100,15 @@ class Snapshot:
     since: int = 0
     # The generation that the last refresh brought.
     generation: int | None = None
+    # The state of the shadow table that the last refresh was staged in.
+    origin: str | None = None
+    # Whether merges keep what they changed, and the folders of these changes by version.
+    changelog: bool = False
+    changes: Mapping[str, int] = field(default_factory=dict)
+    # A table that keeps every version of a row: the columns from and until which it is valid.
+    history: tuple[str, str] | None = None
+    # Name of the file that this was read from.
+    state: str | None = None
 
 
 class TableStore:
@@ -143,8 +159,13 @@ class TableStore:
     def target(self, spec: StreamSpec) -> tuple[str, str]:
         return spec.target(self.default_namespace)
 
-    def create_table(self, spec: StreamSpec, replace_existing: bool = False, tombstones: bool = False) -> None:
-        """Create the table of a stream; an existing one stays unless it is to be replaced."""
+    def create_table(
+        self, spec: StreamSpec, replace_existing: bool = False, tombstones: bool = False, changelog: bool = False, buckets: int | None = None
+    ) -> None:
+        """Create the table of a stream; an existing one stays unless it is to be replaced.
+
+        With ``changelog`` every merge keeps the rows it inserted, updated and deleted; see ``changes``.
+        """
         namespace, table = self.target(spec)
         current = self._snapshot(namespace, table)
         if current is not None and not replace_existing:
@@ -156,18 +177,41 @@ class TableStore:
             if not spec.is_dedup or spec.names.op in layout.schema.names:
                 raise ValueError(f"tombstones need a dedup stream without a column {spec.names.op!r}")
             layout = _with_op_column(layout, spec)
+        if changelog and (tombstones or not spec.is_dedup):
+            raise ValueError("a changelog needs a dedup stream without tombstones")
         order_by = spec.order_by if tombstones else ()
-        self._publish(namespace, table, Snapshot(version, layout, self.buckets, tombstones, order_by=order_by, since=version))
+        new = Snapshot(version, layout, buckets or self.buckets, tombstones, order_by=order_by, since=version, changelog=changelog)
+        self._publish(namespace, table, new)
+
+    def create_history(self, spec: StreamSpec, valid_from: str, valid_to: str = "valid_to") -> None:
+        """Create a table that keeps every version of a row, and until when it was valid; an existing one stays."""
+        namespace, table = self.target(spec)
+        if self.table_exists(namespace, table):
+            return
+        layout = describe(spec)
+        if not spec.is_dedup or valid_to in layout.schema.names:
+            raise ValueError(f"a history needs a dedup stream without a column {valid_to!r}")
+        until = TableColumn(valid_to, layout.schema[valid_from].dataType, True)
+        self.create_namespace(namespace)
+        layout = replace(layout, columns=(*layout.columns, until))
+        self._publish(namespace, table, Snapshot(0, layout, self.buckets, False, order_by=spec.order_by, history=(valid_from, valid_to)))
 
     def drop_table(self, namespace: str, table: str) -> None:
-        """Remove a table and its live folders, if it exists."""
-        current = self._snapshot(namespace, table)
-        if current is None:
+        """Remove a table and the folders of all its versions, if it exists."""
+        if self._snapshot(namespace, table) is None:
             return
+        folders = self._folders(namespace, table)
         self.files.delete(self._log(namespace, table))
-        for part in [*current.parts, *current.deltas]:
+        for part in folders:
             self.files.delete(f"{self.root}/{part}")
 
+    def _folders(self, namespace: str, table: str) -> set[str]:
+        """The folders of all versions of a table."""
+        found: set[str] = set()
+        for version in self._versions(namespace, table):
+            found.update(_all_parts(self._load_snapshot(namespace, table, version)))
+        return found
+
     def replace_by(self, source: tuple[str, str], target: tuple[str, str]) -> None:
         """Give the target the source's content and layout in one step, then drop the source.
 
@@ -177,7 +221,63 @@ class TableStore:
         current = self._snapshot(*target)
         self.create_namespace(target[0])
         self._publish(*target, replace(incoming, version=0 if current is None else current.version + 1))
+        self._forget(source, incoming)
+
+    def _forget(self, source: tuple[str, str], handed_over: Snapshot) -> None:
+        """Delete a table whose content another one has now."""
+        unused = self._folders(*source) - _all_parts(handed_over)
         self.files.delete(self._log(*source))
+        for part in unused:
+            self.files.delete(f"{self.root}/{part}")
+
+    # Refreshing
+
+    def shadow(self, spec: StreamSpec) -> StreamSpec:
+        """The stream as it lands in the shadow table of its coming generation."""
+        namespace, table = self.target(spec)
+        return replace(spec, name=f"{table}.generation-{spec.generation_id}", namespace=namespace, minimum_generation_id=0)
+
+    def stage(self, spec: StreamSpec, on_error: str = "fail") -> StreamSpec:
+        """The shadow of the stream's table, to load the batches of a refresh into; created by the first batch.
+
+        Readers of the table see nothing of it until ``promote``. It is found by its name,
+        so that a job that starts anew goes on where the last one stopped.
+        """
+        shadow = self.shadow(spec)
+        target, staged = self._snapshot(*self.target(spec)), self._snapshot(*self.target(shadow))
+        if staged is not None and target is not None and target.origin == staged.state:
+            # It was handed over already; only the removal of its log was lost.
+            self._forget(self.target(shadow), staged)
+            staged = None
+        if staged is None:
+            settings = {} if target is None else {"buckets": target.buckets}
+            if target is not None and spec.is_dedup:
+                settings |= {"tombstones": target.tombstones, "changelog": target.changelog}
+            self.create_table(shadow, **settings)
+        else:
+            self.ensure(shadow, on_error)
+        return shadow
+
+    def promote(self, spec: StreamSpec) -> None:
+        """Put the staged refresh in the table's place, in one step, with the labels of its loads.
+
+        Nothing happens if that was done before.
+        """
+        source, target = self.target(self.shadow(spec)), self.target(spec)
+        current, staged = self._snapshot(*target), self._snapshot(*source)
+        if staged is None:
+            if current is not None and current.generation == spec.generation_id:
+                return
+            raise LookupError(f"no refresh of {'.'.join(target)} is staged")
+        if current is None or current.origin != staged.state:
+            # One row for each batch of this refresh.
+            loads = [r.asDict() for r in self.ledger(*source).drop("version").collect()]
+            version = 0 if current is None else current.version + 1
+            # The progress of the table's streams outlives its rows.
+            progress = {**(current.progress if current else {}), **staged.progress}
+            new = replace(staged, version=version, since=version, generation=spec.generation_id, progress=progress, origin=staged.state)
+            self._publish(*target, new, {"loads": loads})
+        self._forget(source, staged)
 
     def copy_table(self, source: tuple[str, str], target: tuple[str, str], columns: Sequence[str]) -> LoadResult:
         """Append the envelope and the given user columns of one table to another."""
@@ -227,14 +327,23 @@ class TableStore:
         """User columns by canonical type."""
         snapshot = self._require(namespace, table)
         columns = discover(snapshot.layout.schema, self.names)
-        if snapshot.tombstones:
-            columns.pop(self.names.op)
+        for name in self._own_columns(snapshot):
+            columns.pop(name)
         return columns
 
+    def _own_columns(self, snapshot: Snapshot) -> list[str]:
+        """Columns that the table has besides those of its stream."""
+        return [self.names.op] * snapshot.tombstones + ([snapshot.history[1]] if snapshot.history else [])
+
     def ledger(self, namespace: str, table: str) -> DataFrame:
         """One row per published load. It becomes visible together with the load's data."""
         log = self._log(namespace, table)
-        return self.spark.read.schema(LEDGER).json(f"{log}/*.json").filter(F.col("status").isNotNull())
+        load = T.StructType([f for f in LEDGER if f.name != "version"])
+        published = T.StructType([*LEDGER, T.StructField("loads", T.ArrayType(load))])
+        entries = self.spark.read.schema(published).json(f"{log}/*.json")
+        single = entries.filter(F.col("status").isNotNull()).drop("loads")
+        # Several loads can be published as one.
+        return single.unionByName(entries.select("version", F.explode("loads").alias("load")).select("version", "load.*"))
 
     # Evolving
 
@@ -258,29 +367,33 @@ class TableStore:
         if change.is_noop:
             return
         namespace, table = self.target(spec)
+        old = self._require(namespace, table)
+        own = self._own_columns(old)
+        layout = evolved_layout(_without(old.layout, own), spec, change)
+        layout = replace(layout, columns=(*layout.columns, *(c for c in old.layout.columns if c.name in own)))
+        types_change = any(before.type_name != after.type_name for before, after in change.change.values())
+        rewrites = types_change or set(change.add) & set(old.retired)
+        if layout == old.layout and not rewrites:
+            return
+        if rewrites and old.history:
+            raise ValueError("a history can't be retyped; create a new one")
+        # What waits has the old layout.
         self.fold(namespace, table)
         old = self._require(namespace, table)
-        if old.tombstones:
-            layout = _with_op_column(evolved_layout(_without(old.layout, self.names.op), spec, change), spec)
-        else:
-            layout = evolved_layout(old.layout, spec, change)
         retired = tuple(sorted({*old.retired, *change.drop} - set(change.add)))
         new = replace(old, version=old.version + 1, layout=layout, retired=retired)
-        types_change = any(before.type_name != after.type_name for before, after in change.change.values())
-        if types_change or set(change.add) & set(old.retired):
+        if rewrites:
             rows = evolve(self._rows(old, old.parts), layout, change, on_error)
             parts = self._write(namespace, table, rows, new)
             new = replace(new, parts=parts, retired=())
-        elif layout == old.layout:
-            return
         self._publish(namespace, table, new)
 
     def rebucket(self, namespace: str, table: str, buckets: int) -> None:
         """Split a keyed table into another number of parts, in one shuffle."""
         self.fold(namespace, table)
         old = self._require(namespace, table)
-        if old.layout.model is not KeyModel.PRIMARY:
-            raise ValueError("only keyed tables have buckets")
+        if old.layout.model is not KeyModel.PRIMARY or old.history:
+            raise ValueError("only keyed tables without history can be split anew")
         new = replace(old, version=old.version + 1, buckets=buckets)
         parts = self._write(namespace, table, self._rows(old, old.parts), new)
         self._publish(namespace, table, replace(new, parts=parts))
@@ -303,17 +416,35 @@ class TableStore:
         snapshot = self._require(namespace, table)
         if progress and snapshot.progress.get(progress[0], -1) >= progress[1]:
             return LoadResult(LABEL_EXISTS)
-        known = (F.col("label") == label) & (F.col("version") >= snapshot.since)
-        if label and not self.ledger(namespace, table).filter(known).isEmpty():
+        if label and not self.known_labels(namespace, table).filter(F.col("label") == label).isEmpty():
             return LoadResult(LABEL_EXISTS)
+        return self._load(namespace, table, snapshot, spec, batch, label, progress)
+
+    def load_batches(self, spec: StreamSpec, rows: DataFrame, loads: Sequence[Mapping]) -> LoadResult:
+        """Apply the rows of several batches together; ``loads`` has a ledger row (label, status, counts) for each.
+
+        All of them become visible in one step. The caller leaves out batches whose label is known.
+        """
+        namespace, table = self.target(spec)
+        return self._load(namespace, table, self._require(namespace, table), spec, rows, None, None, loads)
+
+    def known_labels(self, namespace: str, table: str) -> DataFrame:
+        """Labels of the loads whose rows the table still stands for, one row each."""
+        since = self._require(namespace, table).since
+        loads = self.ledger(namespace, table).filter(F.col("label").isNotNull() & (F.col("version") >= since))
+        return loads.select("label").distinct()
+
+    def _load(self, namespace, table, snapshot, spec, batch, label, progress, loads=None) -> LoadResult:
         absent = sorted({f.name for f in spec.fields} - set(snapshot.layout.schema.names))
         if absent:
             raise ValueError(f"the table has no columns for {', '.join(absent)}; call ensure first")
+        if snapshot.history:
+            return self._extend(namespace, table, snapshot, batch, label, progress, loads)
         if snapshot.layout.model is KeyModel.PRIMARY:
-            return self._merge(namespace, table, snapshot, spec, batch, label, progress)
-        return self._append(namespace, table, snapshot, batch, label, progress)
+            return self._merge(namespace, table, snapshot, spec, batch, label, progress, loads)
+        return self._append(namespace, table, snapshot, batch, label, progress, loads)
 
-    def overwrite(self, spec: StreamSpec, batch: DataFrame) -> LoadResult:
+    def overwrite(self, spec: StreamSpec, batch: DataFrame, label: str | None = None) -> LoadResult:
         """Replace the whole table, layout included, by a batch; also by an empty one."""
         namespace, table = self.target(spec)
         current = self._snapshot(namespace, table)
@@ -329,7 +460,8 @@ class TableStore:
             layout = _with_op_column(layout, spec) if kept else layout
             fresh = replace(
                 current, version=version, layout=layout, tombstones=kept, parts={}, retired=(), deltas={},
-                order_by=spec.order_by if kept else (), since=version, generation=generation,
+                order_by=spec.order_by if kept else (), since=version, generation=generation, changes={}, history=None,
+                changelog=current.changelog and layout.model is KeyModel.PRIMARY,
             )
         rows = batch
         if layout.model is KeyModel.PRIMARY:
@@ -343,7 +475,7 @@ class TableStore:
         deletes = written.filter(column(op) != UPSERT).count() if fresh.tombstones else 0
         loaded = written.count()
         counts = {"buffered": loaded, "upserts": loaded - deletes, "deletes": deletes}
-        self._publish(namespace, table, fresh, {"status": SUCCESS, **counts})
+        self._publish(namespace, table, fresh, {"label": label, "status": SUCCESS, **counts})
         return LoadResult(SUCCESS, loaded, loaded - deletes, deletes, version)
 
     def refreshed(self, spec: StreamSpec) -> bool:
@@ -354,7 +486,7 @@ class TableStore:
     def is_order_safe(self, spec: StreamSpec) -> bool:
         return self._require(*self.target(spec)).tombstones
 
-    def _append(self, namespace, table, snapshot, batch, label, progress) -> LoadResult:
+    def _append(self, namespace, table, snapshot, batch, label, progress, loads=None) -> LoadResult:
         part = self._new_part(namespace, table)
         checked = require_keys(batch, snapshot.layout.keys)
         conform(checked, snapshot.layout.schema).write.parquet(f"{self.root}/{part}")
@@ -364,22 +496,74 @@ class TableStore:
             self.files.delete(f"{self.root}/{part}")
             return LoadResult(SUCCESS)
         new = replace(snapshot, version=snapshot.version + 1, parts={**snapshot.parts, part: None})
-        return self._finish(namespace, table, new, LoadResult(SUCCESS, loaded, loaded), label, progress)
+        return self._finish(namespace, table, new, LoadResult(SUCCESS, loaded, loaded), label, progress, loads)
 
-    def _merge(self, namespace, table, snapshot, spec, batch, label, progress) -> LoadResult:
+    def _merge(self, namespace, table, snapshot, spec, batch, label, progress, loads=None) -> LoadResult:
         keys, op = snapshot.layout.keys, self._op(snapshot)
         events = free_name("_events", [*batch.columns, op])
         latest = last_event_per_key(require_keys(batch, keys), keys, spec.order_by, count=events)
         operations = conform(with_op(latest, spec, op), _operations(snapshot, op).add(events, T.LongType()))
-        if self.fold_after:
-            return self._defer(namespace, table, snapshot, operations, op, events, label, progress)
-        parts, done = self._rewrite(namespace, table, snapshot, operations, op, events)
+        if self.fold_after and not snapshot.changelog:
+            return self._defer(namespace, table, snapshot, operations, op, events, label, progress, loads)
+        parts, changed, done = self._rewrite(namespace, table, snapshot, operations, op, events)
         if done.buffered == 0:
             return done
+        version = snapshot.version + 1
+        new = replace(snapshot, version=version, parts=parts, changes={**snapshot.changes, **dict.fromkeys(changed, version)})
+        return self._finish(namespace, table, new, done, label, progress, loads)
+
+    def changes(self, namespace: str, table: str, after: int = -1, upto: int | None = None) -> DataFrame:
+        """What merges changed, from the version after ``after`` on: ``_version``, ``_change`` and the row.
+
+        ``replay`` brings a copy up to date with it.
+        """
+        snapshot = self._require(namespace, table)
+        if not snapshot.changelog:
+            raise ValueError(f"{namespace}.{table} keeps no changes; create it with changelog=True")
+        schema = T.StructType([*snapshot.layout.schema, T.StructField(_change_column(snapshot), T.StringType())])
+        wanted = {p: v for p, v in snapshot.changes.items() if v > after and (upto is None or v <= upto)}
+        found = self.spark.createDataFrame([], schema).withColumn("_version", F.lit(0).cast("long"))
+        for part, version in wanted.items():
+            rows = self.spark.read.schema(schema).parquet(f"{self.root}/{part}")
+            found = found.unionByName(rows.withColumn("_version", F.lit(version).cast("long")))
+        return found.select("_version", column(_change_column(snapshot)).alias("_change"), *(column(c) for c in snapshot.layout.schema.names))
+
+    def _extend(self, namespace, table, snapshot, batch, label, progress, loads=None) -> LoadResult:
+        """Add a batch to a history: the last row of each key it touches is closed, its own last ones stay open.
+
+        Open rows are kept by bucket, closed ones aside, so a batch reads and rewrites only the open
+        rows of the buckets it touches. Its events must come after those stored of their keys.
+        """
+        keys, (valid_from, valid_to) = snapshot.layout.keys, snapshot.history
+        shape = T.StructType([f for f in snapshot.layout.schema if f.name != valid_to])
+        bucket, rank, stamp, until = (free_name(n, snapshot.layout.schema.names) for n in ("bucket", "_rank", "_stamp", "_until"))
+        arrived = self._bucketed(conform(require_keys(batch, keys), shape), snapshot, bucket).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            counts = {r[bucket]: r["count"] for r in arrived.groupBy(bucket).count().collect()}  # one row per bucket
+            if not counts:
+                return LoadResult(SUCCESS)
+            touched = [part for part, number in snapshot.parts.items() if number in counts]
+            stored = self._bucketed(self._rows(snapshot, touched).select(*(column(c) for c in shape.names)), snapshot, bucket)
+            both = stored.withColumn(rank, F.lit(0)).unionByName(arrived.withColumn(rank, F.lit(1)))
+            both = both.withColumn(stamp, F.struct(F.col(rank).alias("rank"), column(valid_from).alias("at")))
+            timed = change_history(both, keys, [*snapshot.order_by, rank], stamp, until)
+            following = F.col(until)
+            late = F.raise_error(F.lit(f"an event of {namespace}.{table} is older than what is stored of its key"))
+            number = F.when(following.isNull(), F.col(bucket)).when(following["rank"] == 0, late.cast("int")).otherwise(F.lit(ASIDE))
+            rows = timed.select(*(column(c) for c in shape.names), following["at"].alias(valid_to), number.alias(bucket))
+            # Open rows go to the task of their bucket, closed ones anywhere.
+            anywhere = F.pmod(F.xxhash64(*(column(c) for c in [*keys, *snapshot.order_by])), F.lit(snapshot.buckets)).cast("int")
+            spread = rows.repartitionById(snapshot.buckets, F.when(F.col(bucket) >= 0, F.col(bucket)).otherwise(anywhere))
+            written = self._write_bucketed(namespace, table, spread, bucket)
+        finally:
+            arrived.unpersist()
+        kept = {part: n for part, n in snapshot.parts.items() if part not in touched}
+        parts = {**kept, **{part: None if n == ASIDE else n for part, n in written.items()}}
+        total = sum(counts.values())
         new = replace(snapshot, version=snapshot.version + 1, parts=parts)
-        return self._finish(namespace, table, new, done, label, progress)
+        return self._finish(namespace, table, new, LoadResult(SUCCESS, total, total), label, progress, loads)
 
-    def _defer(self, namespace, table, snapshot, operations, op, events, label, progress) -> LoadResult:
+    def _defer(self, namespace, table, snapshot, operations, op, events, label, progress, loads=None) -> LoadResult:
         """Publish the batch's operations as they are; merge all waiting ones when there are enough."""
         part = self._new_part(namespace, table)
         operations.write.parquet(f"{self.root}/{part}")
@@ -394,7 +578,7 @@ class TableStore:
         new = replace(snapshot, version=version, deltas={**snapshot.deltas, part: version})
         if len(new.deltas) > self.fold_after:
             new = self._folded(namespace, table, new)
-        return self._finish(namespace, table, new, done, label, progress)
+        return self._finish(namespace, table, new, done, label, progress, loads)
 
     def fold(self, namespace: str, table: str) -> None:
         """Merge all waiting operations into the table's folders."""
@@ -408,7 +592,7 @@ class TableStore:
         waiting = self._waiting(snapshot, op)
         events = free_name("_events", waiting.columns)
         operations = waiting.withColumn(events, F.lit(1).cast("long"))
-        parts, _ = self._rewrite(namespace, table, snapshot, operations, op, events)
+        parts, _, _ = self._rewrite(namespace, table, snapshot, operations, op, events)
         return replace(snapshot, parts=parts, deltas={})
 
     def _waiting(self, snapshot: Snapshot, op: str) -> DataFrame:
@@ -422,7 +606,7 @@ class TableStore:
         return last_event_per_key(waiting, snapshot.layout.keys, [*snapshot.order_by, rank]).drop(rank)
 
     def _rewrite(self, namespace, table, snapshot, operations, op, events):
-        """Merge operations, one per key, into the buckets they touch: (new parts, what was done)."""
+        """Merge operations, one per key, into the buckets they touch: (new parts, folders of changes, what was done)."""
         keys, bucket = snapshot.layout.keys, free_name("bucket", operations.columns)
         resolved = self._bucketed(operations, snapshot, bucket).persist(StorageLevel.MEMORY_AND_DISK)
         try:
@@ -439,11 +623,17 @@ class TableStore:
             plan = _order_safe if snapshot.tombstones else _merged
             written = {}
             if touched:
-                rows = plan(stored, resolved.drop(events), keys, snapshot.order_by, op, bucket, small, snapshot.buckets)
+                if snapshot.changelog:
+                    stored = self._bucketed(self._rows(snapshot, []), snapshot, bucket) if stored is None else stored
+                    rows = _merged_with_changes(stored, resolved.drop(events), keys, op, bucket, snapshot.buckets, _change_column(snapshot))
+                else:
+                    rows = plan(stored, resolved.drop(events), keys, snapshot.order_by, op, bucket, small, snapshot.buckets)
                 written = self._write_bucketed(namespace, table, rows, bucket)
+            changed = [part for part, number in written.items() if number == ASIDE]
             kept = {part: number for part, number in snapshot.parts.items() if number not in touched}
+            kept |= {part: number for part, number in written.items() if number != ASIDE}
             total = {name: sum(r[name] for r in stats) for name in ("buffered", "upserts", "deletes")}
-            return {**kept, **written}, LoadResult(SUCCESS, **total)
+            return kept, changed, LoadResult(SUCCESS, **total)
         finally:
             resolved.unpersist()
 
@@ -451,7 +641,7 @@ class TableStore:
         """Name of the operation column: a column of its own in a table with tombstones."""
         return self.names.op if snapshot.tombstones else free_name(self.names.op, snapshot.layout.schema.names)
 
-    def _finish(self, namespace, table, new, result, label, progress) -> LoadResult:
+    def _finish(self, namespace, table, new, result, label, progress, loads=None) -> LoadResult:
         if progress:
             new = replace(new, progress={**new.progress, progress[0]: progress[1]})
         entry = {
@@ -461,6 +651,7 @@ class TableStore:
             "upserts": result.upserts,
             "deletes": result.deletes,
         }
+        entry = entry if loads is None else {"loads": [dict(load) for load in loads]}
         self._publish(namespace, table, new, entry)
         return replace(result, version=new.version)
 
@@ -495,12 +686,9 @@ class TableStore:
         """
         current = self._require(namespace, table).version
         first_kept = max(0, current - keep_versions + 1)
-        log = self._log(namespace, table)
-        versions = sorted(int(n.removesuffix(".json")) for n in self.files.names(log) if n.endswith(".json"))
         kept, old = set(), set()
-        for version in versions:
-            snapshot = self._load_snapshot(namespace, table, version)
-            (kept if version >= first_kept else old).update([*snapshot.parts, *snapshot.deltas])
+        for version in self._versions(namespace, table):
+            (kept if version >= first_kept else old).update(_all_parts(self._load_snapshot(namespace, table, version)))
         unused = sorted(old - kept)
         for part in unused:
             self.files.delete(f"{self.root}/{part}")
@@ -517,9 +705,12 @@ class TableStore:
     def _new_part(self, namespace: str, table: str) -> str:
         return f"{self._folder(namespace, table)}/data-{uuid.uuid4().hex}"
 
+    def _versions(self, namespace: str, table: str) -> list[int]:
+        return sorted(int(n.removesuffix(".json")) for n in self.files.names(self._log(namespace, table)) if n.endswith(".json"))
+
     def _version(self, namespace: str, table: str) -> int | None:
-        found = [n for n in self.files.names(self._log(namespace, table)) if n.endswith(".json")]
-        return int(found[-1].removesuffix(".json")) if found else None
+        found = self._versions(namespace, table)
+        return found[-1] if found else None
 
     def _snapshot(self, namespace: str, table: str) -> Snapshot | None:
         version = self._version(namespace, table)
@@ -553,6 +744,11 @@ class TableStore:
             tuple(raw["order_by"]),
             raw.get("since", 0),
             raw.get("generation"),
+            raw.get("origin"),
+            raw.get("changelog", False),
+            raw.get("changes", {}),
+            tuple(raw["history"]) if raw.get("history") else None,
+            entry["state"],
         )
 
     def _publish(self, namespace: str, table: str, snapshot: Snapshot, entry: Mapping | None = None) -> None:
@@ -570,6 +766,10 @@ class TableStore:
             "order_by": list(snapshot.order_by),
             "since": snapshot.since,
             "generation": snapshot.generation,
+            "origin": snapshot.origin,
+            "changelog": snapshot.changelog,
+            "changes": dict(snapshot.changes),
+            "history": snapshot.history,
         }
         log = self._log(namespace, table)
         self.files.make_folder(log)
@@ -618,8 +818,16 @@ def _with_op_column(layout: Layout, spec: StreamSpec) -> Layout:
     return replace(layout, columns=(*layout.columns, TableColumn(spec.names.op, T.IntegerType(), False)))
 
 
-def _without(layout: Layout, name: str) -> Layout:
-    return replace(layout, columns=tuple(c for c in layout.columns if c.name != name))
+def _without(layout: Layout, names: Sequence[str]) -> Layout:
+    return replace(layout, columns=tuple(c for c in layout.columns if c.name not in names))
+
+
+def _all_parts(snapshot: Snapshot) -> set[str]:
+    return {*snapshot.parts, *snapshot.deltas, *snapshot.changes}
+
+
+def _change_column(snapshot: Snapshot) -> str:
+    return free_name("_change", snapshot.layout.schema.names)
 
 
 def _operations(snapshot: Snapshot, op: str) -> T.StructType:
@@ -662,6 +870,37 @@ def _merged(stored: DataFrame | None, resolved: DataFrame, keys, _, op: str, buc
     )
 
 
+def _merged_with_changes(stored: DataFrame, resolved: DataFrame, keys, op: str, bucket: str, buckets: int, change: str) -> DataFrame:
+    """Rows of the touched buckets after the batch, and beside them, in the bucket ``ASIDE``, what it changed.
+
+    One shuffle by bucket brings the stored row of a key and its operation together.
+    """
+    rank, old, ops, made = (free_name(n, [*resolved.columns, change]) for n in ("_rank", "_old", "_ops", "_made"))
+    names = [c for c in stored.columns if c != bucket]
+    both = stored.withColumn(op, F.lit(UPSERT)).withColumn(rank, F.lit(0)).unionByName(resolved.withColumn(rank, F.lit(1)))
+    row = F.struct(*(column(c) for c in names))
+    key = Window.partitionBy(bucket, *(column(k) for k in keys)).orderBy(rank)
+    paired = _spread(both, buckets, bucket).withColumn(old, F.lag(row).over(key)).withColumn(ops, F.lead(F.lit(True)).over(key))
+
+    def out(kept, kind: str | None, at) -> Column:
+        return F.struct(at.alias("bucket"), F.lit(kind).cast("string").alias("change"), kept.alias("row"))
+
+    here, aside, before = F.col(bucket), F.lit(ASIDE), F.col(old)
+    none = F.array().cast(T.ArrayType(T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("change", T.StringType()), T.StructField("row", both.select(row.alias("r")).schema["r"].dataType)])))
+    untouched = (F.col(rank) == 0) & F.col(ops).isNull()
+    arrived, deletes = F.col(rank) == 1, column(op) == DELETE
+    found = (
+        F.when(untouched, F.array(out(row, None, here)))
+        .when(arrived & ~deletes & before.isNull(), F.array(out(row, None, here), out(row, INSERT, aside)))
+        .when(arrived & ~deletes, F.array(out(row, None, here), out(before, BEFORE, aside), out(row, AFTER, aside)))
+        .when(arrived & before.isNotNull(), F.array(out(before, REMOVED, aside)))
+        .otherwise(none)
+    )
+    each = paired.select(F.explode(found).alias(made))
+    fields = [F.col(made)["row"][c].alias(c) for c in names]
+    return each.select(*fields, F.col(made)["change"].alias(change), F.col(made)["bucket"].alias(bucket))
+
+
 def _order_safe(stored: DataFrame | None, resolved: DataFrame, keys, order_by, op: str, bucket: str, small: bool, buckets: int) -> DataFrame:
     """Newest row per key by ``order_by``, deletes kept as tombstones."""
     if stored is None:
