@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import replace
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tablesync.functions.types import column, kind_of
+from tablesync.operators.intake import intake
 from tablesync.sources.store import LoadResult, TableStore
 from tablesync.spec import Field, StreamSpec, free_name
 
@@ -115,20 +117,22 @@ def load_texts(
     and the reason. A larger share of them than ``most_rejected`` gives the whole load up
     before anything is published. Both tables know the load by its label.
     """
-    from tablesync.operators.intake import intake
-
     names = spec.names
     envelope = {names.raw_id: column(raw_id).cast("string"), names.extracted_at: column(extracted_at)}
+    # Parsed once, for the count and both loads.
     read = split(parsed(texts, text), spec.keys)
-    totals = read.agg(F.count(F.lit(1)).alias("rows"), F.count("reason").alias("rejected")).first()
-    if totals["rejected"] > most_rejected * totals["rows"]:
-        raise TooManyRejected(f"{totals['rejected']} of {totals['rows']} records of load {label!r} can't be read")
-    kept = read.select("*", *(v.alias(n) for n, v in envelope.items() if n not in read.columns))
-    good = as_columns(kept.filter("reason IS NULL"), spec.fields, [names.raw_id, names.extracted_at])
-    aside = rejected_spec(spec)
-    store.ensure(spec)
-    store.ensure(aside)
-    bad = kept.filter("reason IS NOT NULL").select(column(names.raw_id), column(names.extracted_at), column(text).alias("text"), "reason")
-    # Rejects first: a run that ends between the two loads is made up for by the next one, by label.
-    store.load(aside, intake(bad, aside), label=label)
-    return store.load(spec, intake(good, spec), label=label), totals["rejected"]
+    read = read.select("*", *(v.alias(n) for n, v in envelope.items() if n not in read.columns)).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        totals = read.agg(F.count(F.lit(1)).alias("rows"), F.count("reason").alias("rejected")).first()
+        if totals["rejected"] > most_rejected * totals["rows"]:
+            raise TooManyRejected(f"{totals['rejected']} of {totals['rows']} records of load {label!r} can't be read")
+        good = as_columns(read.filter("reason IS NULL"), spec.fields, [names.raw_id, names.extracted_at])
+        bad = read.filter("reason IS NOT NULL").select(column(names.raw_id), column(names.extracted_at), column(text).alias("text"), "reason")
+        aside = rejected_spec(spec)
+        store.ensure(spec)
+        store.ensure(aside)
+        # Rejects first: a run that ends between the two loads is made up for by the next one, by label.
+        store.load(aside, intake(bad, aside), label=label)
+        return store.load(spec, intake(good, spec), label=label), totals["rejected"]
+    finally:
+        read.unpersist()
