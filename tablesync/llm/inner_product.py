@@ -52,7 +52,8 @@ def whole_vectors(df: DataFrame, scale: int = 256) -> DataFrame:
     bad = F.exists(x, lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")))
     good = df.select("vec_id", "embedding").where(F.col("vec_id").isNotNull() & x.isNotNull() & ~F.coalesce(bad, F.lit(True)))
     v = good.select(F.col("vec_id").cast("long").alias("vec_id"), F.transform(x, lambda c: F.floor(c.cast("double") * scale)).alias("v")).distinct()
-    return v.withColumn("n2", F.aggregate("v", F.lit(0).cast("long"), lambda a, c: a + c * c))
+    # As doubles, since a square may pass 64 bits where all products fit.
+    return v.withColumn("n2", F.aggregate("v", F.lit(0.0), lambda a, c: a + c.cast("double") * c.cast("double")))
 
 
 def _matrix(vectors: list[np.ndarray], width: int) -> np.ndarray:
@@ -65,7 +66,7 @@ def _matrix(vectors: list[np.ndarray], width: int) -> np.ndarray:
 def _exact(queries: np.ndarray, candidates: np.ndarray) -> np.ndarray:
     """Integer products; through doubles where these are exact, as they are far faster."""
     width = max(queries.shape[1], 1)
-    if not len(queries) or not len(candidates) or np.abs(queries).max(initial=0) * np.abs(candidates).max(initial=0) * width < 2**52:
+    if not len(queries) or not len(candidates) or float(np.abs(queries).max(initial=0)) * float(np.abs(candidates).max(initial=0)) * width < 2**52:
         return np.rint(queries.astype(float) @ candidates.astype(float).T).astype(np.int64)
     return queries @ candidates.T
 
@@ -196,8 +197,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     # That table, of a few dozen rows, becomes a constant.
     every = F.array(*(F.struct(F.lit(r.band).alias("band"), F.lit(r.top).alias("top"), F.lit(r.cells).alias("cells")) for r in bands.collect()))
     # Norms are multiplied as doubles: the product of two squared ones may pass 64 bits.
-    reach = lambda b: F.sqrt(F.col("n2").cast("double")) * F.sqrt(b["top"].cast("double")) * (1 + 1e-9) >= F.col("least")
-    every = every.cast("array<struct<band: int, top: long, cells: int>>")
+    reach = lambda b: F.sqrt("n2") * F.sqrt(b["top"]) * (1 + 1e-9) >= F.col("least")
+    every = every.cast("array<struct<band: int, top: double, cells: int>>")
     visits = q.select("id", "v", "q", "least", F.explode(F.filter(every, reach)).alias("b"))
     visits = visits.select("id", "v", "q", "least", F.col("b.band").alias("band"), F.explode(F.sequence(F.lit(0), F.col("b.cells") - 1)).alias("c"))
     both = held.select(*row(cell(F.col("c")), 0, none)).unionByName(visits.select(*row(cell(F.col("c")), 1, F.col("least"))))

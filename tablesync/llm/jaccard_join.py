@@ -42,7 +42,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tablesync.llm.common import materialize
+from tablesync.llm.common import fresh, materialize
 
 #: Sets up to this size are matched by shingles alone.
 SMALL = 12
@@ -56,8 +56,8 @@ SHINGLE = 2
 
 #: Documents for each bucket of keys, about, and keys that are filed or sorted at once.
 BUCKET_DOCUMENTS = 4096
-FILED_KEYS = 1_000_000
-BUCKET_KEYS = 2_000_000
+FILED_KEYS = 300_000
+BUCKET_KEYS = 1_000_000
 
 #: Set ids up to this number are broadcast (8 bytes each).
 BROADCAST_IDS = 1_000_000
@@ -571,8 +571,9 @@ def representatives(docs: DataFrame, similarity: Similarity = Similarity()) -> D
     ids = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
     ids = materialize(ids, "representatives")
     repeated = not ids.where("rows > 1").isEmpty()
-    ids = ids.select(F.col("doc_id").alias("_id"))
+    own = fresh(docs, "_id")
+    ids = ids.select(F.col("doc_id").alias(own))
     if ids.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
-    kept = docs.join(ids, docs["doc_id"].cast("long").eqNullSafe(F.col("_id")), "left_semi")
+    kept = docs.join(ids, docs["doc_id"].cast("long").eqNullSafe(F.col(own)), "left_semi")
     return kept.dropDuplicates(["doc_id", "text"]) if repeated else kept

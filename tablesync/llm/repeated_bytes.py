@@ -23,7 +23,7 @@ table gives an empty result.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import cache
 
 import numpy as np
@@ -39,11 +39,11 @@ LENGTH = 100
 GRAM = 24
 SPAN = LENGTH - GRAM + 1
 
-#: Bytes worked on at once; a longer text is worked on in pieces of so many windows.
-BLOCK = 1 << 20
+#: Bytes worked on at once; a longer text is worked on in pieces of so many windows. A worker holds some 200 bytes for each.
+BLOCK = 1 << 18
 
-#: Bytes of contexts that share a transform, about.
-TEXT = 1 << 20
+#: Bytes of contexts that share a transform, about, and that are sent on at once.
+TEXT = 1 << 19
 
 #: Contexts of one anchor from which on its windows are settled one by one.
 MANY = 5_000
@@ -108,7 +108,7 @@ def contexts(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
     return s, windows, grams[p], _mix(whole + (p - s).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + windows.astype(np.uint64))
 
 
-def pieces(texts: list[bytes]) -> Iterator[list[tuple[int, int, bytes]]]:
+def pieces(texts: Iterable[bytes]) -> Iterator[list[tuple[int, int, bytes]]]:
     """Texts in groups of bounded size: number of the text, place of the piece, bytes. Pieces of a long text overlap by a window less a byte."""
     group, size = [], 0
     for i, text in enumerate(texts):
@@ -123,88 +123,95 @@ def pieces(texts: list[bytes]) -> Iterator[list[tuple[int, int, bytes]]]:
         yield group
 
 
-ROWS = "anchor long, context long, id long, place long, done boolean"
+ROWS = "anchor long, context long, id long, mark long, place long, done boolean"
+_ORDER = ("anchor", "context", "id", "mark", "place")
 
 
 def _file(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The contexts of each document; of equal ones in a batch only the first is still open."""
+    """The contexts of each document; of equal ones in a group of texts only the first is still open."""
     for batch in batches:
-        texts = [t.encode() for t in batch.column("text").to_pylist()]
         ids, marks = batch.column("id").to_numpy(zero_copy_only=False), batch.column("mark").to_numpy(zero_copy_only=False)
-        out: list[list[np.ndarray]] = [[], [], [], []]
-        for group in pieces(texts):
+        # Bytes are taken out of the batch one text at a time.
+        for group in pieces(t.as_py().encode() for t in batch.column("text")):
             sizes = np.array([len(p) for _, _, p in group])
             ends = np.cumsum(sizes)
             start, windows, anchor, context = contexts(np.frombuffer(b"".join(p for _, _, p in group), np.uint8), ends)
             text = np.searchsorted(ends, start, side="right")
             document = np.array([i for i, _, _ in group])[text]
             inside = start - (ends - sizes)[text] + np.array([at for _, at, _ in group])[text]
-            place = (inside << 24) | (marks[document] << 8) | windows
-            for part, new in zip(out, (anchor.view(np.int64), context.view(np.int64), ids[document], place), strict=True):
-                part.append(new)
-        anchor, context, own, place = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in out)
-        order = np.lexsort((place, own, context, anchor))
-        anchor, context, own, place = anchor[order], context[order], own[order], place[order]
-        same = np.zeros(len(anchor), bool)
-        same[1:] = (anchor[1:] == anchor[:-1]) & (context[1:] == context[:-1])
-        again = np.zeros(len(anchor), bool)
-        again[1:] = same[1:] & (own[1:] == own[:-1]) & (place[1:] == place[:-1])  # an equal row
-        yield pa.record_batch({"anchor": anchor[~again], "context": context[~again], "id": own[~again], "place": place[~again], "done": same[~again]})
+            rows = np.stack([anchor.view(np.int64), context.view(np.int64), ids[document], marks[document], (inside << 8) | windows], 1)
+            rows = rows[np.lexsort(rows.T[::-1])]
+            same, again = np.zeros(len(rows), bool), np.zeros(len(rows), bool)
+            same[1:] = (rows[1:, :2] == rows[:-1, :2]).all(1)
+            again[1:] = (rows[1:] == rows[:-1]).all(1)  # an equal row
+            yield _batch(rows[~again], same[~again])
+
+
+def _batch(rows: np.ndarray, done: bool | np.ndarray) -> pa.RecordBatch:
+    return pa.record_batch({n: rows[:, i] for i, n in enumerate(_ORDER)} | {"done": np.full(len(rows), done)})
 
 
 def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by anchor, context, id and place. Closes all but the first of equal contexts, and drops contexts that are alone at their anchor.
+    """Rows sorted by anchor, context, id, mark and place. Closes all but the first of equal contexts, and drops contexts that are alone at their anchor.
 
     One row is held back between batches: whether its anchor has another context shows later.
     """
     held, multiple = None, False
     last = None
 
-    def batch_of(rows: np.ndarray, done: bool | np.ndarray) -> pa.RecordBatch:
-        return pa.record_batch({n: rows[:, i] for i, n in enumerate(("anchor", "context", "id", "place"))} | {"done": np.full(len(rows), done)})
-
     for whole in batches:
         done = whole.column("done")
         yield whole.filter(done)
         batch = whole.filter(pa.compute.invert(done))
         if not batch.num_rows:
             continue
-        rows = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in ("anchor", "context", "id", "place")], 1)
+        rows = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in _ORDER], 1)
         before = np.concatenate([rows[:1] if last is None else last, rows[:-1]])
         same = (rows[:, 0] == before[:, 0]) & (rows[:, 1] == before[:, 1])
-        equal = same & (rows[:, 2] == before[:, 2]) & (rows[:, 3] == before[:, 3])
+        equal = (rows == before).all(1)
         if last is None:
             same[0] = equal[0] = False
         last = rows[-1:]
-        yield batch_of(rows[same & ~equal], True)
+        yield _batch(rows[same & ~equal], True)
         firsts = rows[~same]
         if not len(firsts):
             continue
         line = firsts if held is None else np.concatenate([held, firsts])
         joined = line[1:, 0] == line[:-1, 0]
         several = np.concatenate([[multiple], joined]) | np.concatenate([joined, [False]])
-        yield batch_of(line[:-1][several[:-1]], False)
+        yield _batch(line[:-1][several[:-1]], False)
         held, multiple = line[-1:], bool(several[-1])
     if held is not None and multiple:
-        yield batch_of(held, False)
+        yield _batch(held, False)
+
+
+FETCHED = "anchor long, id long, mark long, place long, bytes binary"
+_FETCHED = pa.schema([("anchor", pa.int64()), ("id", pa.int64()), ("mark", pa.int64()), ("place", pa.int64()), ("bytes", pa.binary())])
 
 
 def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The bytes of the contexts that are asked for in each document."""
     for batch in batches:
-        anchors, ids, places, found = [], [], [], []
-        for text, own, asked in zip(batch.column("text"), batch.column("id").to_pylist(), batch.column("asked").to_pylist(), strict=True):
-            data = text.as_py().encode()
-            for row in asked:
-                start, windows = row["place"] >> 24, row["place"] & 255
-                anchors.append(row["anchor"])
-                ids.append(own)
-                places.append(row["place"])
-                found.append(data[start : start + windows + LENGTH - 1])
-            if len(found) > 20_000:
-                yield pa.record_batch({"anchor": pa.array(anchors, pa.int64()), "id": pa.array(ids, pa.int64()), "place": pa.array(places, pa.int64()), "bytes": pa.array(found, pa.binary())})
-                anchors, ids, places, found = [], [], [], []
-        yield pa.record_batch({"anchor": pa.array(anchors, pa.int64()), "id": pa.array(ids, pa.int64()), "place": pa.array(places, pa.int64()), "bytes": pa.array(found, pa.binary())})
+        out: list[tuple] = []
+        size = 0
+        for i in range(batch.num_rows):
+            asked = batch.column("asked")[i].values
+            if not len(asked):
+                continue
+            data, own, mark = batch.column("text")[i].as_py().encode(), batch.column("id")[i].as_py(), batch.column("mark")[i].as_py()
+            for anchor, place in zip(asked.field("anchor").to_pylist(), asked.field("place").to_pylist(), strict=True):
+                found = data[place >> 8 : (place >> 8) + (place & 255) + LENGTH - 1]
+                out.append((anchor, own, mark, place, found))
+                size += len(found)
+                if size > TEXT:
+                    yield _columns(out, _FETCHED)
+                    out, size = [], 0
+        if out:
+            yield _columns(out, _FETCHED)
+
+
+def _columns(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
 
 def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
@@ -261,10 +268,10 @@ def unmet_boundaries(text: np.ndarray, order: np.ndarray, depth: int) -> np.ndar
     return ~met[:-1]
 
 
-def repeats(rows: list[tuple[int, int, bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Windows of contexts (id, place, bytes) that equal an earlier window: id, mark and start in the document."""
-    sizes = np.array([len(b) for _, _, b in rows])
-    text = np.frombuffer(b"\xff".join(b for _, _, b in rows) + b"\xff", np.uint8)  # a byte that no UTF-8 text holds
+def repeats(rows: list[tuple[int, int, int, bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Windows of contexts (id, mark, place, bytes) that equal an earlier window: id, mark and start in the document."""
+    sizes = np.array([len(r[-1]) for r in rows])
+    text = np.frombuffer(b"\xff".join(r[-1] for r in rows) + b"\xff", np.uint8)  # a byte that no UTF-8 text holds
     first = np.cumsum(sizes + 1) - sizes - 1
     order = suffix_order(text, LENGTH + 1)
     shared = unmet_boundaries(text, order, LENGTH)
@@ -272,8 +279,8 @@ def repeats(rows: list[tuple[int, int, bytes]]) -> tuple[np.ndarray, np.ndarray,
     context = np.searchsorted(first, order, side="right") - 1
     whole = order - first[context] + LENGTH <= sizes[context]
     order, run, context = order[whole], run[whole], context[whole]
-    ids, places = np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], np.int64)
-    own, start, mark = ids[context], (places >> 24)[context] + order - first[context], ((places >> 8) & 0xFFFF)[context]
+    ids, marks, places = (np.array([r[i] for r in rows], np.int64) for i in range(3))
+    own, start, mark = ids[context], (places >> 8)[context] + order - first[context], marks[context]
     sort = np.lexsort((mark, start, own, run))
     again = np.concatenate([[False], run[sort][1:] == run[sort][:-1]])
     chosen = sort[again]
@@ -298,28 +305,32 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Contexts sorted by anchor, as many whole anchors together as fit in a text."""
     rows, size, anchor = [], 0, None
     for batch in batches:
-        for a, own, place, data in zip(*(batch.column(c).to_pylist() for c in ("anchor", "id", "place", "bytes")), strict=True):
+        for a, own, mark, place, data in zip(*(batch.column(c).to_pylist() for c in ("anchor", "id", "mark", "place", "bytes")), strict=True):
             if a != anchor and size > TEXT:
                 yield _spans(*repeats(rows))
                 rows, size = [], 0
             anchor = a
-            rows.append((own, place, data))
+            rows.append((own, mark, place, data))
             size += len(data)
     if rows:
         yield _spans(*repeats(rows))
 
 
+_WINDOWS = pa.schema([("w", pa.binary()), ("id", pa.int64()), ("mark", pa.int64()), ("start", pa.int64())])
+
+
 def _single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each window of the contexts by itself, as a digest."""
     for batch in batches:
-        digests, ids, marks, starts = [], [], [], []
-        for own, place, data in zip(*(batch.column(c).to_pylist() for c in ("id", "place", "bytes")), strict=True):
+        out: list[tuple] = []
+        for own, mark, place, data in zip(*(batch.column(c).to_pylist() for c in ("id", "mark", "place", "bytes")), strict=True):
             for i in range(len(data) - LENGTH + 1):
-                digests.append(hashlib.blake2b(data[i : i + LENGTH], digest_size=16).digest())
-                ids.append(own)
-                marks.append((place >> 8) & 0xFFFF)
-                starts.append((place >> 24) + i)
-        yield pa.record_batch({"w": pa.array(digests, pa.binary()), "id": pa.array(ids, pa.int64()), "mark": pa.array(marks, pa.int64()), "start": pa.array(starts, pa.int64())})
+                out.append((hashlib.blake2b(data[i : i + LENGTH], digest_size=16).digest(), own, mark, (place >> 8) + i))
+            if len(out) > 50_000:
+                yield _columns(out, _WINDOWS)
+                out = []
+        if out:
+            yield _columns(out, _WINDOWS)
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -348,16 +359,17 @@ def without_repeats(docs: DataFrame, many: int = MANY) -> DataFrame:
     """``doc_id``, ``n_bytes``, ``n_spans`` and ``kept`` (the bytes left) of each row of ``docs`` (``doc_id``, ``text``)."""
     body = F.coalesce(F.col("text"), F.lit(""))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), body.alias("text"))
-    docs = docs.select("doc_id", "text", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("id"), F.xxhash64("text").bitwiseAND(F.lit(0xFFFF).cast("long")).alias("mark"))
+    docs = docs.select("doc_id", "text", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("id"), F.xxhash64("text").alias("mark"))
     filed = docs.where(F.octet_length("text") >= LENGTH).select("id", "mark", "text").mapInArrow(_file, ROWS)
     # What a task has settled already is spread by its own hash, not by its anchor.
     filed = filed.repartition(F.when(F.col("done"), F.xxhash64("id", "place")).otherwise(F.col("anchor")))
-    settled = materialize(filed.sortWithinPartitions("done", "anchor", "context", "id", "place").mapInArrow(_settle, ROWS), "contexts")
+    settled = materialize(filed.sortWithinPartitions("done", *_ORDER).mapInArrow(_settle, ROWS), "contexts")
     asked = settled.where("not done")
     place = F.col("place")
-    whole = settled.where("done").select("id", F.shiftright(place, 8).bitwiseAND(F.lit(0xFFFF).cast("long")).alias("mark"), F.shiftright(place, 24).alias("start"), (F.shiftright(place, 24) + place.bitwiseAND(F.lit(255).cast("long")) + (LENGTH - 1)).alias("stop"))
-    by_document = asked.withColumn("mark", F.shiftright(place, 8).bitwiseAND(F.lit(0xFFFF).cast("long"))).groupBy("id", "mark").agg(F.collect_list(F.struct("anchor", "place")).alias("asked"))
-    with_text = docs.select("id", "mark", "text").join(by_document, ["id", "mark"]).select("id", "text", "asked").mapInArrow(_fetch, "anchor long, id long, place long, bytes binary")
+    start = F.shiftright(place, 8)
+    whole = settled.where("done").select("id", "mark", start.alias("start"), (start + place.bitwiseAND(F.lit(255).cast("long")) + (LENGTH - 1)).alias("stop"))
+    by_document = asked.groupBy("id", "mark").agg(F.collect_list(F.struct("anchor", "place")).alias("asked"))
+    with_text = docs.select("id", "mark", "text").join(by_document, ["id", "mark"]).select("id", "mark", "text", "asked").mapInArrow(_fetch, FETCHED)
     crowded = materialize(asked.groupBy("anchor").count().where(F.col("count") > many).select("anchor"), "crowded")
     spans = whole
     if crowded.isEmpty():

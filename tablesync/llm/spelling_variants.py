@@ -4,13 +4,14 @@ The trie of all words is a table of nodes (a prefix, the letters that go on from
 is a word). A state (word, position, node, edits) says that the word's first ``position`` letters
 lead to the node with that many edits. Each level joins the states with the nodes of one depth
 and makes those of the next: a state without an edit goes on along its word, or takes the one
-edit, a letter replaced, put in or left out; a state with an edit only goes on along its word. A state with
-one edit at the end of its word, at a node that is a word, is a pair of neighbours.
+edit; a state with an edit only goes on along its word. A state with one edit at the end of its word,
+at a node that is a word, is a pair of neighbours.
 
-The edit is always put where word and node first differ, so a pair is found in one way. And it is
-only put in the second half of a word: a second trie of the reversed words, walked in the same
-joins, finds the other pairs. So states never fan out at the few nodes near the root, where
-most letters go on, and walks start in the middle of each word on a path that is known to exist.
+Neighbours are so both ways, and each pair is walked from one of its words: from the longer one, which
+leaves a letter out, or of two of equal length from that of the smaller letter, which replaces it by a greater one.
+The edit is always put where word and node first differ, and only in the second half of a word: a
+second trie of the reversed words, walked in the same joins, finds the other pairs. So states hardly fan
+out, and walks start in the middle of each word on a path that is known to exist.
 
 Words of more than ``LEVELS`` letters would need as many joins. Pairs with one of them are found by
 the hashes of their strings with one letter left out, and compared in full.
@@ -47,6 +48,7 @@ LEVELS = 64
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+
 def word_counts(docs: DataFrame) -> DataFrame:
     """``word`` and ``n`` of the runs of letters in ``docs`` (``doc_id``, ``text``), some of them misspelt by rule."""
     # Shorter runs can't give words.
@@ -61,12 +63,16 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return counted.where(F.col("n") >= LEAST_COUNT)
 
 
+def both_ways(words: DataFrame) -> DataFrame:
+    """Each word as it is and reversed, and its ``start``: one of both walks meets the place of any edit, as the starts add up to the word's length."""
+    half = F.length("word") / 2
+    forward = words.select(F.lit(False).alias("reversed"), "word", F.floor(half).cast("int").alias("start"))
+    return forward.unionByName(words.select(F.lit(True).alias("reversed"), F.reverse("word").alias("word"), F.ceil(half).cast("int").alias("start")))
+
+
 def trie_nodes(words: DataFrame) -> DataFrame:
     """The nodes of both tries from the middle of a word on: ``reversed``, ``depth``, ``node``, ``onward`` (letters) and ``whole``."""
-    both = words.select(F.lit(False).alias("reversed"), "word").unionByName(words.select(F.lit(True).alias("reversed"), F.reverse("word").alias("word")))
-    # A word that starts in its middle may step on a neighbour that is a letter longer, so paths begin a letter earlier.
-    depths = F.explode(F.sequence(F.floor((F.length("word") - 1) / 2).cast("int"), F.length("word")))
-    steps = both.select("reversed", "word", depths.alias("depth"))
+    steps = both_ways(words).select("reversed", "word", F.explode(F.sequence("start", F.length("word"))).alias("depth"))
     prefix = F.col("word").substr(F.lit(1), F.col("depth"))
     letter = F.col("word").substr(F.col("depth") + 1, F.lit(1))
     steps = steps.select("reversed", "depth", prefix.alias("node"), letter.alias("letter"))
@@ -92,11 +98,10 @@ def _next(states: DataFrame, nodes: DataFrame) -> DataFrame:
     def only(condition: Column, *found: Column) -> Column:
         return F.when(condition, F.array(*found)).otherwise(none)
 
-    others = F.filter("onward", lambda c: c != here)
+    greater = F.filter("onward", lambda c: c > here)
     fresh = F.concat(
         only(position < length, _state(position + 1, F.concat(node, here), 0, False)),
-        F.when(position < length, F.transform(others, lambda c: _state(position + 1, F.concat(node, c), 1, False))).otherwise(none),
-        F.transform(others, lambda c: _state(position, F.concat(node, c), 1, False)),
+        F.when(position < length, F.transform(greater, lambda c: _state(position + 1, F.concat(node, c), 1, False))).otherwise(none),
         only((position + 1 < length) & (after != here) & F.array_contains("onward", after), _state(position + 2, F.concat(node, after), 1, False)),
         only((position + 1 == length) & F.col("whole"), _state(length, node, 1, True)),
     )
@@ -116,11 +121,11 @@ def short_pairs(words: DataFrame, levels: int = LEVELS) -> DataFrame:
     if first is None:
         return words.select("word", F.col("word").alias("near"))
     nodes = materialize(trie_nodes(words), "trie", ["depth"])
-    both = words.select(F.lit(False).alias("reversed"), "word").unionByName(words.select(F.lit(True).alias("reversed"), F.reverse("word").alias("word")))
-    starts = both.select("reversed", "word", F.floor(F.length("word") / 2).cast("int").alias("position"))
-    starts = starts.select("reversed", "word", "position", F.col("word").substr(F.lit(1), F.col("position")).alias("node"), F.lit(0).alias("edits"), F.lit(False).alias("found"))
+    starts = both_ways(words).select(
+        "reversed", "word", F.col("start").alias("position"), F.col("word").substr(F.lit(1), F.col("start")).alias("node"), F.lit(0).alias("edits"), F.lit(False).alias("found")
+    )
     found, states = None, None
-    for depth in range(first // 2, last + 2):
+    for depth in range(first // 2, last + 1):
         beginning = starts.where(F.col("position") == depth)
         states = beginning if states is None else states.unionByName(beginning)
         made = materialize(_next(states, nodes.where(F.col("depth") == depth).drop("depth")), f"states-{depth}")
@@ -128,7 +133,8 @@ def short_pairs(words: DataFrame, levels: int = LEVELS) -> DataFrame:
         found = pairs if found is None else found.unionByName(pairs)
         states = made.where("not found")
     turned = [F.when(F.col("reversed"), F.reverse(c)).otherwise(F.col(c)).alias(name) for c, name in (("word", "word"), ("node", "near"))]
-    return found.select(*turned).distinct()
+    pairs = materialize(found.select(*turned).distinct(), "pairs")
+    return pairs.unionByName(pairs.select(F.col("near").alias("word"), F.col("word").alias("near")))
 
 
 def _left_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

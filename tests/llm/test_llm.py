@@ -448,3 +448,23 @@ def test_inner_products_of_long_vectors(spark):
     for q in range(9):
         best = sorted((-int(whole[q] @ whole[c]), c) for c in range(60) if c != q)[:3]
         assert [got[q, i + 1] for i in range(3)] == [(c, -s) for s, c in best]
+
+
+def test_many_texts_of_one_id_lose_only_their_repeats(spark):
+    rng = np.random.default_rng(12)
+    unlike = ["".join(rng.choice(list("abcdefgh "), 150)) for _ in range(800)]
+    rows = [(7, t) for t in unlike] + [(None, t[::-1]) for t in unlike[:300]] + [(8, unlike[0] + "!" * 20)]
+    found = repeated_bytes.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(r.n_bytes - len(r.kept) for r in found) == [0] * 1100 + [150]
+
+
+def test_inner_product_with_a_very_large_component(spark):
+    rows = [(0, [2e7, 0.0]), (1, [0.0, 1.0]), (50, [1.0, 1.0]), (51, [0.5, 0.0])]
+    vectors = inner_product.whole_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    found = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in inner_product.top_k(vectors, vectors.where("vec_id = 50"), 2).collect()}
+    assert found == {(50, 1): (0, 256 * 256 * 20_000_000), (50, 2): (1, 65536)}
+
+
+def test_representatives_keep_columns_named_like_working_ones(spark):
+    rows = spark.createDataFrame([(1, "a b c d e f", 5), (2, "a b c d e f", 6), (3, None, 7)], "doc_id long, text string, _id long")
+    assert {(r.doc_id, r._id) for r in jaccard_join.representatives(rows).collect()} == {(1, 5), (3, 7)}
