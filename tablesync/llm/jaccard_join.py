@@ -62,6 +62,10 @@ BUCKET_KEYS = 1_000_000
 #: Set ids up to this number are broadcast (8 bytes each).
 BROADCAST_IDS = 1_000_000
 
+#: Keys of more sets than this are compared in blocks of about so many sets.
+SHARED_BY_MANY = 64
+BLOCK_SETS = 512
+
 #: Rounds in which components are compared through one set of each, before all pairs that are left.
 STAR_ROUNDS = 2
 
@@ -486,7 +490,7 @@ def linked_sets(docs: DataFrame, sets: DataFrame, shared: DataFrame, similarity:
     comps = components(links)
     rows, turn = _needed(_open(shared.select("key", "set"), comps), sets), 0
     while True:
-        found = materialize(_new(_all_pairs(rows, similarity) if turn >= STAR_ROUNDS else _star_pairs(rows), tested), "pairs")
+        found = materialize(_new(_all_pairs(rows, sets, similarity) if turn >= STAR_ROUNDS else _star_pairs(rows), tested), "pairs")
         if found.isEmpty():
             if turn >= STAR_ROUNDS:
                 return comps
@@ -536,12 +540,85 @@ def _star_pairs(rows: DataFrame) -> DataFrame:
     return each.join(first, "key").where("comp <> f.comp").select(F.col("set").alias("a"), F.col("f.set").alias("b"))
 
 
-def _all_pairs(rows: DataFrame, similarity: Similarity) -> DataFrame:
-    """The pairs across components that share a key. Sizes too far apart rule a link out before a pair is made; two sets that both lack units meet at single shingles."""
-    left = rows.select("key", F.col("set").alias("a"), F.col("comp").alias("ca"), F.col("size").alias("na"), F.col("short").alias("sa"))
-    right = rows.select("key", F.col("set").alias("b"), F.col("comp").alias("cb"), F.col("size").alias("nb"), F.col("short").alias("sb"))
+def _once(rows: DataFrame) -> DataFrame:
+    """One key of each group of sets. A passage gives as many keys as it has shingles, and all of them have the same sets."""
+    own = [F.sum(F.xxhash64("set", "short", F.lit(i)).cast("decimal(20,0)")).alias(f"s{i}") for i in range(2)]
+    groups = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), *own)
+    return rows.join(groups.groupBy("n", "s0", "s1").agg(F.min("key").alias("key")).select("key"), "key")
+
+
+def _all_pairs(rows: DataFrame, sets: DataFrame, similarity: Similarity) -> DataFrame:
+    """The pairs across components that share a key. Sizes too far apart rule a link out before a pair is made; two sets that both lack units meet at single shingles.
+
+    The sets of a key that many have are dealt into blocks, and each two blocks are compared by their sketches in a task of
+    their own. Only pairs that may be linked leave it, so the rows made follow the links and not the square of the group.
+    """
+    rows = materialize(_once(rows), "groups")
+    blocks = F.ceil(F.col("n") / BLOCK_SETS).cast("int")
+    groups = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > SHARED_BY_MANY).select("key", blocks.alias("blocks"))
+    few = rows.join(groups, "key", "left_anti")
+    left = few.select("key", F.col("set").alias("a"), F.col("comp").alias("ca"), F.col("size").alias("na"), F.col("short").alias("sa"))
+    right = few.select("key", F.col("set").alias("b"), F.col("comp").alias("cb"), F.col("size").alias("nb"), F.col("short").alias("sb"))
     fits = 100 * F.least("na", "nb") >= similarity.part * F.greatest("na", "nb")
-    return left.join(right, "key").where((F.col("ca") < F.col("cb")) & fits & ~(F.col("sa") & F.col("sb"))).select("a", "b")
+    pairs = left.join(right, "key").where((F.col("ca") < F.col("cb")) & fits & ~(F.col("sa") & F.col("sb"))).select("a", "b")
+    many = rows.join(groups, "key").join(sets.select("set", "sketch"), "set").withColumn("block", F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    met = many.select("key", "set", "comp", "size", "short", "sketch", "block", other.alias("other"))
+    cells = met.select(F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "key", "block", "set", "comp", "size", "short", "sketch")
+    cell = ["key", "low", "high"]
+    return pairs.unionByName(cells.repartition(*cell).sortWithinPartitions(*cell).mapInArrow(_block_pairs(similarity), "a long, b long"))
+
+
+def _block_pairs(similarity: Similarity):
+    """The pairs of a cell's two blocks, or within its one block, that may be linked."""
+
+    def pairs(rows: list[tuple]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        low, high = rows[0][1], rows[0][2]
+        classes: dict[int, list[tuple]] = {}
+        for row in rows:
+            classes.setdefault(len(row[8]), []).append(row)
+        # Linked sets differ by a third in size at most, so their sketches are of one length or of two next ones.
+        sides = {}
+        for length, own in classes.items():
+            words = np.frombuffer(b"".join(r[8] for r in own), "<u8").reshape(len(own), -1)
+            sides[length] = (np.array([r[3:8] for r in own], np.int64), words)
+        for length, (x, words) in sides.items():
+            for longer in (length, 2 * length):
+                if longer not in sides:
+                    continue
+                y, others = sides[longer]
+                if longer > length:
+                    others = others[:, : words.shape[1]] ^ others[:, words.shape[1] :]
+                for i, (block, own, comp, size, short) in enumerate(x):
+                    ok = (y[:, 2] != comp) & (100 * np.minimum(y[:, 3], size) >= similarity.part * np.maximum(y[:, 3], size)) & ~((y[:, 4] == 1) & bool(short))
+                    if low != high:
+                        ok &= y[:, 0] != block
+                    if longer == length:
+                        ok[: i + 1] = False
+                    at = np.flatnonzero(ok)
+                    if len(at):
+                        apart = np.bitwise_count(others[at] ^ words[i]).sum(1, dtype=np.int64)
+                        at = at[apart <= (y[at, 3] + size) * (100 - similarity.part) // (100 + similarity.part)]
+                        if len(at):
+                            yield np.full(len(at), own), y[at, 1]
+
+    def of_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def told(rows: list[tuple]) -> pa.RecordBatch:
+            found = list(pairs(rows))
+            a, b = (np.concatenate([f[i] for f in found] or [np.zeros(0, np.int64)]) for i in range(2))
+            return pa.record_batch({"a": a, "b": b})
+
+        rows: list[tuple] = []
+        for batch in batches:
+            for row in zip(*(batch.column(c).to_pylist() for c in ("key", "low", "high", "block", "set", "comp", "size", "short", "sketch")), strict=True):
+                if rows and rows[0][:3] != row[:3]:
+                    yield told(rows)
+                    rows = []
+                rows.append(row)
+        if rows:
+            yield told(rows)
+
+    return of_cells
 
 
 def classes(docs: DataFrame, similarity: Similarity = Similarity()) -> DataFrame:
