@@ -10,7 +10,8 @@ carries the label of its document. Scoring covers all lines of all documents.
 
 Defined results: a null or empty text counts as one empty line and gets a score like any
 other. Labels that are null or neither 0 nor 1 are ignored; a document labelled both ways
-counts as bad. Without labelled documents of both kinds training is refused. Repeated
+counts as bad. Without labelled documents of both kinds all texts get the share of good
+ones among those there are, with one of each added. An empty table gives no scores. Repeated
 rows get equal scores; the score is a column expression, so extra columns never clash.
 """
 
@@ -25,13 +26,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tablesync.llm.quality_rules import STOP_WORDS
 
-#: Labelled documents in the training sample, lines of each that train, and characters of each line: the bound of what the driver gathers.
+#: Labelled documents in the training sample. Those of more lines or characters are not drawn; drawn ones train as a whole.
+#: So what the driver gathers is bounded. Scores are given to texts of any length.
 TRAIN_DOCUMENTS = 3000
-TRAIN_LINES = 64
-TRAIN_CHARACTERS = 4000
+TRAIN_LINES = 500
+TRAIN_CHARACTERS = 40_000
 
-#: Documents whose chains are walked together.
+#: Documents whose chains are walked together, and lines they have when padded to the longest.
 CHUNK = 512
+PADDED_LINES = 60_000
 
 _STOP = frozenset(STOP_WORDS)
 _UPPER = bytes(c for c in range(256) if chr(c).isupper())
@@ -80,6 +83,16 @@ def with_neighbours(own: np.ndarray) -> np.ndarray:
     return out
 
 
+def grouped(sizes: np.ndarray) -> list[np.ndarray]:
+    """Chains by size, in groups that are walked together: no more padded lines than a bound, or one long chain alone."""
+    order, out, start = np.argsort(sizes, kind="stable"), [], 0
+    for at in range(1, len(order) + 1):
+        if at == len(order) or at - start >= CHUNK or (at + 1 - start) * sizes[order[at]] > PADDED_LINES:
+            out.append(order[start:at])
+            start = at
+    return out
+
+
 def chains(scores: list[np.ndarray], transition: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Forward-backward over several chains at once: marginals, expected transitions and log partition of each.
 
@@ -124,9 +137,7 @@ class LineModel:
     def raw(self, texts: list[list[str]], owns: list[np.ndarray]) -> np.ndarray:
         """The length-weighted mean of the marginals of each document."""
         out = np.zeros(len(texts))
-        order = np.argsort([len(lines) for lines in texts], kind="stable")
-        for at in range(0, len(order), CHUNK):
-            part = order[at : at + CHUNK]
+        for part in grouped(np.array([len(lines) for lines in texts], np.int64)):
             marginal, _, _ = chains([self.emissions(owns[i]) for i in part], self.transition)
             for i, m in zip(part, marginal, strict=True):
                 size = np.array([max(1, len(line)) for line in texts[i]])
@@ -150,8 +161,9 @@ def _curve(p: np.ndarray, slope: float, shift: float) -> np.ndarray:
 def train(texts: list[str | None], labels: list[int], steps: int = 150, rate: float = 0.1, decay: float = 1e-3) -> LineModel:
     """Maximum likelihood with weight decay, each document counting once; then the logistic curve on the documents' means."""
     if len(set(labels)) < 2:
-        raise ValueError("training needs labelled documents of both kinds")
-    lines = [lines_of(t)[:TRAIN_LINES] for t in texts]
+        good = (sum(labels) + 1) / (len(labels) + 2)
+        return LineModel(np.zeros(OWN), np.ones(OWN), np.zeros((2, FEATURES)), np.zeros((2, 2)), 0.0, float(np.log(good / (1 - good))))
+    lines = [lines_of(t) for t in texts]
     owns = [measures(x) for x in lines]
     every = np.concatenate(owns)
     mean, spread = every.mean(0), every.std(0) + 1e-6
@@ -168,8 +180,7 @@ def train(texts: list[str | None], labels: list[int], steps: int = 150, rate: fl
     real_pairs = np.zeros((2, 2))
     for label in (0, 1):
         real_pairs[label, label] = ((sizes - 1) * once)[y == label].sum()
-    order = np.argsort(sizes, kind="stable")
-    groups = [order[at : at + CHUNK] for at in range(0, len(order), CHUNK)]
+    groups = grouped(sizes)
     starts = np.cumsum(sizes) - sizes
     for step in range(1, steps + 1):
         weights, transition = theta[: 2 * FEATURES].reshape(2, FEATURES), theta[2 * FEATURES :].reshape(2, 2)
@@ -196,19 +207,16 @@ def train(texts: list[str | None], labels: list[int], steps: int = 150, rate: fl
 def train_on(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_DOCUMENTS) -> LineModel:
     """Trains on at most ``limit`` documents (``doc_id``, ``text``) with a label (``doc_id``, ``quality``), chosen by a hash of their ids."""
     known = labels.where("quality in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
+    body = F.coalesce(F.col("text"), F.lit(""))
+    short = docs.select("doc_id", body.alias("text")).where((F.length("text") <= TRAIN_CHARACTERS) & (F.size(F.split("text", "\n", -1)) <= TRAIN_LINES))
+    # Ids alone meet; of rows of one id one is drawn.
+    chosen = known.join(short.select("doc_id").distinct(), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
     # The whole sample has ``limit`` ids, so it is broadcast.
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    rows = rows.groupBy("doc_id").agg(F.min(F.struct(_head("text").alias("text"), "quality")).alias("r")).select("doc_id", "r.*").orderBy("doc_id").collect()
+    rows = short.join(F.broadcast(chosen), "doc_id")
+    rows = rows.groupBy("doc_id").agg(F.min(F.struct("text", "quality")).alias("r")).select("doc_id", "r.*").orderBy("doc_id").collect()
     return train([r.text for r in rows], [int(r.quality) for r in rows])
 
 
-def _head(text: str) -> Column:
-    """As many lines as train, each of bounded length, so that the sample is bounded in bytes too."""
-    lines = F.filter(F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1), lambda x: F.length(F.trim(x)) > 0)
-    return F.array_join(F.transform(F.slice(lines, 1, TRAIN_LINES), lambda x: F.substring(x, 1, TRAIN_CHARACTERS)), "\n")
-
-
 def quality_score(docs: DataFrame, text: Column, model: LineModel) -> Column:
     """The score of ``text``. The model, of fixed size, goes with the tasks."""
 

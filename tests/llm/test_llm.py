@@ -214,8 +214,8 @@ def test_line_crf():
     model = line_crf.train(good + bad, [1] * 60 + [0] * 60, steps=60)
     scores = model.score([PROSE, "$$$ BUY!! " * 20, "", None])
     assert scores[0] > 0.7 > scores[1] and scores[2] == scores[3] and ((scores >= 0) & (scores <= 1)).all()
-    with pytest.raises(ValueError, match="both kinds"):
-        line_crf.train(good, [1] * 60)
+    # Labels of one kind only give their share of good ones, with one of each added.
+    assert line_crf.train([PROSE] * 4, [1] * 4).score([PROSE, None]) == pytest.approx([5 / 6] * 2)
 
 
 def test_chain_marginals_by_enumeration():
@@ -292,9 +292,12 @@ def near_copies(seed, groups=12):
     return out
 
 
-@pytest.mark.parametrize("rounds", [2, 0])
-def test_jaccard_join(spark, docs, none, rounds, monkeypatch):
+@pytest.mark.parametrize(("rounds", "many"), [(2, 64), (0, 64), (0, 1)])
+def test_jaccard_join(spark, docs, none, rounds, many, monkeypatch):
     monkeypatch.setattr(jaccard_join, "STAR_ROUNDS", rounds)
+    # With 1 all pairs are met in blocks.
+    monkeypatch.setattr(jaccard_join, "SHARED_BY_MANY", many)
+    monkeypatch.setattr(jaccard_join, "BLOCK_SETS", 3)
     texts = odd_texts() + near_copies(3) + ["same short text", "Same SHORT text"]
     rows = list(enumerate(texts))
     df = spark.createDataFrame(rows, "doc_id long, text string")
@@ -468,3 +471,23 @@ def test_inner_product_with_a_very_large_component(spark):
 def test_representatives_keep_columns_named_like_working_ones(spark):
     rows = spark.createDataFrame([(1, "a b c d e f", 5), (2, "a b c d e f", 6), (3, None, 7)], "doc_id long, text string, _id long")
     assert {(r.doc_id, r._id) for r in jaccard_join.representatives(rows).collect()} == {(1, 5), (3, 7)}
+
+
+def test_line_classifier_without_labels_of_both_kinds(spark, docs, none):
+    labels = spark.createDataFrame([(0, 1), (4, 1), (5, None)], "doc_id long, quality long")
+    for known, least, most in ((labels, 0.5, 1.0), (labels.where("false"), 0.5, 0.5)):
+        model = line_crf.train_on(docs, known)
+        scores = [r.s for r in docs.select(line_crf.quality_score(docs, docs.text, model).alias("s")).collect()]
+        assert len(set(scores)) == 1 and least <= scores[0] <= most
+    model = line_crf.train_on(none, labels)
+    assert none.select(line_crf.quality_score(none, none.text, model)).count() == 0
+
+
+def test_long_chains_are_padded_only_among_themselves():
+    sizes = np.array([1] * 600 + [70_000, 3])
+    groups = line_crf.grouped(sizes)
+    assert sorted(i for g in groups for i in g) == list(range(602))
+    assert max(len(g) * sizes[g].max() for g in groups) <= 70_000
+    model = line_crf.train(["good line here\nand more", "###\n###"] * 4, [1, 0] * 4)
+    long = "a line of some words\n" * 30_000
+    assert model.score([long, "x"])[0] == pytest.approx(model.score([long])[0])
