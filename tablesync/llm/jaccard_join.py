@@ -66,6 +66,9 @@ BROADCAST_IDS = 1_000_000
 SHARED_BY_MANY = 64
 BLOCK_SETS = 512
 
+#: Keys of a set that go with it to tell pairs that several tasks have; more of them only save work.
+FIRST_KEYS = 8
+
 #: Rounds in which components are compared through one set of each, before all pairs that are left.
 STAR_ROUNDS = 2
 
@@ -562,9 +565,12 @@ def _all_pairs(rows: DataFrame, sets: DataFrame, similarity: Similarity) -> Data
     fits = 100 * F.least("na", "nb") >= similarity.part * F.greatest("na", "nb")
     pairs = left.join(right, "key").where((F.col("ca") < F.col("cb")) & fits & ~(F.col("sa") & F.col("sb"))).select("a", "b")
     many = rows.join(groups, "key").join(sets.select("set", "sketch"), "set").withColumn("block", F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int"))
+    # Sets that are alike share many keys; by the first keys of both a task sees that another one has the pair.
+    first = many.where("not short").groupBy("set").agg(F.slice(F.array_sort(F.collect_set("key")), 1, FIRST_KEYS).alias("first"))
+    many = many.join(first, "set", "left").withColumn("first", F.coalesce("first", F.array().cast("array<bigint>")))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    met = many.select("key", "set", "comp", "size", "short", "sketch", "block", other.alias("other"))
-    cells = met.select(F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "key", "block", "set", "comp", "size", "short", "sketch")
+    met = many.select("key", "set", "comp", "size", "short", "sketch", "first", "block", other.alias("other"))
+    cells = met.select(F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "key", "block", "set", "comp", "size", "short", "sketch", "first")
     cell = ["key", "low", "high"]
     return pairs.unionByName(cells.repartition(*cell).sortWithinPartitions(*cell).mapInArrow(_block_pairs(similarity), "a long, b long"))
 
@@ -572,8 +578,8 @@ def _all_pairs(rows: DataFrame, sets: DataFrame, similarity: Similarity) -> Data
 def _block_pairs(similarity: Similarity):
     """The pairs of a cell's two blocks, or within its one block, that may be linked."""
 
-    def pairs(rows: list[tuple]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        low, high = rows[0][1], rows[0][2]
+    def pairs(rows: list[tuple]) -> Iterator[tuple[int, int]]:
+        key, low, high = rows[0][:3]
         classes: dict[int, list[tuple]] = {}
         for row in rows:
             classes.setdefault(len(row[8]), []).append(row)
@@ -581,12 +587,12 @@ def _block_pairs(similarity: Similarity):
         sides = {}
         for length, own in classes.items():
             words = np.frombuffer(b"".join(r[8] for r in own), "<u8").reshape(len(own), -1)
-            sides[length] = (np.array([r[3:8] for r in own], np.int64), words)
-        for length, (x, words) in sides.items():
+            sides[length] = (np.array([r[3:8] for r in own], np.int64), words, [frozenset(k for k in r[9] if k < key) for r in own])
+        for length, (x, words, firsts) in sides.items():
             for longer in (length, 2 * length):
                 if longer not in sides:
                     continue
-                y, others = sides[longer]
+                y, others, other_firsts = sides[longer]
                 if longer > length:
                     others = others[:, : words.shape[1]] ^ others[:, words.shape[1] :]
                 for i, (block, own, comp, size, short) in enumerate(x):
@@ -599,18 +605,16 @@ def _block_pairs(similarity: Similarity):
                     if len(at):
                         apart = np.bitwise_count(others[at] ^ words[i]).sum(1, dtype=np.int64)
                         at = at[apart <= (y[at, 3] + size) * (100 - similarity.part) // (100 + similarity.part)]
-                        if len(at):
-                            yield np.full(len(at), own), y[at, 1]
+                        yield from ((own, y[j, 1]) for j in at.tolist() if firsts[i].isdisjoint(other_firsts[j]))
 
     def of_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def told(rows: list[tuple]) -> pa.RecordBatch:
             found = list(pairs(rows))
-            a, b = (np.concatenate([f[i] for f in found] or [np.zeros(0, np.int64)]) for i in range(2))
-            return pa.record_batch({"a": a, "b": b})
+            return pa.record_batch({n: pa.array([f[i] for f in found], pa.int64()) for i, n in enumerate("ab")})
 
         rows: list[tuple] = []
         for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("key", "low", "high", "block", "set", "comp", "size", "short", "sketch")), strict=True):
+            for row in zip(*(batch.column(c).to_pylist() for c in ("key", "low", "high", "block", "set", "comp", "size", "short", "sketch", "first")), strict=True):
                 if rows and rows[0][:3] != row[:3]:
                     yield told(rows)
                     rows = []
