@@ -10,6 +10,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+from hypothesis import given, settings, strategies as st
 
 from tablesync.llm import bpe_codec, html_text, inner_product, jaccard_join, line_crf, mixing, quality_rules, queries, repeated_bytes, surrogates, token_counts
 from tablesync.llm.common import table
@@ -491,3 +492,60 @@ def test_long_chains_are_padded_only_among_themselves():
     model = line_crf.train(["good line here\nand more", "###\n###"] * 4, [1, 0] * 4)
     long = "a line of some words\n" * 30_000
     assert model.score([long, "x"])[0] == pytest.approx(model.score([long])[0])
+
+
+def test_lengths_tell_text_from_what_has_no_known_name():
+    paragraphs = [PROSE.strip() * n for n in (3, 5, 1, 4)]
+    body = "".join(f"<p>{p}</p>" for p in paragraphs)
+    content = f"<div id=c><h1>Title</h1>{body}</div>"
+    pages = [
+        f"<div class=topnav><a href=a>Home</a> <a href=b>News</a> <a href=c>Sport</a></div>{content}",
+        f"{content}<div class=legal>&copy; 2024 Some Company. All rights reserved.</div>",
+        f"{content}<div class=rail><p>Weather</p><p>Sunny, 20 C</p></div>",
+        f"{content}<ol class=commentlist><li>{PROSE * 3}</li><li>{PROSE}</li></ol>",
+        f"<article><h1>Title</h1>{body.replace('<p>', '<p class=related-work>')}</article>",
+        f"<article><h1>Title</h1><div class=social-history>{body}</div><div class=social>Tell a friend</div></article>",
+        f"<div class=head><h1>Title</h1></div><div id=c>{body.replace('p>', 'div>')}</div><div class=x>us</div>",
+    ]
+    for page in pages:
+        assert html_text.main_text(f"<body>{page}</body>") == " ".join(["Title", *paragraphs])
+
+
+def test_broken_markup_is_read_once():
+    import time
+
+    for piece in ("<a ", "<a \"'>", '<a ">', "<", "<script>", "<!--", '<p class="', "</script ", "<div class='x"):
+        start = time.monotonic()
+        html_text.main_text(piece * (1_000_000 // len(piece)))
+        assert time.monotonic() - start < 20, piece
+
+
+@settings(deadline=None)
+@given(st.lists(st.sampled_from([0, 0, 0, 1, 7]), max_size=30))
+def test_surges_lie_between_empty_windows(lengths):
+    inside = {i for a, b in html_text.surges(lengths) for i in range(a, b)}
+    empty = {i for a in range(-2, len(lengths)) if not any(lengths[max(0, a) : a + 3]) for i in range(a, a + 3)}
+    # Lines at either end are padded with empty ones, so only lines in no empty window, and texts, are inside.
+    assert all(lengths[a] and lengths[b - 1] for a, b in html_text.surges(lengths))
+    assert {i for i, n in enumerate(lengths) if n} <= inside and not inside & (empty - {i for i, n in enumerate(lengths) if n})
+
+
+def test_addresses_and_names_of_any_length(spark):
+    from pyspark.sql import functions as F
+
+    long = "x" * 300
+    texts = [
+        "Mrs. Anna Maria Smith met Mr. Smith.", "Dr. J. R. Smith, Dr. J.R. Smith, Mr. McDonald and Mr. O'Brien", "Frau Anna von der Berg kam; Herr Berg auch",
+        f"{long}@example.com and a@b.co", "Mr. " + "John " * 2000 + "Smith ended", "a@" + "b." * 20000 + "com", "-" * 20000,
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = [r.text for r in surrogates.pseudonymize(df, "k").orderBy("doc_id").collect()]
+    one = re.fullmatch(r"Mrs\. (\w+) (\w+) (\w+) met Mr\. (\w+)\.", got[0])
+    assert one[3] == one[4] and not {"Anna", "Maria", "Smith"} & set(one.groups())
+    assert re.fullmatch(rf"Dr\. J\. R\. {one[3]}, Dr\. J\.R\. {one[3]}, Mr\. [A-Z][a-z]+ and Mr\. [A-Z][a-z]+", got[1]) and "Donald" not in got[1] and "Brien" not in got[1]
+    berg = re.fullmatch(rf"Frau {one[1]} von der (\w+) kam; Herr (\w+) auch", got[2])
+    assert berg[1] == berg[2] != "Berg"
+    assert re.fullmatch(r"[a-z]{300}@\S+ and [a-z]@\S+", got[3]) and long not in got[3]
+    assert got[4].startswith("Mr. ") and "John" not in got[4] and got[4].endswith(f" {one[3]} ended") and got[5:] == texts[5:]
+    empty = surrogates.pseudonymize(df.where(F.lit(False)), "k")
+    assert empty.columns == df.columns and empty.count() == 0
