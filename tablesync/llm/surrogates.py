@@ -61,12 +61,17 @@ LOWER, UPPER, DIGITS, HEX = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTU
 LOWER_CYRILLIC, UPPER_CYRILLIC = "абвгдежзиклмнопрстуфхцчшщыэюя", "АБВГДЕЖЗИКЛМНОПРСТУФХЦЧШЩЫЭЮЯ"
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
-_NAME = r"\p{Lu}\p{Ll}+(?:-\p{Lu}\p{Ll}+)?"
+#: A name, and all further ones with initials and particles among them; possessive, so that no number of names needs a deep stack.
+PARTICLES = ["de", "del", "della", "di", "da", "dos", "la", "le", "van", "von", "der", "den", "zu"]
+_NAME = r"(?:Mc|Mac|[ODL]['\u2019])?\p{Lu}\p{Ll}++(?:-\p{Lu}\p{Ll}++)?(?!\p{L})"
+_FIRST = r"(?:\p{Lu}\.(?: |(?=\p{Lu})))*+"
+_FURTHER = rf"(?: (?:\p{{Lu}}\. ?)*+(?:(?:{'|'.join(PARTICLES)}) ){{0,3}}{_NAME})"
 _SECRET_NAMES = r"(?:password|passwd|pwd|token|secret|api[_-]?key|apikey|access[_-]?key|auth)"
 
 #: The kinds in the order in which they are tried where a token starts.
 PATTERNS = {
-    "email": r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63})*\.[A-Za-z]{2,24}",
+    # A whole run before the @ at any length, where the run starts; inside a run, at most what a mailbox name may have. Domains have at most 127 labels.
+    "email": r"(?:(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++|[A-Za-z0-9._%+-]{1,64}+)@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++){0,125}\.[A-Za-z]{2,}",
     "ip": rf"{_OCTET}(?:\.{_OCTET}){{3}}(?![\d])(?!\.\d)",
     "key": r"(?:AKIA|ASIA)[0-9A-Z]{16}(?![0-9A-Za-z])",
     "secret": rf"(?i:{_SECRET_NAMES})[\"']?\s{{0,3}}[=:]\s{{0,3}}[\"']?[^\s\"',;]{{6,}}+",
@@ -74,7 +79,7 @@ PATTERNS = {
     "ssn": r"\d{3}-\d{2}-\d{4}(?![\d-])",
     "card": r"[3-6]\d{3}(?:([ -]?)\d{4}\1\d{4}\1\d{1,7}|[ -]?\d{6}[ -]?\d{5})(?!\d)",
     "iban": r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
-    "name": rf"(?=\p{{Lu}})(?:(?:{'|'.join(TITLES_M + TITLES_F + TITLES_ANY)})\.? {_NAME}(?: {_NAME})?|(?:{'|'.join(GIVEN_M + GIVEN_F)}) {_NAME})(?!\p{{L}})",
+    "name": rf"(?=\p{{Lu}})(?:(?:{'|'.join(TITLES_M + TITLES_F + TITLES_ANY)})\.? {_FIRST}(?:(?:{'|'.join(PARTICLES)}) ){{0,3}}{_NAME}{_FURTHER}*+|(?:{'|'.join(GIVEN_M + GIVEN_F)}){_FURTHER}{_FURTHER}*+)(?!\p{{L}})",
 }
 #: Group references inside one alternative stay right as only the card pattern has a group.
 ENTITY = r"(?<![\p{L}\p{N}])(?:" + "|".join(PATTERNS.values()) + ")"
@@ -97,22 +102,42 @@ def kind_of(m: Column) -> Column:
     return out
 
 
+def _names(parts: Column, unit: Callable[[Column, Column], Column]) -> Column:
+    """The units of each part of a person's name."""
+    title = F.regexp_replace(F.get(parts, F.lit(0)), r"\.$", "")
+    titled = title.isin(TITLES_M + TITLES_F + TITLES_ANY)
+    stays = lambda x: x.rlike(r"^\p{Lu}\.$") | x.isin(PARTICLES)
+    given = F.ltrim(F.get(F.filter(parts, lambda x, i: ~((titled & (i == 0)) | stays(F.ltrim(x)))), F.lit(0)))
+    male = F.when(title.isin(TITLES_M), True).when(title.isin(TITLES_F), False).otherwise(given.isin(GIVEN_M))
+    whole = F.struct(titled.alias("titled"), F.when(male, "given_m").otherwise("given_f").alias("person"), F.size(parts).alias("n"))
+
+    def part(of: Column, x: Column, i: Column) -> Column:
+        word = F.ltrim(x)
+        kind = (
+            F.when((of["titled"] & (i == 0)) | stays(word), F.lit(None))
+            .when(i == of["n"] - 1, "family")
+            .when(word.isin(GIVEN_M), "given_m")
+            .when(word.isin(GIVEN_F), "given_f")
+            .otherwise(of["person"])
+        )
+        return F.array(unit(F.lit(None), F.when(x.startswith(" "), " ").otherwise("")), unit(kind, word))
+
+    return F.get(F.transform(F.array(whole), lambda of: F.transform(parts, lambda x, i: part(of, x, i))), F.lit(0))
+
+
 def units(m: Column) -> Column:
     """The parts of a match. What stays has no kind: titles, names of secrets, digits that are no card number.
 
-    A person's name gives one unit for each name, with the gender that title or given name tell.
+    A person's name gives one unit for each name, however many, with the gender that the name itself, the
+    title or the first given name tell; the last is the family's. Titles, initials and particles stay.
     """
     kind = kind_of(m)
-    parts = F.split(m, " ")
-    title = F.regexp_replace(F.get(parts, F.lit(0)), r"\.$", "")
-    titled = title.isin(TITLES_M + TITLES_F + TITLES_ANY)
-    given = F.when(titled & (F.size(parts) > 2), F.get(parts, F.lit(1))).otherwise(F.get(parts, F.lit(0)))
-    male = (titled & title.isin(TITLES_M)) | given.isin(GIVEN_M)
-    person = F.when(male, "given_m").otherwise("given_f")
     unit = lambda k, v: F.struct(k.cast("string").alias("kind"), v.alias("value"))
     stays = lambda v: unit(F.lit(None), v)
-    part_kind = lambda i: F.when(titled & (i == 0), F.lit(None)).when(i == F.size(parts) - 1, "family").otherwise(person)
-    names = F.flatten(F.transform(parts, lambda x, i: F.array(stays(F.when(i > 0, " ").otherwise("")), unit(part_kind(i), x))))
+    # A part keeps the space before it, which initials that follow each other at once don't have.
+    parts = F.regexp_extract_all(m, F.lit(r" ?(?:\p{Lu}\.|[^ ]+)"), F.lit(0))
+    # Bound by a loop variable, so that the parts are found once, not once for each part.
+    names = F.get(F.transform(F.array(parts), lambda found: F.flatten(_names(found, unit))), F.lit(0))
     prefix = F.regexp_extract(m, _BEFORE_SECRET, 0)
     secret = F.substring(m, F.length(prefix) + 1, F.length(m))
     secret_kind = F.when(F.rlike(secret, F.lit("^[0-9a-f]+$")), "hexkey").otherwise("secret")
@@ -152,8 +177,8 @@ def _spread(value: Column, kind: Column, digest: Column) -> Column:
 
     def one(c: Column, at: Column) -> Column:
         i = at + 1
-        # Marks between digits don't count, so that mentions in other formats agree. Secrets, of any length, have one format.
-        place = F.when(kind.isin("secret", "hexkey"), i).otherwise(F.length(F.regexp_replace(F.substring(value, F.lit(1), i), r"[ .()-]", "")))
+        # Marks between digits don't count, so that mentions in other formats agree. Secrets and addresses, of any length, have one format.
+        place = F.when(kind.isin("secret", "hexkey", "email"), i).otherwise(F.length(F.regexp_replace(F.substring(value, F.lit(1), i), r"[ .()-]", "")))
         v = _byte(digest, place)
         start = (kind == "phone") & ~F.rlike(F.substring(value, i - 1, F.lit(1)), F.lit(r"\d"))
         return (
