@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tablesync.functions.compress import compress
@@ -118,6 +120,94 @@ def _with_offsets(df: DataFrame, order_by: Sequence[str], index: str, length: st
     )
 
 
+def assign_greedy(
+    df: DataFrame,
+    order_by: Sequence[str],
+    max_records: int,
+    max_bytes: int,
+    size: Column,
+    batch: str = "batch_id",
+    position: str | None = None,
+    block_rows: int = 1 << 16,
+) -> DataFrame:
+    """Cut rows in ``order_by`` order so that every batch is the longest that fits both bounds.
+
+    A row larger than ``max_bytes`` is a batch of its own; a null size counts 0. ``position``
+    adds each row's place in all rows. An empty table gives an empty result.
+
+    Each row gets a pointer: where the next batch starts if one starts here. Pointers are
+    followed within blocks of ``block_rows`` rows first, which leaves for each row where
+    its chain enters a later block. Only rows that some chain enters are kept, and doubling
+    their pointers finds those that the chain from the first row enters, in as many joins
+    as the number of blocks has binary digits.
+    """
+    if min(max_records, max_bytes, block_rows) < 1:
+        raise ValueError("max_records, max_bytes and block_rows must be at least 1")
+    index, offset, length = (free_name(n, [*df.columns, batch]) for n in ("_index", "_offset", "_length"))
+    sized = df.withColumn(length, F.coalesce(size.cast("long"), F.lit(0)))
+    numbered = _with_offsets(sized, order_by, index, length, offset)
+    narrow = numbered.select(F.col(index).alias("at"), F.col(offset).alias("start"), (F.col(offset) + F.col(length)).alias("end"))
+    step = _successors(narrow, max_records, max_bytes).withColumn("block", F.expr(f"at div {block_rows}")).checkpoint()
+    exits = step.groupBy("block").applyInPandas(_exits, "at long, leaves long")
+    entered = _entered(exits.checkpoint()).withColumn("block", F.expr(f"at div {block_rows}"))
+    marked = step.groupBy("block").cogroup(entered.groupBy("block")).applyInPandas(_marked, "block long, at long, nth long").checkpoint()
+    starts = marked.groupBy("block").agg(F.max("nth").alias("n"))
+    before = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per block of many rows goes through this window.
+    starts = starts.select("block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    cut = marked.join(starts, "block").select(F.col("at").alias(index), (F.col("before") + F.col("nth") - 1).alias(batch))
+    rest = [column(c) for c in df.columns if c not in (batch, position)]
+    place = [F.col(index).alias(position)] if position else []
+    return numbered.drop(batch).join(cut, index).select(*rest, *place, column(batch))
+
+
+def _successors(rows: DataFrame, max_records: int, max_bytes: int) -> DataFrame:
+    """For each row, as ``next``, the first row that no longer fits a batch that starts there."""
+    # Rows by their ends and questions by the last end that fits, in one order: a running count tells how many rows end in time.
+    ends = rows.select(F.col("end").alias("value"), F.lit(0).alias("asks"), F.lit(None).cast("long").alias("at"), F.lit(1).cast("long").alias("row"))
+    asked = rows.select((F.col("start") + max_bytes).alias("value"), F.lit(1).alias("asks"), "at", F.lit(0).cast("long").alias("row"))
+    counted = _with_offsets(ends.unionByName(asked), ["value", "asks"], "number", "row", "fits").filter("asks = 1")
+    return counted.select("at", F.least(F.col("at") + max_records, F.greatest(F.col("at") + 1, F.col("fits"))).alias("next"))
+
+
+def _exits(block: pd.DataFrame) -> pd.DataFrame:
+    """Where the chain of each row of a block leaves it."""
+    block = block.sort_values("at")
+    at, following = block["at"].to_numpy(), block["next"].to_numpy()
+    inside = following <= at[-1]
+    last = np.where(inside, following - at[0], np.arange(len(at)))
+    while not (last[last] == last).all():
+        last = last[last]
+    return pd.DataFrame({"at": at, "leaves": following[last]})
+
+
+def _entered(exits: DataFrame) -> DataFrame:
+    """Rows, as ``at``, at which the chain from row 0 enters a block."""
+    first = exits.sparkSession.range(1).select(F.col("id").alias("at"))
+    entries = exits.select(F.col("leaves").alias("at")).unionByName(first).distinct()
+    jumps = exits.join(entries, "at", "left_semi").checkpoint()
+    found = first
+    while not jumps.isEmpty():
+        more = found.join(jumps, "at").select(F.col("leaves").alias("at"))
+        found = found.unionByName(more).distinct().checkpoint()
+        onward = jumps.select(F.col("at").alias("leaves"), F.col("leaves").alias("further"))
+        jumps = jumps.join(onward, "leaves").select("at", F.col("further").alias("leaves")).checkpoint()
+    return found
+
+
+def _marked(block: pd.DataFrame, entered: pd.DataFrame) -> pd.DataFrame:
+    """How many batches have started in a block up to each of its rows."""
+    block = block.sort_values("at")
+    at, following = block["at"].to_numpy(), block["next"].to_numpy()
+    starts = np.zeros(len(at), dtype="int64")
+    # The chain's end, one past the last row, may fall in the last block too.
+    row = int(entered["at"].min() - at[0]) if len(entered) and len(at) else len(at)
+    while row < len(at):
+        starts[row] = 1
+        row = int(following[row] - at[0])
+    return pd.DataFrame({"block": block["block"].to_numpy(), "at": at, "nth": np.cumsum(starts)})
+
+
 def label_prefix(table: str, prefix: str = "tablesync-") -> str:
     """Readable start of a label: the prefix and up to 48 characters of the table name."""
     return f"{prefix}{table[:48]}-"

@@ -46,6 +46,29 @@ def last_event_per_key(
     return picked.select(*columns, *([count] if count else []))
 
 
+def tied_keys(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], count: str = "n_tied") -> DataFrame:
+    """Keys whose latest order value is shared by several rows, that value, and how many rows have it.
+
+    For these the order does not say which row is the last one. Rows are counted per key and
+    order before they are shuffled, and the greatest order is taken from these counts, so a
+    hot key sends at most one row per map task and order value, and in the end one per task.
+    """
+    order = [column(c) for c in order_by]
+    counted = df.groupBy(*(column(k) for k in keys), *(column(c) for c in order_by if c not in keys)).agg(F.count(F.lit(1)).alias(count))
+    latest = free_name("_latest", [*df.columns, count])
+    found = counted.groupBy(*(column(k) for k in keys)).agg(F.max(F.struct(*order, column(count))).alias(latest))
+    shown = [F.col(latest)[c].alias(c) for c in order_by if c not in keys]
+    return found.filter(F.col(latest)[count] > 1).select(*(column(k) for k in keys), *shown, F.col(latest)[count].alias(count))
+
+
+def check_order(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+    """``df`` itself, or an error if the order leaves open which row of a key is the last one."""
+    tied = tied_keys(df, keys, order_by).limit(3).collect()
+    if tied:
+        raise ValueError(f"{', '.join(order_by)} ties at the last row of keys such as {[tuple(r)[: len(keys)] for r in tied]}")
+    return df
+
+
 def last_event_window(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     """Same rows as ``last_event_per_key``, by ``row_number``.
 

@@ -150,6 +150,11 @@ ORACLES: dict[str, str] = {
                 ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC, l_extendedprice DESC,
                          l_discount DESC, l_tax DESC, l_returnflag DESC, l_linestatus DESC) AS rn
             FROM lineitem) WHERE rn = 1""",
+    "order_ties": """
+        SELECT user_id, event_type, hour, n AS n_tied FROM (
+            SELECT user_id, event_type, date_trunc('hour', ts) AS hour, count(*) AS n,
+                   row_number() OVER (PARTITION BY user_id, event_type ORDER BY date_trunc('hour', ts) DESC) AS rn
+            FROM events GROUP BY user_id, event_type, date_trunc('hour', ts)) WHERE rn = 1 AND n > 1""",
     "op_code_per_record": """
         SELECT event_id, CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS hard_op, 0 AS soft_op FROM events""",
     "route_operations": f"""
@@ -240,6 +245,18 @@ ORACLES: dict[str, str] = {
             SELECT doc_id, bytes, row_number() OVER (ORDER BY doc_id) - 1 AS position,
                    sum(bytes) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before
             FROM (SELECT doc_id, CAST(octet_length(encode(text)) AS INTEGER) AS bytes FROM documents))""",
+    "batch_assign_greedy": """
+        WITH RECURSIVE sized AS (
+            SELECT doc_id, CAST(octet_length(encode(text)) AS INTEGER) AS bytes, row_number() OVER (ORDER BY doc_id) - 1 AS position,
+                   sum(coalesce(octet_length(encode(text)), 0)) OVER (ORDER BY doc_id ROWS UNBOUNDED PRECEDING) AS after
+            FROM documents),
+        starts AS (
+            SELECT CAST(0 AS BIGINT) AS first, CAST(0 AS BIGINT) AS batch_id
+            UNION ALL
+            SELECT min(n.position), s.batch_id + 1 FROM starts s JOIN sized f ON f.position = s.first
+            JOIN sized n ON n.position > s.first AND (n.position >= s.first + 200 OR n.after > f.after - coalesce(f.bytes, 0) + 100000)
+            GROUP BY s.batch_id)
+        SELECT doc_id, bytes, position, batch_id FROM sized ASOF JOIN starts ON position >= first""",
     "ledger_dedup": f"""
         SELECT batch_id, label, row_count FROM ({LABELS}) WHERE batch_id NOT IN (
             SELECT batch_id FROM ({BATCHED}) GROUP BY batch_id HAVING max(ts) < TIMESTAMP '2024-01-16 00:00:00')""",

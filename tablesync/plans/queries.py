@@ -222,6 +222,13 @@ def last_event_composite_key(spark, sf_dir):
     )
 
 
+@query
+def order_ties(spark, sf_dir):
+    """Events whose time alone does not tell which of a user and type is the last one, if it is kept to the hour."""
+    events = table(spark, sf_dir, "events").withColumn("hour", F.date_trunc("hour", "ts").cast("timestamp_ntz"))
+    return resolve.tied_keys(events, ["user_id", "event_type"], ["hour"])
+
+
 @query
 def op_code_per_record(spark, sf_dir):
     log = change_log(spark, sf_dir)
@@ -488,6 +495,13 @@ def batch_assign_by_bytes(spark, sf_dir):
     )
 
 
+@query
+def batch_assign_greedy(spark, sf_dir):
+    """Documents cut so that every batch is the longest that fits its rows and its bytes."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", F.octet_length("text").alias("bytes"))
+    return batches.assign_greedy(documents, ["doc_id"], 200, 100_000, F.col("bytes"), position="position")
+
+
 @query
 def batch_bodies(spark, sf_dir):
     """JSON array bodies packed with zstd, unpacked again for comparison."""

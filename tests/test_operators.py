@@ -267,3 +267,45 @@ def test_shape_and_table_layout_order(spark):
 def test_cursor(spark):
     df = log(spark, [(i, "n", i, None) for i in range(5)])
     assert merge.cursor_increment(df, "seq", 2).count() == 2 and merge.cursor_increment(df, "seq", None).count() == 5
+
+
+def greedy(sizes, most, most_bytes):
+    """Batch of each row, row by row."""
+    out, rows, held = [], 0, 0
+    for size in sizes:
+        if not out or rows == most or held + size > most_bytes:
+            out.append(out[-1] + 1 if out else 0)
+            rows, held = 0, 0
+        else:
+            out.append(out[-1])
+        rows, held = rows + 1, held + size
+    return out
+
+
+@pytest.mark.parametrize("most,most_bytes,block", [(7, 60, 5), (3, 10_000, 16), (1000, 25, 1), (50, 90, 64)])
+def test_greedy_batches_are_the_longest_that_fit(spark, most, most_bytes, block):
+    made = random.Random(most)
+    # Empty rows, rows without a size, and some larger than a batch.
+    sizes = [made.choice([0, None, 1, 5, 9, 30, 100]) for _ in range(150)]
+    rows = [(i, n, "x", -1) for i, n in enumerate(sizes)]
+    df = spark.createDataFrame(rows, "id long, n long, _index string, batch_id int").repartition(4)
+    got = batches.assign_greedy(df, ["id"], most, most_bytes, F.col("n"), position="place", block_rows=block).orderBy("id").collect()
+    assert [r.place for r in got] == list(range(len(sizes))) and {r["_index"] for r in got} == {"x"}
+    assert [r.batch_id for r in got] == greedy([n or 0 for n in sizes], most, most_bytes)
+
+
+def test_greedy_batches_of_nothing(spark):
+    df = spark.createDataFrame([], "id long, n long")
+    assert batches.assign_greedy(df, ["id"], 2, 2, F.col("n")).collect() == []
+    with pytest.raises(ValueError):
+        batches.assign_greedy(df, ["id"], 0, 2, F.col("n"))
+
+
+def test_tied_keys(spark):
+    rows = [(1, "a", 5), (1, "b", 5), (1, "c", 4), (2, "d", 1), (2, "e", 1), (2, "f", 2), (3, "g", None), (3, "h", None), (None, "i", 1), (None, "j", 1)]
+    df = spark.createDataFrame(rows, "id int, name string, seq int")
+    assert {tuple(r) for r in resolve.tied_keys(df, ["id"], ["seq"]).collect()} == {(1, 5, 2), (3, None, 2), (None, 1, 2)}
+    assert resolve.tied_keys(df, ["id"], ["seq", "name"]).count() == 0
+    assert resolve.check_order(df, ["id"], ["seq", "name"]) is df
+    with pytest.raises(ValueError, match="ties"):
+        resolve.check_order(df, ["id"], ["seq"])
