@@ -20,7 +20,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F, types as T
 
 from tablesync.functions.types import column
 from tablesync.operators.batches import label_prefix
@@ -469,11 +469,11 @@ class TableStore:
             op = self._op(fresh) if fresh.tombstones else free_name(spec.names.op, rows.columns)
             rows = with_op(rows, spec, op)
             rows = rows if fresh.tombstones else rows.filter(column(op) == UPSERT).drop(op)
-        parts = self._write(namespace, table, conform(rows, layout.schema), fresh)
-        fresh = replace(fresh, parts=parts)
-        written = self._rows(fresh, parts)
-        deletes = written.filter(column(op) != UPSERT).count() if fresh.tombstones else 0
-        loaded = written.count()
+        deleted = column(op) != UPSERT if fresh.tombstones else F.lit(False)
+        seen = Observation()
+        counted = [F.count(F.lit(1)).alias("rows"), F.count_if(deleted).alias("deletes")]
+        fresh = replace(fresh, parts=self._write(namespace, table, conform(rows, layout.schema), fresh, seen, counted))
+        loaded, deletes = seen.get["rows"], seen.get["deletes"]
         counts = {"buffered": loaded, "upserts": loaded - deletes, "deletes": deletes}
         self._publish(namespace, table, fresh, {"label": label, "status": SUCCESS, **counts})
         return LoadResult(SUCCESS, loaded, loaded - deletes, deletes, version)
@@ -489,9 +489,9 @@ class TableStore:
     def _append(self, namespace, table, snapshot, batch, label, progress, loads=None) -> LoadResult:
         part = self._new_part(namespace, table)
         checked = require_keys(batch, snapshot.layout.keys)
-        conform(checked, snapshot.layout.schema).write.parquet(f"{self.root}/{part}")
-        # Parquet footers give the count; no second pass over the batch.
-        loaded = self._rows(snapshot, [part]).count()
+        seen = Observation()
+        conform(checked, snapshot.layout.schema).observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(f"{self.root}/{part}")
+        loaded = seen.get["rows"]
         if loaded == 0:
             self.files.delete(f"{self.root}/{part}")
             return LoadResult(SUCCESS)
@@ -566,10 +566,9 @@ class TableStore:
     def _defer(self, namespace, table, snapshot, operations, op, events, label, progress, loads=None) -> LoadResult:
         """Publish the batch's operations as they are; merge all waiting ones when there are enough."""
         part = self._new_part(namespace, table)
-        operations.write.parquet(f"{self.root}/{part}")
-        schema = T.StructType([T.StructField(op, T.IntegerType()), T.StructField(events, T.LongType())])
-        written = self.spark.read.schema(schema).parquet(f"{self.root}/{part}")
-        counts = written.agg(*_counts(op, events)).first()
+        seen = Observation()
+        operations.observe(seen, *_counts(op, events)).write.parquet(f"{self.root}/{part}")
+        counts = seen.get
         if not counts["buffered"]:
             self.files.delete(f"{self.root}/{part}")
             return LoadResult(SUCCESS)
@@ -793,12 +792,17 @@ class TableStore:
         number = F.pmod(F.xxhash64(*(column(k) for k in snapshot.layout.keys)), F.lit(snapshot.buckets))
         return df.withColumn(name, number.cast("int"))
 
-    def _write(self, namespace: str, table: str, rows: DataFrame, snapshot: Snapshot) -> dict[str, int | None]:
+    def _write(self, namespace, table, rows: DataFrame, snapshot: Snapshot, seen: Observation | None = None, counted: Sequence[Column] = ()) -> dict[str, int | None]:
+        """Write rows into new folders. ``seen`` gets the aggregates ``counted`` of them in the same pass.
+
+        They are taken in the stage that writes, whose tasks count once even if they run again.
+        """
         if snapshot.layout.model is KeyModel.PRIMARY:
             bucket = free_name("bucket", rows.columns)
             spread = self._bucketed(rows, snapshot, bucket).repartitionById(snapshot.buckets, F.col(bucket))
-            return self._write_bucketed(namespace, table, spread, bucket)
+            return self._write_bucketed(namespace, table, spread.observe(seen, *counted) if seen else spread, bucket)
         part = self._new_part(namespace, table)
+        rows = rows.observe(seen, *counted) if seen else rows
         rows.write.parquet(f"{self.root}/{part}")
         return {part: None}
 

@@ -395,3 +395,50 @@ def test_fractions_are_logged_not_cut(spark):
     df = spark.sql("select * from values (1.75D), (2.0D), (null) as t(a)")
     got = validate(df, [Field("a", "integer")]).collect()
     assert [r.a for r in got] == [None, 2, None] and "TYPECAST" in str(got[0][-1])
+
+
+def reads(action):
+    """What the action returned, and the folders of the store that it read."""
+    plans, get = [], TableStore._rows
+
+    def watched(self, snapshot, parts):
+        plans.append(list(parts))
+        return get(self, snapshot, plans[-1])
+
+    TableStore._rows = watched
+    try:
+        return action(), plans
+    finally:
+        TableStore._rows = get
+
+
+@pytest.mark.parametrize("mode", [SyncMode.APPEND, SyncMode.DEDUP])
+def test_writes_count_in_their_own_pass(spark, store, mode):
+    people = spec(mode=mode) if mode is SyncMode.DEDUP else spec(mode=mode, primary_key=(), order_by=())
+    batch = records(spark, [(1, "a", 1, None), (2, "b", 2, None), (2, "c", 3, None)])
+    done, read = reads(lambda: store.overwrite(people, batch))
+    expected = 3 if mode is SyncMode.APPEND else 2
+    assert (done.buffered, done.upserts, done.deletes) == (expected, expected, 0) and read == []
+    assert store.count("db", "people") == expected
+    empty = records(spark, [])
+    done, read = reads(lambda: store.overwrite(people, empty))
+    assert (done.buffered, done.upserts, done.deletes) == (0, 0, 0) and read == []
+    if mode is SyncMode.APPEND:
+        done, read = reads(lambda: store.load(people, batch))
+        assert (done.buffered, read) == (3, [])
+        assert store.load(people, empty).version is None and store.count("db", "people") == 3
+
+
+def test_overwrite_counts_kept_tombstones_and_deferred_events(spark, root):
+    safe = TableStore(spark, root, buckets=4)
+    safe.create_table(spec(), tombstones=True)
+    batch = records(spark, [(1, "a", 1, None), (2, "b", 2, "2026-01-01"), (3, "c", 3, None)])
+    done, read = reads(lambda: safe.overwrite(spec(), batch))
+    assert (done.buffered, done.upserts, done.deletes) == (3, 2, 1) and read == []
+    assert state(safe, "id") == [(1,), (3,)]
+    later = TableStore(spark, root, buckets=4, fold_after=5)
+    later.create_table(spec(name="waiting"))
+    events = records(spark, [(1, "a", 1, None), (1, "b", 2, None), (2, "c", 3, "2026-01-01")])
+    done = later.load(spec(name="waiting"), events)
+    assert (done.buffered, done.upserts, done.deletes) == (3, 1, 1)
+    assert later.load(spec(name="waiting"), events.limit(0)).buffered == 0
