@@ -1,14 +1,16 @@
 """Byte compression of whole batch bodies.
 
-Spark has no compression expressions, so these are Arrow-batched UDFs that call the
-codec once per body. Files are compressed by Spark's writers instead.
+Spark has no compression expressions, so these are UDFs that call the codec once per
+body. They are row-batched, not Arrow-batched: Spark hands a worker 100 bodies at a
+time, while an Arrow batch holds up to 10,000 rows, and a row here is a whole batch
+body, so a worker would hold ever more of them as tables grow. Files are compressed
+by Spark's writers instead.
 """
 
 from __future__ import annotations
 
 import gzip
 
-import pandas as pd
 from pyspark.sql import Column, functions as F, types as T
 
 try:
@@ -17,27 +19,15 @@ except ImportError:  # optional
     zstandard = None
 
 
-@F.pandas_udf(T.BinaryType())
-def _gzip(bodies: pd.Series) -> pd.Series:
-    # A fixed time stamp: the same body gives the same bytes.
-    return bodies.map(lambda body: None if body is None else gzip.compress(body, mtime=0))
+def _per_row(function):
+    return F.udf(lambda body: None if body is None else function(bytes(body)), T.BinaryType(), useArrow=False)
 
 
-@F.pandas_udf(T.BinaryType())
-def _zstd(bodies: pd.Series) -> pd.Series:
-    codec = zstandard.ZstdCompressor()
-    return bodies.map(lambda body: None if body is None else codec.compress(body))
-
-
-@F.pandas_udf(T.BinaryType())
-def _gunzip(bodies: pd.Series) -> pd.Series:
-    return bodies.map(lambda body: None if body is None else gzip.decompress(body))
-
-
-@F.pandas_udf(T.BinaryType())
-def _unzstd(bodies: pd.Series) -> pd.Series:
-    codec = zstandard.ZstdDecompressor()
-    return bodies.map(lambda body: None if body is None else codec.decompress(body))
+# A fixed time stamp: the same body gives the same bytes.
+_gzip = _per_row(lambda body: gzip.compress(body, mtime=0))
+_zstd = _per_row(lambda body: zstandard.ZstdCompressor().compress(body))
+_gunzip = _per_row(gzip.decompress)
+_unzstd = _per_row(lambda body: zstandard.ZstdDecompressor().decompress(body))
 
 
 def compress(body: Column, name: str) -> Column:

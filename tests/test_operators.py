@@ -231,6 +231,18 @@ def test_bodies_come_back_whole(spark, layout, packed):
     assert (len(row["body"]) < len(body)) == (packed != "none")
 
 
+@pytest.mark.parametrize("packed", ["gzip", "zstd"])
+def test_bodies_are_packed_a_few_rows_at_a_time(spark, packed):
+    """A row is a whole body: an Arrow batch of up to 10,000 of them grows a worker with the table."""
+    from tablesync.functions.compress import compress
+
+    df = spark.createDataFrame([(i, ("x" * i).encode()) for i in range(50)] + [(50, None)], "n int, body binary")
+    out = df.select("n", "body", decompress(compress(F.col("body"), packed), packed).alias("back"))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BatchEvalPython" in plan and "ArrowEvalPython" not in plan
+    assert all(row["back"] == row["body"] for row in out.collect())
+
+
 def test_body_options_are_checked(spark):
     df = spark.createDataFrame([(0, "a")], "batch_id long, line string")
     for layout, packed in (("csv", "gzip"), ("json", "lzma"), ("xml", "none")):
