@@ -42,6 +42,10 @@ CHUNK = 64
 
 END = "</w>"
 
+#: Words of up to so many bytes are merged without a heap.
+SHORT_WORD = 48
+NO_RANK = 1 << 62
+
 
 def byte_symbols() -> list[str]:
     """The printable symbol that stands for each byte: itself if it is printable, else the next free one from 256 on."""
@@ -81,8 +85,32 @@ class WordBpe:
         return out
 
     def merge(self, word: str) -> list[int]:
-        """The ids of one word: a heap over a linked list of symbols gives the adjacent pair of lowest rank, leftmost first."""
-        parts: list[str | None] = [BYTES[b] for b in word.encode()]
+        """The ids of one word: the adjacent pair of lowest rank, leftmost first, merged until none is left.
+
+        Short words keep the rank of each pair in a list and renew the two beside a merge; long ones take the heap.
+        """
+        parts = [BYTES[b] for b in word.encode()]
+        if len(parts) > SHORT_WORD:
+            return self.merge_long(parts)
+        parts[-1] += END
+        rank = self.ranks.get
+        ranks = [rank(pair, NO_RANK) for pair in zip(parts, parts[1:])]
+        while ranks:
+            best = min(ranks)
+            if best == NO_RANK:
+                break
+            at = ranks.index(best)
+            merged = parts[at] = parts[at] + parts.pop(at + 1)
+            del ranks[at]
+            if at < len(ranks):
+                ranks[at] = rank((merged, parts[at + 1]), NO_RANK)
+            if at:
+                ranks[at - 1] = rank((parts[at - 1], merged), NO_RANK)
+        vocab = self.vocab
+        return [vocab[p] for p in parts]
+
+    def merge_long(self, parts: list[str | None]) -> list[int]:
+        """The ids of one word from its byte symbols: a heap over a linked list of symbols gives the adjacent pair of lowest rank, leftmost first."""
         parts[-1] += END
         n = len(parts)
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))

@@ -88,6 +88,16 @@ def test_codec_round_trip(docs):
         assert np.frombuffer(row.c.ids, "<u4").tolist() == ids and row.c.decoded == library.decode(ids, skip_special_tokens=False)
 
 
+def test_short_word_merge_matches_the_library():
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library, bpe = Tokenizer.from_file(path), bpe_codec.WordBpe.load(path)
+    words = ["a", "the", "aaaaaaa", "tokenization", "ab" * 30, "zzzzqqqxx", "naïve", "ééé"]
+    for word in words:
+        assert bpe.merge(word) == library.encode(word, add_special_tokens=False).ids
+        assert bpe.merge(word) == bpe.merge_long([bpe_codec.BYTES[b] for b in word.encode()])
+
 def test_lexicon_is_minimal_and_exact():
     known = {w.encode(): [i, i + 1] for i, w in enumerate(["tap", "taps", "top", "tops", "stop", "stops", "é"])}
     lexicon = bpe_codec.Lexicon(bpe_codec.Lexicon.compile(known))
