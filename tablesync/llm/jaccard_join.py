@@ -103,6 +103,8 @@ def mixed(x: np.ndarray, seed: int) -> np.ndarray:
 
 
 class WordHashes(dict):
+    """Hashes of words met in one task; a reused worker keeps none of them for later tasks and stages."""
+
     def __missing__(self, word: bytes) -> int:
         if len(self) >= REMEMBERED:
             self.clear()
@@ -110,15 +112,12 @@ class WordHashes(dict):
         return value
 
 
-_WORDS = WordHashes()
-
-
-def shingles(text: str | None, words: int) -> np.ndarray:
+def shingles(text: str | None, words: int, hashes: WordHashes | None = None) -> np.ndarray:
     """The distinct shingles of a text as sorted 64-bit hashes. Bytes fold and split just ASCII, as the words are defined."""
     found = text.encode().lower().split() if text else []
     if not found:
         return np.zeros(0, np.uint64)
-    h = np.fromiter(map(_WORDS.__getitem__, found), np.uint64, len(found))
+    h = np.fromiter(map((WordHashes() if hashes is None else hashes).__getitem__, found), np.uint64, len(found))
     n = max(1, len(h) - words + 1)
     total = np.full(n, len(h) if len(h) < words else words, np.uint64)
     for i in range(min(words, len(h))):
@@ -307,11 +306,12 @@ def _file(similarity: Similarity, buckets: int):
         )
 
     def file(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
         for batch in batches:
             member: list[tuple] = []
             sets, keys, size, done = [], [], 0, {}
             for text in batch.column("text"):
-                found = shingles(text.as_py(), similarity.words)
+                found = shingles(text.as_py(), similarity.words, hashes)
                 if not len(found):
                     member.append((None, 0, None, *[None] * KINDS))
                     continue
@@ -396,8 +396,9 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _arrays(similarity: Similarity):
     def arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
         for batch in batches:
-            found = [shingles(text.as_py(), similarity.words) for text in batch.column("text")]
+            found = [shingles(text.as_py(), similarity.words, hashes) for text in batch.column("text")]
             yield pa.record_batch({"set": pa.array([set_id(f) for f in found], pa.int64()), "hashes": pa.array([f.astype("<u8").tobytes() for f in found], pa.binary())})
 
     return arrays

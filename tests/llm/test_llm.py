@@ -357,6 +357,16 @@ def test_keys_of_one_bucket_in_chunks(monkeypatch):
     assert shared() == want
 
 
+def test_word_hashes_end_with_the_task():
+    """A reused Python worker carries no words of one task into later tasks and stages."""
+    similarity = jaccard_join.Similarity()
+    batch = pa.record_batch({"text": [" ".join(WORDS[i : i + 60]) for i in (0, 3, 100)], "doc_id": [1, 2, 3]})
+    filed = list(jaccard_join._file(similarity, 1)(iter([batch])))
+    arrays = list(jaccard_join._arrays(similarity)(iter([batch.select(["text"])])))
+    assert filed and arrays
+    assert all(len(v) == 0 for v in vars(jaccard_join).values() if isinstance(v, jaccard_join.WordHashes))
+
+
 @needs_tables
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_query_equals_sql(spark, name):
